@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column
@@ -18,7 +19,7 @@ from sluicegate.functions import patterns
 from sluicegate.functions.casts import to_date, to_number
 from sluicegate.functions.cleanups import parse_date, text_arg
 from sluicegate.functions.operand import Operand, Scope
-from sluicegate.functions.text import as_text, digits, strip
+from sluicegate.functions.text import as_text, digits, strip, stripped
 
 Args = Mapping[str, Any]
 
@@ -86,7 +87,7 @@ def date_lte(x: Operand, args: Args) -> Column | None:
 
 def date_format(x: Operand, args: Args) -> Column:
     name = text_arg(args, "format") or DEFAULT_DATE_FORMAT
-    text = strip(as_text(x))
+    text = stripped(x)
     return (text != "") & parse_date(text, NAMED_DATE_FORMATS.get(name.lower(), name)).isNull()
 
 
@@ -95,8 +96,9 @@ def decimal_scale(x: Operand, args: Args) -> Column | None:
         return None
     scale = int(args["scale"])
     fraction = rf"(\.\d{{1,{scale}}})?" if scale > 0 else ""
-    text = F.translate(strip(as_text(x)), ",", ".")
-    return (text != "") & ~text.rlike(patterns.JAVA_FLAGS + rf"^-?\d+{fraction}\z")
+    text = F.translate(stripped(x), ",", ".")
+    # Blank text passes.
+    return ~text.rlike(patterns.JAVA_FLAGS + rf"^(-?\d+{fraction})?\z")
 
 
 # Rule names.
@@ -123,10 +125,8 @@ def document_by_type(args: Args, scope: Scope, asked_by: str) -> Column:
     number = scope.get(text_arg(args, "doc_field") or DOCUMENT_FIELD, asked_by)
     kind_code = to_number(kind, T.LongType())
     length = F.char_length(digits(F.coalesce(as_text(number), F.lit(""))))
-    broken = F.lit(False)
-    for code, expected in DOCUMENT_LENGTHS.items():
-        broken = broken | F.coalesce((kind_code == code) & (length != expected), F.lit(False))
-    return broken
+    broken = [(kind_code == code) & (length != size) for code, size in DOCUMENT_LENGTHS.items()]
+    return reduce(Column.__or__, broken)
 
 
 def _compared(x: Operand, args: Args, broken: Callable[[Column, Column], Column]) -> Column | None:

@@ -14,8 +14,10 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Lowest and highest power of ten that is written without an exponent.
-PLAIN_POWERS = {"float": (-6, 12), "double": (-5, 15)}
+# The magnitudes written without an exponent, from (included) and to (excluded).
+PLAIN_RANGE = {"float": (1e-6, 1e13), "double": (1e-5, 1e16)}
+# The magnitudes Java itself writes without an exponent.
+JAVA_PLAIN_RANGE = (1e-3, 1e7)
 
 
 def strip(text: Column) -> Column:
@@ -27,6 +29,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def stripped(x: Operand) -> Column:
+    """Text without whitespace around it; only text can have any."""
+    return strip(x.col) if x.is_a(T.StringType) else as_text(x)
+
+
 def digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -45,23 +52,22 @@ def as_text(x: Operand) -> Column:
 
 def _floating_text(x: Operand) -> Column:
     """Shortest decimal text: ``12345678.0`` and ``1e20``, not ``1.2345678E7`` and ``1.0E20``."""
-    low, high = PLAIN_POWERS[x.dtype.simpleString()]
-    raw = x.col.cast("string")
-    mantissa = F.substring_index(raw, "E", 1)
-    power = F.substring_index(raw, "E", -1).try_cast("int")
+    raw, size = x.col.cast("string"), F.abs(x.col)
     # 17 significant digits at 1e-5 need 21 places; 16 whole digits still fit beside them.
-    plain = F.rtrim(raw.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    short = F.concat(F.regexp_replace(mantissa, r"\.0\z", ""), F.lit("e"), power.cast("string"))
+    padded = raw.try_cast("decimal(38,21)").cast("string")
+    plain = F.regexp_replace(padded, r"(?<=\.\d{1,20})0+\z", "")
+    short = F.regexp_replace(F.regexp_replace(raw, r"(\.0)?E", "e"), "Infinity", "inf")
     return (
-        F.when(raw == "Infinity", F.lit("inf"))
-        .when(raw == "-Infinity", F.lit("-inf"))
-        .when(~raw.contains("E"), raw)
-        .when(power.between(low, high), plain)
+        F.when(_within(size, JAVA_PLAIN_RANGE) | (size == 0), raw)
+        .when(_within(size, PLAIN_RANGE[x.dtype.simpleString()]), plain)
         .otherwise(short)
     )
 
 
+def _within(size: Column, bounds: tuple[float, float]) -> Column:
+    return (size >= bounds[0]) & (size < bounds[1])
+
+
 def _timestamp_text(x: Operand) -> Column:
     """``2024-01-05 10:00:00.000``: always the same number of fraction digits.
 

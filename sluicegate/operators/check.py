@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sluicegate.functions.checks import DOCUMENT_CHECK, FIELD_CHECKS, document_by_type
 from sluicegate.functions.operand import Scope, column
 from sluicegate.functions.predicates import condition, is_usable
-from sluicegate.rules import ERROR, Rule
+from sluicegate.rules import ERROR, WARNING, Rule
 
 log = logging.getLogger(__name__)
 
@@ -27,7 +27,7 @@ ROW_WARNING = "__row_warning__"
 class Check:
     rule: Rule
     flag: str  # column that holds the result
-    broken: Column
+    broken: Column  # true where the rule is broken; may be null where it is not
 
     @property
     def is_error(self) -> bool:
@@ -52,8 +52,8 @@ def compile_checks(rules: Sequence[Rule], scope: Scope) -> CheckPlan:
             notes.append(f"{rule.key} runs on every row: its condition cannot be read: {dict(rule.when)}")
         applies = condition(rule.when, scope, rule.key)
         if applies is not None:
-            broken = F.when(applies, broken).otherwise(False)
-        checks.append(Check(rule, _flag_name(number, rule), F.coalesce(broken, F.lit(False))))
+            broken = applies & broken
+        checks.append(Check(rule, _flag_name(number, rule), broken))
     for note in notes:
         log.warning(note)
     return CheckPlan(tuple(checks), tuple(notes))
@@ -83,25 +83,32 @@ class CheckedFrame:
     @property
     def valid(self) -> DataFrame:
         """Rows without an error; rows with only warnings are among them."""
-        return self._data(~F.col(ROW_INVALID))
+        return self.frame.where(~F.col(ROW_INVALID)).select(*self._data_cols())
 
     @property
     def invalid(self) -> DataFrame:
-        return self._data(F.col(ROW_INVALID))
+        return self.bad_rows(ERROR).select(*self._data_cols())
 
     @property
     def warning(self) -> DataFrame:
         """Rows with a warning and no error."""
-        return self._data(F.col(ROW_WARNING))
+        return self.bad_rows(WARNING).select(*self._data_cols())
+
+    def bad_rows(self, level: str) -> DataFrame:
+        """Rows of one status, flags included.
+
+        The filter is on the rules themselves, not on their flags: a comparison on a plain
+        column reaches the scan, which then skips row groups without a bad value.
+        """
+        rules = [c.broken for c in self.checks if c.rule.level == level]
+        broken = reduce(Column.__or__, rules, F.lit(False))
+        return self.frame.where(broken if level == ERROR else broken & ~F.col(ROW_INVALID))
 
     @property
     def flags(self) -> DataFrame:
         marks = [F.col(c.flag) for c in self.checks]
         return self.frame.select(*self._data_cols(), *marks)
 
-    def _data(self, where: Column) -> DataFrame:
-        return self.frame.where(where).select(*self._data_cols())
-
     def _data_cols(self) -> list[Column]:
         return [column(n) for n in self.data_columns]
 
@@ -109,7 +116,8 @@ class CheckedFrame:
 def check(df: DataFrame, rules: Sequence[Rule], millis: Sequence[str] = ()) -> CheckedFrame:
     """Evaluate all checks in one projection, then derive the row marks from them."""
     plan = compile_checks(rules, Scope(df.schema, millis))
-    flagged = df.withColumns({c.flag: c.broken for c in plan.checks}) if plan.checks else df
+    flags = {c.flag: F.coalesce(c.broken, F.lit(False)) for c in plan.checks}
+    flagged = df.withColumns(flags) if flags else df
     invalid = _any(c.flag for c in plan.checks if c.is_error)
     warned = _any(c.flag for c in plan.checks if not c.is_error)
     marked = flagged.withColumns({ROW_INVALID: invalid, ROW_WARNING: warned & ~invalid})

@@ -86,8 +86,7 @@ def rule_counts(checked: CheckedFrame) -> DataFrame:
 
 def alias_counts(checked: CheckedFrame) -> DataFrame:
     """Hits per declared rule, so that rules sharing a key stay apart."""
-    rows = _key_rows(checked, [(c.rule, F.col(c.flag)) for c in checked.checks], flags=True)
-    return rows
+    return _key_rows(checked, [(c.rule, F.col(c.flag)) for c in checked.checks], flags=True)
 
 
 def _key_rows(checked: CheckedFrame, hits: list[tuple[Rule, Column]], flags: bool = False) -> DataFrame:
@@ -152,13 +151,12 @@ def samples(
     ``order_by`` makes the choice repeatable: a top-k per task, merged into one list of
     that length. Without it any rows are taken.
     """
-    bad = checked.frame.where(F.col(ROW_INVALID if level == ERROR else ROW_WARNING))
-    chosen = bad.select(
+    chosen = checked.bad_rows(level).select(
         *[column(n) for n in checked.data_columns], issues(checked.checks, level).alias("__issues__")
     )
     keys = [column(n) for n in order_by]
     limited = (chosen.orderBy(*keys) if keys else chosen).limit(max(0, max_samples))
-    # At most max_samples rows reach this window.
+    # The limit leaves at most max_samples rows for this window.
     numbered = Window.orderBy(*(keys or [F.lit(1)]))
     return limited.withColumn("__sample_seq__", F.row_number().over(numbered))
 
