@@ -57,17 +57,18 @@ def _floating_text(x: Operand) -> Column:
     padded = raw.try_cast("decimal(38,21)").cast("string")
     plain = F.regexp_replace(padded, r"(?<=\.\d{1,20})0+\z", "")
     short = F.regexp_replace(F.regexp_replace(raw, r"(\.0)?E", "e"), "Infinity", "inf")
+
+    def within(bounds: tuple[float, float]) -> Column:
+        low, high = (F.lit(bound).cast(x.dtype) for bound in bounds)
+        return (size >= low) & (size < high)
+
     return (
-        F.when(_within(size, JAVA_PLAIN_RANGE) | (size == 0), raw)
-        .when(_within(size, PLAIN_RANGE[x.dtype.simpleString()]), plain)
+        F.when(within(JAVA_PLAIN_RANGE) | (size == 0), raw)
+        .when(within(PLAIN_RANGE[x.dtype.simpleString()]), plain)
         .otherwise(short)
     )
 
 
-def _within(size: Column, bounds: tuple[float, float]) -> Column:
-    return (size >= bounds[0]) & (size < bounds[1])
-
-
 def _timestamp_text(x: Operand) -> Column:
     """``2024-01-05 10:00:00.000``: always the same number of fraction digits.
 

@@ -64,7 +64,7 @@ def publish_scope(
         files.replace_directory(spark, staged, target, f"{root.rstrip('/')}/_retired/{load_id}/{scope}")
         return target
     inner = [f.name for f in spec.fields[len(spec.ctx_values(ctx, depth)) :]]
-    rows = spark.read.parquet(staged)
+    rows = spark.read.schema(_with_text(spark.read.parquet(staged).schema, inner)).parquet(staged)
     rows.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*inner).parquet(target)
     files.remove(spark, staged)
     return target
@@ -88,5 +88,10 @@ def mirror_scope(
     return publish_scope(spark, staged, root, spec, values, load_id, depth)
 
 
+def _with_text(schema: T.StructType, names: list[str]) -> T.StructType:
+    """Partition values as the text they have in paths, so that ``007`` stays ``007``."""
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in names else f.dataType) for f in schema.fields])
+
+
 def _adaptive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"

@@ -1,0 +1,101 @@
+import pytest
+
+from sluicegate.operators import report
+from sluicegate.operators.check import check
+from sluicegate.rules import ERROR, Rule, parse_rules
+
+RULES = {
+    "a": {
+        "validate": [
+            {"rule": "min", "value": 0},
+            {"rule": "min", "value": 5},
+            {"rule": "max", "value": 90, "level": "warning"},
+            {"rule": "in", "values": ["1000"], "level": "warning", "when": {"field": "a", "op": "eq", "value": -1}},
+        ]
+    }
+}
+
+
+@pytest.fixture
+def result(spark):
+    """Minus one to one hundred: six errors, one of them with a warning too, ten only-warnings."""
+    df = spark.range(-1, 101).selectExpr("cast(id as int) as a").repartition(3)
+    return check(df, parse_rules({"fields": RULES}).checks)
+
+
+def test_split(result):
+    assert result.valid.count() == 96 and result.invalid.count() == 6 and result.warning.count() == 10
+    assert result.valid.columns == ["a"]
+    assert result.warning.subtract(result.valid).count() == 0
+
+
+def test_summary(result):
+    assert report.load_summary(result).collect()[0] == (102, 96, 6, 10)
+
+
+def test_counts_add_up_per_key_and_stay_apart_per_rule(result):
+    assert {r.key: r.hits for r in report.rule_counts(result).collect()} == {
+        "error:min:a": 1 + 6,
+        "warning:max:a": 10,
+        "warning:in:a": 1,
+    }
+    assert [r.hits for r in report.alias_counts(result).collect()] == [1, 6, 10, 1]
+
+
+def test_summary_of_rules(result):
+    assert [tuple(r) for r in report.rules_summary(result).collect()] == [
+        ("warning:max:a", 10), ("error:min:a", 7), ("warning:in:a", 1),
+    ]
+    assert [r.key for r in report.rules_summary(result, ERROR).collect()] == ["error:min:a"]
+
+
+def test_samples(result):
+    rows = report.invalid_samples(result, 3, ["a"]).collect()
+    assert [(r.a, r["__sample_seq__"]) for r in rows] == [(-1, 1), (0, 2), (1, 3)]
+    assert [(i.level, i.rule, i.field, i.key, i.message) for i in rows[0]["__issues__"]] == [
+        ("error", "min", "a", "error:min:a", "Valor abaixo do mínimo permitido (0)"),
+        ("error", "min", "a", "error:min:a", "Valor abaixo do mínimo permitido (5)"),
+    ]
+    warned = report.warning_samples(result, 100, ["a"]).collect()
+    assert [r.a for r in warned] == list(range(91, 101))
+    assert report.invalid_samples(result, 0).count() == 0
+    assert report.invalid_samples(result, 4).count() == 4
+
+
+def test_status(spark, result):
+    row = report.load_status(result, max_samples=6).collect()[0]
+    assert (row.status, row.invalid_samples_truncated, row.warning_samples_truncated) == (
+        report.INVALID_NOT_PUBLISHED, True, True,
+    )
+    assert report.load_status(result, max_samples=0).collect()[0].invalid_samples_truncated is False
+    clean = check(spark.range(3).toDF("a"), ())
+    assert report.load_status(clean).collect()[0].status == report.PUBLISHED
+    assert report.load_status(clean, publish=False).collect()[0].status == report.VALIDATED_NOT_PUBLISHED
+    empty = check(spark.range(0).toDF("a"), ())
+    assert report.load_status(empty).collect()[0][:5] == (0, 0, 0, 0, report.NO_ROWS)
+
+
+def test_no_rules(spark):
+    clean = check(spark.range(3).toDF("a"), ())
+    assert report.rule_counts(clean).count() == 0 and report.alias_counts(clean).count() == 0
+    assert report.invalid_samples(clean).count() == 0
+
+
+def test_counts_do_not_depend_on_partitions(spark):
+    df = spark.range(-1, 101).selectExpr("cast(id as int) as a")
+    rules = parse_rules({"fields": RULES}).checks
+    seen = {
+        tuple(sorted(tuple(r) for r in report.rule_counts(check(df.repartition(n), rules)).collect()))
+        for n in (1, 2, 7)
+    }
+    assert len(seen) == 1
+
+
+def test_messages():
+    assert report.message(Rule("date_format", "a")) == "Data fora do formato esperado (None)"
+    assert report.message(Rule("decimal_scale", "a", {"scale": 2})).endswith("(2)")
+    assert report.message(Rule("shape", "a")) == "Regra violada: shape"
+
+
+def test_sample_limits():
+    assert [report.max_samples_from(v) for v in (None, "x", "7", -1, 0)] == [100, 100, 7, 0, 0]

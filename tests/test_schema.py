@@ -1,0 +1,79 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate.errors import ContractError
+from sluicegate.operators import schema
+from sluicegate.partitioning import PartitionSpec
+
+
+def one(spark, columns):
+    return spark.range(1).select(*[F.expr(e).alias(n) for n, e in columns.items()])
+
+
+def row(df):
+    return df.collect()[0].asDict()
+
+
+def test_positional_rename(spark):
+    df = one(spark, {"a": "1", "b": "2"})
+    assert schema.positional_rename(df, ["x", " ", " y "]).columns == ["x", "y"]
+    assert schema.positional_rename(df, None) is df
+    twice = df.select("a", "a")
+    assert schema.positional_rename(twice, ["x", "y"]).columns == ["x", "y"]
+    with pytest.raises(ContractError, match="more than once"):
+        schema.positional_rename(twice, [])
+    for names in (["x"], ["x", "y", "z"]):
+        with pytest.raises(ContractError, match="2 columns"):
+            schema.positional_rename(df, names)
+
+
+def test_context_columns(spark):
+    fields = [{"name": n, "source": s, "from": "ctx"} for n, s in (("tc", "tc"), ("ano", "year"))]
+    spec = PartitionSpec.parse({"fields": fields})
+    df = schema.add_context_columns(one(spark, {"tc": "'own'"}), spec, {"tc": "load", "year": 2024})
+    assert row(df) == {"tc": "own", "year": 2024}
+    with pytest.raises(ContractError, match="ano"):
+        schema.add_context_columns(one(spark, {"tc": "'own'"}), spec, {"tc": "load"})
+
+
+def test_enforce_orders_and_keeps_extras(spark):
+    df = one(spark, {"extra": "1", "b": "'2'", "a": "3"})
+    fields = [{"name": "a", "type": "utf8"}, {"name": "gone", "type": "int8"}, {"name": "b", "type": "int64"}]
+    typed = schema.enforce(df, fields)
+    assert typed.dtypes == [("a", "string"), ("b", "bigint"), ("extra", "int")]
+    assert schema.enforce(df, []).columns == df.columns
+
+
+def test_union_widens(spark):
+    left = one(spark, {"a": "1", "b": "1", "c": "1.5D", "d": "date'2024-01-05'", "e": "cast(1.5 as decimal(4,1))", "f": "null"})
+    right = one(spark, {"a": "2L", "b": "'x'", "c": "2", "d": "timestamp_ntz'2024-01-05 01:00:00'", "e": "cast(1 as decimal(6,3))", "f": "7"})
+    both = schema.union_relaxed([left, right])
+    assert [kind for _, kind in both.dtypes] == ["bigint", "string", "double", "timestamp_ntz", "decimal(6,3)", "int"]
+    assert sorted(both.collect(), key=lambda r: r.a) == [
+        (1, "1", 1.5, dt.datetime(2024, 1, 5), Decimal("1.500"), None),
+        (2, "x", 2.0, dt.datetime(2024, 1, 5, 1), Decimal("1.000"), 7),
+    ]
+    with pytest.raises(ContractError):
+        schema.union_relaxed([left, right.withColumnRenamed("a", "z")])
+
+
+def test_align_by_name(spark):
+    df = one(spark, {"t": "'1'", "i": "1", "d": "date'2024-01-05'"})
+    fields = [
+        {"name": "d", "type": "timestamp"},
+        {"name": "i", "type": "int64"},
+        {"name": "gone", "type": "decimal128(5,2)"},
+        {"name": "t", "type": "int32"},
+    ]
+    aligned = schema.align_by_name(df, fields)
+    assert aligned.dtypes == [("d", "timestamp_ntz"), ("i", "bigint"), ("gone", "decimal(5,2)"), ("t", "string")]
+    narrower = schema.align_by_name(one(spark, {"i": "1L"}), [{"name": "i", "type": "int8"}])
+    assert narrower.dtypes == [("i", "bigint")]
+
+
+def test_decimals_and_bytes(spark):
+    df = one(spark, {"n": "cast(1.5 as decimal(5,2))", "b": "X'C3A9'", "c": "X'E9'", "s": "'x'"})
+    assert row(schema.decimals_to_text(schema.bytes_to_text(df))) == {"n": "1.50", "b": "é", "c": "é", "s": "x"}

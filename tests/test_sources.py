@@ -1,0 +1,61 @@
+import pytest
+
+from sluicegate.errors import ContractError
+from sluicegate.sources.sql import JdbcSplit, extract, jdbc_options, read_sql_text, render_year
+
+URL = "jdbc:postgresql://db/x"
+
+
+def test_year_goes_into_every_placeholder():
+    assert render_year("y = {{ano}} or z = {{ano}}", {"ano": " 2024 "}) == ("y = 2024 or z = 2024", True)
+    assert render_year("{{ano}}", [2023, "x"]) == ("2023", True)
+    assert render_year("select 1", None) == ("select 1", False)
+
+
+@pytest.mark.parametrize("params", [None, {}, [], {"year": 1}, "2024"])
+def test_a_missing_year_is_an_error(params):
+    with pytest.raises(ContractError):
+        render_year("{{ano}}", params)
+
+
+def test_only_numbers_reach_the_statement():
+    with pytest.raises(ValueError):
+        render_year("{{ano}}", {"ano": "1 or 1=1"})
+
+
+def test_parameters_are_bound(spark):
+    spark.range(10).createOrReplaceTempView("numbers")
+    assert extract(spark, "select * from numbers where id > :low ;\n", {"low": 7, "unused": 1}).count() == 2
+    assert extract(spark, "select * from numbers where id > ? and id < ?", [3, 6]).count() == 2
+    assert extract(spark, "select * from numbers").count() == 10
+    assert extract(spark, "select * from numbers where id = {{ano}}", {"ano": 3}).count() == 1
+
+
+def test_jdbc_reads_are_divided():
+    options = jdbc_options(URL, "select * from t where y = {{ano}};", {"ano": 2024}, JdbcSplit("id", 0, 100, 8), user="u")
+    assert options == {
+        "url": URL,
+        "user": "u",
+        "fetchsize": "10000",
+        "dbtable": "(select * from t where y = 2024) extract",
+        "partitionColumn": "id",
+        "lowerBound": "0",
+        "upperBound": "100",
+        "numPartitions": "8",
+    }
+
+
+def test_jdbc_without_a_split_sends_the_query():
+    options = jdbc_options(URL, "select 1", fetch_size=5)
+    assert options["query"] == "select 1" and options["fetchsize"] == "5" and "dbtable" not in options
+
+
+def test_jdbc_binds_nothing():
+    with pytest.raises(ContractError):
+        jdbc_options(URL, "select * from t where y = :ano", {"ano": 2024})
+
+
+def test_sql_files(spark, tmp_path):
+    path = tmp_path / "q.sql"
+    path.write_text("select 1 as é\n-- ação\n", encoding="utf-8")
+    assert read_sql_text(spark, str(path)) == "select 1 as é\n-- ação\n"
