@@ -13,6 +13,7 @@ from sluicegate.operators.check import ROW_INVALID, ROW_WARNING, Check, CheckedF
 from sluicegate.rules import ERROR, WARNING, Rule
 
 DEFAULT_MAX_SAMPLES = 100
+MERGE_GROUPS = 1024
 
 # States of a load.
 NO_ROWS = "completed_with_no_rows"
@@ -146,19 +147,42 @@ def samples(
     max_samples: int = DEFAULT_MAX_SAMPLES,
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Up to ``max_samples`` bad rows with their reasons.
+    """Up to ``max_samples`` bad rows with their reasons, numbered from one.
 
-    ``order_by`` makes the choice repeatable: a top-k per task, merged into one list of
-    that length. Without it any rows are taken.
+    ``order_by`` makes the choice repeatable. Without it any rows are taken.
     """
-    chosen = checked.bad_rows(level).select(
+    chosen = choose_samples(checked, level, max_samples, order_by)
+    # The limit leaves at most max_samples rows for this window.
+    numbered = Window.orderBy(*([column(n) for n in order_by] or [F.lit(1)]))
+    return chosen.withColumn("__sample_seq__", F.row_number().over(numbered))
+
+
+def choose_samples(
+    checked: CheckedFrame, level: str, max_samples: int, order_by: Sequence[str] = ()
+) -> DataFrame:
+    bad = checked.bad_rows(level).select(
         *[column(n) for n in checked.data_columns], issues(checked.checks, level).alias("__issues__")
     )
-    keys = [column(n) for n in order_by]
-    limited = (chosen.orderBy(*keys) if keys else chosen).limit(max(0, max_samples))
-    # The limit leaves at most max_samples rows for this window.
-    numbered = Window.orderBy(*(keys or [F.lit(1)]))
-    return limited.withColumn("__sample_seq__", F.row_number().over(numbered))
+    if max_samples <= 0 or not order_by:
+        return bad.limit(max(0, max_samples))
+    return _first(bad, [column(n) for n in order_by], max_samples)
+
+
+def _first(df: DataFrame, keys: Sequence[Column], count: int) -> DataFrame:
+    """The first rows in order, merged in two levels.
+
+    Each task keeps its own first rows. Sent to one task directly, those of a million
+    tasks would be far more than the result; groups of tasks merge theirs first.
+    """
+    group, rank = "__merge_group__", "__rank__"
+    in_group = Window.partitionBy(group).orderBy(*keys)
+    merged = (
+        df.withColumn(group, F.spark_partition_id() % MERGE_GROUPS)
+        .withColumn(rank, F.row_number().over(in_group))
+        .where(F.col(rank) <= count)
+        .drop(group, rank)
+    )
+    return merged.orderBy(*keys).limit(count)
 
 
 def invalid_samples(checked: CheckedFrame, max_samples: int = DEFAULT_MAX_SAMPLES, order_by: Sequence[str] = ()) -> DataFrame:

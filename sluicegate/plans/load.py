@@ -9,12 +9,13 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluicegate.contract import Contract
 from sluicegate.errors import ContractError
-from sluicegate.functions.operand import column
+from sluicegate.functions.operand import TIMESTAMPS, column
 from sluicegate.operators import report
 from sluicegate.operators.check import CheckedFrame, check
 from sluicegate.operators.cleanup import clean
@@ -211,21 +212,19 @@ def _write_samples(
     max_samples: int,
     order: Sequence[str],
 ) -> _Samples:
-    """Write the bad rows as JSON lines in ``rows`` and what they belong to in ``header``."""
+    """Write one JSON document: what the samples belong to, and the rows with their reasons.
+
+    At most ``max_samples`` rows come to the driver. Without an order, Spark stops scanning
+    as soon as it has that many.
+    """
     matched = counts.rows_invalid if level == ERROR else counts.rows_warning
     count = min(matched, max(0, max_samples))
     if count == 0:
         return _Samples()
     kind = "invalid" if level == ERROR else "warning"
-    path, truncated = f"{output}/errors/{kind}_samples", matched >= max_samples
-    rows = report.samples(checked, level, max_samples, order)
-    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/rows")
-    summary = [
-        {"key": key, "count": hits}
-        for key, hits in _rule_hits(checked, counts).items()
-        if key.startswith(f"{level}:")
-    ]
-    header = {
+    path, truncated = f"{output}/errors/{kind}_samples.json", matched >= max_samples
+    hits = _rule_hits(checked, counts).items()
+    report_document = {
         **asdict(ctx),
         "kind": kind,
         "generated_at": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"),
@@ -234,11 +233,20 @@ def _write_samples(
         "samples_count": count,
         "max_samples": max_samples,
         "truncated": truncated,
-        "rules_summary": summary,
+        "rules_summary": [{"key": k, "count": n} for k, n in hits if k.startswith(f"{level}:")],
+        "samples": _sample_documents(report.choose_samples(checked, level, max_samples, order), max_samples),
     }
-    _write_text(checked.frame.sparkSession, json.dumps(header, ensure_ascii=False), f"{path}/header")
+    files.write_text(checked.frame.sparkSession, json.dumps(report_document, ensure_ascii=False, indent=2), path)
     return _Samples(path, count, truncated)
 
 
-def _write_text(spark: SparkSession, text: str, path: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+def _sample_documents(rows: DataFrame, limit: int) -> list[dict]:
+    exact_as_text = {
+        f.name: column(f.name).cast("string")
+        for f in rows.schema.fields
+        if isinstance(f.dataType, (T.DecimalType, *TIMESTAMPS))
+    }
+    shown = rows.withColumns(exact_as_text) if exact_as_text else rows
+    whole = F.struct(*[column(n) for n in shown.columns])
+    texts = shown.select(F.to_json(whole, {"ignoreNullFields": "false"})).take(limit)
+    return [{**json.loads(text), "__sample_seq__": n} for n, (text,) in enumerate(texts, start=1)]

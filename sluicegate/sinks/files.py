@@ -42,6 +42,16 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """Write one small file, replacing an older one."""
+    fs, jpath = _resolve(spark, path)
+    stream = fs.create(jpath, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def replace_directory(spark: SparkSession, staged: str, target: str, retired: str) -> None:
     """Put ``staged`` in the place of ``target``.
 

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,10 @@ def published(spark, contract, tmp_path):
     return read
 
 
+def _document(path):
+    return json.loads(Path(path).read_text(encoding="utf-8"))
+
+
 def test_a_clean_load_is_published(spark, contract, tmp_path, load, published):
     result = load(GOOD)
     assert (result.status, result.rows_total, result.rows_valid, result.rows_invalid, result.rows_warning) == (
@@ -97,11 +102,12 @@ def test_one_error_changes_nothing(spark, tmp_path, load, published):
     assert (result.status, result.rows_invalid, result.published) == (report.INVALID_NOT_PUBLISHED, 1, None)
     assert published() == before
     assert not files.exists(spark, f"{result.output_dir}/data")
-    rows = [json.loads(line) for line in spark.read.text(f"{result.invalid_samples}/rows").toPandas()["value"]]
-    assert rows[0]["k"] is None and [i["rule"] for i in rows[0]["__issues__"]] == ["required", "gt"]
-    header = json.loads(spark.read.text(f"{result.invalid_samples}/header").first()[0])
-    assert header["rows_total_processed"] == 3 and header["kind"] == "invalid" and header["tc"] == "ab"
-    assert {s["key"] for s in header["rules_summary"]} == {"error:required:k", "error:gt:amount"}
+    told = _document(result.invalid_samples)
+    row = told["samples"][0]
+    assert row["k"] is None and row["amount"] == "-1.00" and row["__sample_seq__"] == 1
+    assert [i["rule"] for i in row["__issues__"]] == ["required", "gt"]
+    assert told["rows_total_processed"] == 3 and told["kind"] == "invalid" and told["tc"] == "ab"
+    assert {s["key"] for s in told["rules_summary"]} == {"error:required:k", "error:gt:amount"}
 
 
 def test_a_new_load_replaces_its_whole_scope(load, published):
@@ -124,8 +130,8 @@ def test_without_publishing_the_snapshot_stays(spark, load):
     result = load(GOOD, publish=False)
     assert result.status == report.VALIDATED_NOT_PUBLISHED
     assert files.has_data(spark, result.staged)
-    header = json.loads(spark.read.text(f"{result.warning_samples}/header").first()[0])
-    assert (header["samples_count"], header["truncated"]) == (1, False)
+    told = _document(result.warning_samples)
+    assert (told["samples_count"], told["truncated"], told["samples"][0]["k"]) == (1, False, 3)
 
 
 def test_sample_limits(load):
@@ -219,8 +225,6 @@ def test_hot_partition_is_split_over_tasks(spark, tmp_path):
         path = write_scope(rows, spec, {"tc": "ab", "ano": 1}, str(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    from pathlib import Path
-
     assert len(list(Path(path, "code=hot").glob("*.parquet"))) > 2
     assert spark.read.parquet(path).count() == 400_000
 
