@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,21 +45,39 @@ def export_dataset(
     return run_load(source, contract, ctx, output_root, store_root if publish else None, **options)
 
 
+# States of a finished copy.
+DOWNLOADED = "downloaded"
+DOWNLOADED_ALL_YEARS = "downloaded_all_years"
+
+
+@dataclass(frozen=True)
+class CopyResult:
+    dataset: str
+    version: str
+    tc: str
+    ano: int | None
+    status: str
+    copies: tuple[str, ...]  # the replaced scope directory in every target
+
+
 def download_slice(
     spark: SparkSession, store_root: str, dataset: str, version: str, tc: str, ano: int, *targets: str
-) -> list[str]:
+) -> CopyResult:
     """Copy one published load to every target root, replacing the same scope there."""
-    values = {"tc": _name(tc), "ano": int(ano)}
-    return _copy(spark, load_contract(spark, store_root, dataset, version), store_root, values, None, targets)
+    contract = load_contract(spark, store_root, dataset, version)
+    name, year = _name(tc), int(ano)
+    copies = _copy(spark, contract, store_root, {"tc": name, "ano": year}, None, targets)
+    return CopyResult(contract.dataset, contract.version, name, year, DOWNLOADED, copies)
 
 
 def download_all_years(
     spark: SparkSession, store_root: str, dataset: str, version: str, tc: str, *targets: str
-) -> list[str]:
+) -> CopyResult:
     """Copy everything a producer has published."""
     contract = load_contract(spark, store_root, dataset, version)
-    depth = contract.partitioning.depth_through("tc")
-    return _copy(spark, contract, store_root, {"tc": _name(tc)}, depth, targets)
+    name, depth = _name(tc), contract.partitioning.depth_through("tc")
+    copies = _copy(spark, contract, store_root, {"tc": name}, depth, targets)
+    return CopyResult(contract.dataset, contract.version, name, None, DOWNLOADED_ALL_YEARS, copies)
 
 
 def _copy(
@@ -68,13 +87,13 @@ def _copy(
     values: dict[str, Any],
     depth: int | None,
     targets: tuple[str, ...],
-) -> list[str]:
+) -> tuple[str, ...]:
     if not targets:
         raise ValueError("name at least one target to copy to")
     rows = read_scope(spark, store_root, contract, values, depth)
     spec, copy_id = contract.partitioning, uuid.uuid4().hex[:8]
     roots = [f"{t.rstrip('/')}/{contract.dataset}/{contract.version}" for t in targets]
-    return [mirror_scope(rows, root, spec, values, copy_id, depth) for root in roots]
+    return tuple(mirror_scope(rows, root, spec, values, copy_id, depth) for root in roots)
 
 
 def _name(tc: str) -> str:

@@ -173,3 +173,71 @@ WIDE_LINES = {
 def rule_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve checks over the largest table in one scan and one aggregate."""
     return report.rule_counts(checked(table(spark, sf_dir, "lineitem"), WIDE_LINES)).select("key", "hits")
+
+
+DOCUMENTS = Contract.from_dicts(
+    "documents",
+    "v1",
+    {
+        "fields": [
+            {"name": "doc_id", "type": "int64"},
+            {"name": "text", "type": "string"},
+            {"name": "lang", "type": "string"},
+            {"name": "source", "type": "string"},
+            {"name": "n_chars", "type": "uint32"},
+        ]
+    },
+    {
+        "fields": {
+            "text": {
+                "normalize": [{"op": "trim"}, {"op": "replace", "old": r"[ \t]+", "new": "$0"}],
+                "validate": [
+                    {"rule": "required"},
+                    {"rule": "max_length", "value": 20000},
+                    {"rule": "regex", "pattern": "(?i)[.!?]", "level": "warning"},
+                ],
+            },
+            "lang": {"validate": [{"rule": "in", "values": ["en", "fr", "de"], "level": "warning"}]},
+            "n_chars": {
+                "validate": [{"rule": "min", "value": 20, "when": {"field": "lang", "op": "eq", "value": "en"}}]
+            },
+        },
+        "partitioning": {"style": "hive", "fields": [{"name": "tc", "source": "tc", "from": "ctx"}]},
+    },
+)
+DOCUMENT_ERROR = "(length(text) > 20000 or (n_chars < 20 and lang = 'en'))"
+DOCUMENT_WARNING = "(not regexp_matches(text, '[.!?]') or lang not in ('en', 'fr', 'de'))"
+
+
+@query(
+    f"""select lang, count(*) as rows_total, count(*) filter ({DOCUMENT_ERROR}) as rows_invalid,
+      count(*) filter ({DOCUMENT_WARNING} and not {DOCUMENT_ERROR}) as rows_warning
+    from documents group by lang"""
+)
+def row_status_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts through clean-up, cast and checks, counted per language."""
+    ctx = LoadContext.of(DOCUMENTS, 2024, "alpha")
+    result = check_prepared(prepare(table(spark, sf_dir, "documents"), DOCUMENTS, ctx), DOCUMENTS)
+    counts = [c for c, n in zip(report.row_counts(), ("rows_total", "", "rows_invalid", "rows_warning")) if n]
+    return result.frame.groupBy("lang").agg(*counts)
+
+
+@query(
+    """select key, hits from (select
+      count(*) filter (trim(url) = '') as "error:required:url",
+      count(*) filter (not regexp_matches(url, '^https?://[a-z0-9.-]+/[a-z]{2}/[0-9]+')) as "error:regex:url",
+      count(*) filter (length(html) > 20000) as "warning:max_length:html",
+      count(*) filter (not regexp_matches(html, '(?s)<html lang="(en|fr|de)".*</html>\s*$'))
+        as "warning:regex:html"
+      from pages) unpivot (hits for key in (columns(*)))"""
+)
+def rule_counts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns over whole web pages."""
+    rules = {
+        "url": [{"rule": "required"}, {"rule": "regex", "pattern": "^https?://[a-z0-9.-]+/[a-z]{2}/[0-9]+"}],
+        "html": [
+            {"rule": "max_length", "value": 20000, "level": "warning"},
+            {"rule": "regex", "pattern": r'(?s)<html lang="(en|fr|de)".*</html>\s*$', "level": "warning"},
+        ],
+    }
+    return report.rule_counts(checked(table(spark, sf_dir, "pages"), rules)).select("key", "hits")

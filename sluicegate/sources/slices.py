@@ -30,8 +30,11 @@ def read_scope(
     path = f"{base}/{spec.scope_path(values, depth)}"
     if not files.has_data(spark, path):
         raise FileNotFoundError(f"nothing is published under {path}")
-    reader = spark.read.option("basePath", base)
-    return reader.schema(_typed(reader.parquet(path).schema, contract, values)).parquet(path)
+    found = spark.read.option("basePath", base).parquet(path)
+    typed = _typed(found.schema, contract, values)
+    if typed == found.schema:
+        return found
+    return spark.read.option("basePath", base).schema(typed).parquet(path)
 
 
 def read_slice(spark: SparkSession, root: str, contract: Contract, **values: Any) -> DataFrame:

@@ -267,12 +267,14 @@ def test_export_and_download(spark, tmp_path):
     assert dry.status == report.VALIDATED_NOT_PUBLISHED
 
     contract = Contract.from_dicts("sales", "v1", SCHEMA, RULES)
-    copies = transfer.download_slice(spark, roots["store"], "sales", "v1", "AB", 2024, roots["copy"], roots["second"])
-    assert [c.removeprefix(str(tmp_path)) for c in copies] == [
+    done = transfer.download_slice(spark, roots["store"], "sales", "v1", "AB", 2024, roots["copy"], roots["second"])
+    assert [c.removeprefix(str(tmp_path)) for c in done.copies] == [
         "/copy/sales/v1/data/tc=ab/ano=2024", "/second/sales/v1/data/tc=ab/ano=2024",
     ]
+    assert (done.tc, done.ano, done.status) == ("ab", 2024, transfer.DOWNLOADED)
     assert slices.read_slice(spark, roots["copy"], contract, tc="ab", ano=2024).count() == 3
-    transfer.download_all_years(spark, roots["store"], "sales", "v1", "ab", roots["copy"])
+    done = transfer.download_all_years(spark, roots["store"], "sales", "v1", "ab", roots["copy"])
+    assert (done.ano, done.status) == (None, transfer.DOWNLOADED_ALL_YEARS)
     copied = slices.read_all_years(spark, roots["copy"], contract, "ab")
     kept = slices.read_all_years(spark, roots["store"], contract, "ab")
     assert copied.count() == 6 and copied.exceptAll(kept.select(copied.columns)).count() == 0
