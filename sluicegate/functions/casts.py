@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import re
 from dataclasses import dataclass
 from typing import Any
@@ -14,8 +13,6 @@ from pyspark.sql import types as T
 from sluicegate.functions.operand import FLOATING, INTEGRAL, NUMERIC, TIMESTAMPS, Operand
 from sluicegate.functions.text import as_text
 
-log = logging.getLogger(__name__)
-
 # Type names a contract may use.
 PLAIN_TOKENS: dict[str, T.DataType] = {
     "string": T.StringType(),
@@ -73,8 +70,6 @@ def parse_token(token: Any) -> Target:
         decimal = DECIMAL_TOKEN.fullmatch(name)
         if decimal:
             return Target(T.DecimalType(int(decimal[1]), int(decimal[2])))
-    if token is not None:
-        log.warning("type %r is not a contract type; the column is kept as text", token)
     return Target(T.StringType())
 
 

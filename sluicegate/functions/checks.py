@@ -95,10 +95,9 @@ def decimal_scale(x: Operand, args: Args) -> Column | None:
     if args.get("scale") is None:
         return None
     scale = int(args["scale"])
-    fraction = rf"(\.\d{{1,{scale}}})?" if scale > 0 else ""
-    text = F.translate(stripped(x), ",", ".")
-    # Blank text passes.
-    return ~text.rlike(patterns.JAVA_FLAGS + rf"^(-?\d+{fraction})?\z")
+    # A comma counts as a point. Blank text passes.
+    fraction = rf"([.,]\d{{1,{scale}}})?" if scale > 0 else ""
+    return ~stripped(x).rlike(patterns.JAVA_FLAGS + rf"^(-?\d+{fraction})?\z")
 
 
 # Rule names.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -16,8 +15,6 @@ from sluicegate.functions.operand import Scope, column
 from sluicegate.functions.predicates import condition, is_usable
 from sluicegate.rules import ERROR, WARNING, Rule
 
-log = logging.getLogger(__name__)
-
 # Names of the two row marks; the samples never show them.
 ROW_INVALID = "__row_invalid__"
 ROW_WARNING = "__row_warning__"
@@ -54,8 +51,6 @@ def compile_checks(rules: Sequence[Rule], scope: Scope) -> CheckPlan:
         if applies is not None:
             broken = applies & broken
         checks.append(Check(rule, _flag_name(number, rule), broken))
-    for note in notes:
-        log.warning(note)
     return CheckPlan(tuple(checks), tuple(notes))
 
 

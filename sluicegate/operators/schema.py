@@ -19,6 +19,8 @@ from sluicegate.partitioning import PartitionSpec, ctx_value
 
 log = logging.getLogger(__name__)
 
+TEXT_TOKENS = ("string", "utf8")
+
 
 def positional_rename(df: DataFrame, names: Sequence[str] | None) -> DataFrame:
     """Give the columns the contract's names, by position.
@@ -54,6 +56,9 @@ def add_context_columns(df: DataFrame, spec: PartitionSpec, ctx: Any) -> DataFra
 def enforce(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence[str] = ()) -> DataFrame:
     """Cast to the contract types (bad values become null) and put contract columns first."""
     targets = {str(f["name"]): parse_token(f.get("type")) for f in fields}
+    as_text_only = [f for f in fields if _is_text(f) and str(f.get("type")).strip().lower() not in TEXT_TOKENS]
+    if as_text_only:
+        log.warning("these types are not contract types, the columns are kept as text: %s", as_text_only)
     scope = Scope(df.schema, millis)
     present = [n for n in targets if n in df.columns]
     cast = [convert(scope.get(n, "schema"), targets[n]).col.alias(n) for n in present]
@@ -116,6 +121,10 @@ def bytes_to_text(df: DataFrame) -> DataFrame:
     return df.withColumns(texts) if texts else df
 
 
+def _is_text(field: Mapping[str, Any]) -> bool:
+    return isinstance(parse_token(field.get("type")).dtype, T.StringType)
+
+
 def _numbered(names: Sequence[str]) -> str:
     return ", ".join(f"{i}. {n}" for i, n in enumerate(names, 1))
 

@@ -110,7 +110,9 @@ def run_load(
     spark, spec = source.sparkSession, contract.partitioning
     output = f"{output_root.rstrip('/')}/{ctx.dataset}/{ctx.version}/{ctx.carga_id}"
     prepared = prepare(source, contract, ctx)
-    check_prepared(prepared, contract)  # rules that cannot compile fail before anything is written
+    # Rules that cannot compile fail here, before anything is written.
+    for note in check_prepared(prepared, contract).notes:
+        log.warning(note)
     staged = write_scope(prepared.frame, spec, ctx, f"{output}/data")
     snapshot = Prepared(read_scope_files(spark, staged, prepared.frame.schema), prepared.millis)
     checked = check_prepared(snapshot, contract)

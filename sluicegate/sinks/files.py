@@ -30,9 +30,10 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
-def renames_in_place(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _resolve(spark, path)
-    return fs.makeQualified(jpath).toUri().getScheme() not in COPY_ON_RENAME
+def renames_in_place(spark: SparkSession, source: str, target: str) -> bool:
+    """Whether moving a directory is one cheap step: same file system, and not an object store."""
+    origin, place = (_resolve(spark, path)[0].getUri() for path in (source, target))
+    return origin.equals(place) and place.getScheme() not in COPY_ON_RENAME
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:

@@ -29,7 +29,7 @@ def write_scope(
     out = df.withColumns(copies) if copies else df
     names = [f.name for f in inner]
     if names and gather and _adaptive(df.sparkSession):
-        out = out.hint("rebalance", *names)
+        out = out.hint("rebalance", *[column(n) for n in names])
     target = f"{base.rstrip('/')}/{spec.scope_path(ctx, depth)}"
     out.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*names).parquet(target)
     return target
@@ -60,7 +60,7 @@ def publish_scope(
         raise FileNotFoundError(f"nothing to publish in {staged}")
     scope = spec.scope_path(ctx, depth)
     target = f"{root.rstrip('/')}/data/{scope}"
-    if files.renames_in_place(spark, target):
+    if files.renames_in_place(spark, staged, target):
         files.replace_directory(spark, staged, target, f"{root.rstrip('/')}/_retired/{load_id}/{scope}")
         return target
     inner = [f.name for f in spec.fields[len(spec.ctx_values(ctx, depth)) :]]

@@ -53,7 +53,7 @@ def running_totals(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _move(spark: SparkSession, staged: str, target: str) -> None:
-    if files.renames_in_place(spark, target):
+    if files.renames_in_place(spark, staged, target):
         files.remove(spark, target)
         files.rename(spark, staged, target)
     else:

@@ -186,6 +186,17 @@ def test_partition_names_may_differ_from_their_columns(spark, tmp_path):
     ]
 
 
+def test_partition_columns_may_have_any_name(spark, tmp_path):
+    from sluicegate.partitioning import PartitionSpec
+    from sluicegate.sinks.publish import read_scope_files, write_scope
+
+    fields = [{"name": "tc", "source": "tc", "from": "ctx"}, {"name": "the.month of", "source": "the.month of"}]
+    spec = PartitionSpec.parse({"fields": fields})
+    df = spark.createDataFrame([(1, "a/b"), (2, "01")], ["k", "the.month of"])
+    path = write_scope(df, spec, {"tc": "ab"}, str(tmp_path))
+    assert sorted(map(tuple, read_scope_files(spark, path, df.schema).collect())) == [(1, "a/b"), (2, "01")]
+
+
 def test_a_failed_swap_brings_the_old_data_back(spark, load, published, monkeypatch):
     load(GOOD)
     before = published()
@@ -203,7 +214,7 @@ def test_a_failed_swap_brings_the_old_data_back(spark, load, published, monkeypa
 
 
 def test_stores_where_a_rename_copies(spark, load, published, monkeypatch):
-    monkeypatch.setattr(files, "renames_in_place", lambda session, path: False)
+    monkeypatch.setattr(files, "renames_in_place", lambda session, source, target: False)
     load(GOOD)
     result = load([("7", "x", "1", "099")])
     assert published() == [(7, "X", "1.00", "099", "ab", 2024)]
