@@ -43,7 +43,8 @@ DATE_TEXT = r"^\d{4}-\d{2}-\d{2}\z"
 TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?\z"
 
 EPOCH = "1970-01-01 00:00:00"
-# Milliseconds of 0001-01-01 and of the end of 9999, the range a timestamp column holds.
+# The years 1 to 9999 in days and milliseconds since the epoch: what date and time columns hold.
+DAYS_RANGE = (-719_162, 2_932_896)
 MILLIS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
 
 
@@ -107,7 +108,8 @@ def to_date(x: Operand) -> Column:
     if x.is_a(*TIMESTAMPS):
         return x.col.cast("date")
     if x.is_a(*NUMERIC):
-        return F.date_from_unix_date(to_number(x, T.IntegerType()))
+        days = to_number(x, T.IntegerType())
+        return F.date_from_unix_date(F.when(days.between(*DAYS_RANGE), days))
     if x.is_a(T.BooleanType):
         return F.lit(None).cast("date")
     return _guarded(as_text(x), DATE_TEXT).try_cast("date")

@@ -97,6 +97,8 @@ def run_load(
     publish_root: str | None = None,
     max_samples: int = report.DEFAULT_MAX_SAMPLES,
     sample_order: Sequence[str] = (),
+    stable_source: bool = False,
+    gather: bool = True,
 ) -> LoadResult:
     """Publish the source if no row has an error; otherwise change nothing published.
 
@@ -105,30 +107,45 @@ def run_load(
     reads, and lost executors re-read the snapshot rather than the source. Checks read
     only the columns that rules name. Without ``publish_root`` the load stops after the
     checks and leaves the snapshot in place.
+
+    ``stable_source`` promises that the source gives the same rows on every read, as
+    files do. The checks then run before the write, and a load with errors writes no data.
+    ``gather=False`` skips the shuffle before the write, for a source that already comes
+    in partition order.
     """
     contract.require_sound()
     spark, spec = source.sparkSession, contract.partitioning
     output = f"{output_root.rstrip('/')}/{ctx.dataset}/{ctx.version}/{ctx.carga_id}"
     prepared = prepare(source, contract, ctx)
     # Rules that cannot compile fail here, before anything is written.
-    for note in check_prepared(prepared, contract).notes:
+    checked = check_prepared(prepared, contract)
+    for note in checked.notes:
         log.warning(note)
-    staged = write_scope(prepared.frame, spec, ctx, f"{output}/data")
-    snapshot = Prepared(read_scope_files(spark, staged, prepared.frame.schema), prepared.millis)
-    checked = check_prepared(snapshot, contract)
+
+    def stage() -> str:
+        return write_scope(prepared.frame, spec, ctx, f"{output}/data", gather=gather)
+
+    staged = None
+    if not stable_source:
+        staged = stage()
+        snapshot = read_scope_files(spark, staged, prepared.frame.schema)
+        checked = check_prepared(Prepared(snapshot, prepared.millis), contract)
     counts = _count(checked, contract, ctx)
 
     invalid = _write_samples(checked, ERROR, counts, ctx, output, max_samples, sample_order)
-    warning: _Samples = _Samples()
+    warning = _Samples()
     published = None
     if counts.rows_invalid > 0:
         files.remove(spark, f"{output}/data")
+        staged = None
     else:
         _require_partition_values(counts, contract)
         warning = _write_samples(checked, WARNING, counts, ctx, output, max_samples, sample_order)
+        staged = staged or stage()
         if publish_root and counts.rows_total > 0:
             root = f"{publish_root.rstrip('/')}/{ctx.dataset}/{ctx.version}"
             published = publish_scope(spark, staged, root, spec, ctx, ctx.carga_id)
+            staged = None
     return LoadResult(
         **asdict(ctx),
         output_dir=output,
@@ -139,7 +156,7 @@ def run_load(
         rows_warning=counts.rows_warning,
         rule_hits=_rule_hits(checked, counts),
         notes=checked.notes,
-        staged=staged if published is None and counts.rows_invalid == 0 else None,
+        staged=staged,
         published=published,
         invalid_samples=invalid.path,
         invalid_samples_count=invalid.count,

@@ -227,7 +227,7 @@ def row_status_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
       count(*) filter (trim(url) = '') as "error:required:url",
       count(*) filter (not regexp_matches(url, '^https?://[a-z0-9.-]+/[a-z]{2}/[0-9]+')) as "error:regex:url",
       count(*) filter (length(html) > 20000) as "warning:max_length:html",
-      count(*) filter (not regexp_matches(html, '(?s)<html lang="(en|fr|de)".*</html>\s*$'))
+      count(*) filter (not regexp_matches(html, '(?s)<html lang="(en|fr|de)".*</html>\\s*$'))
         as "warning:regex:html"
       from pages) unpivot (hits for key in (columns(*)))"""
 )

@@ -71,8 +71,9 @@ def _document(path):
     return json.loads(Path(path).read_text(encoding="utf-8"))
 
 
-def test_a_clean_load_is_published(spark, contract, tmp_path, load, published):
-    result = load(GOOD)
+@pytest.mark.parametrize("options", [{}, {"stable_source": True}, {"gather": False}])
+def test_a_clean_load_is_published(spark, tmp_path, load, published, options):
+    result = load(GOOD, **options)
     assert (result.status, result.rows_total, result.rows_valid, result.rows_invalid, result.rows_warning) == (
         report.PUBLISHED, 3, 3, 0, 1,
     )
@@ -95,10 +96,12 @@ def test_files_are_zstd_parquet(spark, tmp_path, load):
     assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
 
 
-def test_one_error_changes_nothing(spark, tmp_path, load, published):
+@pytest.mark.parametrize("stable_source", [False, True])
+def test_one_error_changes_nothing(spark, load, published, stable_source):
     load(GOOD)
     before = published()
-    result = load([("9", "z", "1", "007"), (None, "y", "-1", "007"), ("8", "w", "abc", "011")])
+    bad = [("9", "z", "1", "007"), (None, "y", "-1", "007"), ("8", "w", "abc", "011")]
+    result = load(bad, stable_source=stable_source)
     assert (result.status, result.rows_invalid, result.published) == (report.INVALID_NOT_PUBLISHED, 1, None)
     assert published() == before
     assert not files.exists(spark, f"{result.output_dir}/data")
@@ -141,10 +144,11 @@ def test_sample_limits(load):
     assert load(bad, max_samples=0).invalid_samples is None
 
 
+@pytest.mark.parametrize("stable_source", [False, True])
 @pytest.mark.parametrize("value", [None, "", "   "])
-def test_rows_without_a_partition_value_stop_the_load(load, value):
+def test_rows_without_a_partition_value_stop_the_load(load, value, stable_source):
     with pytest.raises(ContractError, match="partition value"):
-        load([*GOOD, ("4", "d", "1", value)])
+        load([*GOOD, ("4", "d", "1", value)], stable_source=stable_source)
 
 
 def test_errors_come_before_missing_partition_values(load):
