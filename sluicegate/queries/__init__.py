@@ -5,10 +5,11 @@ from sluicegate.queries import (
     cleanups,
     conditions,
     extracts,
+    layout,
     publishing,
     reports,
     schemas,
 )
 from sluicegate.queries.base import REGISTRY
 
-__all__ = ["REGISTRY", "checks", "cleanups", "conditions", "extracts", "publishing", "reports", "schemas"]
+__all__ = ["REGISTRY", "checks", "cleanups", "conditions", "extracts", "layout", "publishing", "reports", "schemas"]
