@@ -105,23 +105,48 @@ OPERATIONS: dict[str, Callable[[Operand, Args], Operand | None]] = {
 
 
 def parse_date(text: Column, directives: str) -> Column:
-    parsed = F.try_to_date(text, patterns.java_date_format(directives))
-    if patterns.has_short_year(directives):
-        # Two-digit years 69 to 99 belong to the last century; Java reads them all as 20yy.
-        parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
-    return parsed
+    layout = patterns.number_layout(directives)
+    if layout:
+        return _iso_text(text, layout).try_cast("timestamp_ntz" if layout.has_time else "date").cast("date")
+    return _this_century(F.try_to_date(text, patterns.java_date_format(directives)), directives)
 
 
 def parse_timestamp(text: Column, directives: str) -> Column:
-    """Parse to a zone-less time, read as UTC so that no session zone can move it."""
+    """Parse to a zone-less time."""
+    layout = patterns.number_layout(directives)
+    if layout:
+        return _iso_text(text, layout).try_cast("timestamp_ntz")
+    # Read as UTC, so that no session zone can move it.
     java = patterns.java_date_format(directives) + " X"
     instant = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(java))
-    parsed = from_micros(F.unix_micros(instant))
-    if patterns.has_short_year(directives):
-        parsed = F.when(
-            F.year(parsed) >= 2069, parsed - F.expr("interval 1200 months")
-        ).otherwise(parsed)
-    return parsed
+    return _this_century(from_micros(F.unix_micros(instant)), directives)
+
+
+def _iso_text(text: Column, layout: patterns.NumberLayout) -> Column:
+    """The date as ``2024-01-05[ 10:20[:30]]``, null where the text has another shape.
+
+    A cast reads that form many times faster than a date parser reads a pattern, and a bad
+    value costs it no exception.
+    """
+
+    def number(directive: str) -> Column:
+        return F.substring(text, layout.starts[directive], patterns.NUMBER_WIDTHS[directive])
+
+    if layout.is_iso:
+        return F.when(text.rlike(layout.shape), text)
+    pieces = [number("%Y"), F.lit("-"), number("%m"), F.lit("-"), number("%d")]
+    if layout.has_time:
+        pieces += [F.lit(" "), number("%H"), F.lit(":"), number("%M")]
+    if "%S" in layout.starts:
+        pieces += [F.lit(":"), number("%S")]
+    return F.when(text.rlike(layout.shape), F.concat(*pieces))
+
+
+def _this_century(parsed: Column, directives: str) -> Column:
+    """Two-digit years 69 to 99 belong to the last century; Java reads them all as 20yy."""
+    if not patterns.has_short_year(directives):
+        return parsed
+    return F.when(F.year(parsed) >= 2069, parsed - F.expr("interval 1200 months")).otherwise(parsed)
 
 
 def choose(condition: Column, new: Operand, old: Operand) -> Operand:

@@ -7,6 +7,7 @@ default, ``$`` only at the very end, no look-around and no back-references.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from sluicegate.errors import ContractError
 
@@ -85,6 +86,10 @@ DATE_DIRECTIVES = {
 }
 _DIRECTIVE = re.compile(r"%(?:\.[369]?f|.)", re.DOTALL)
 
+# Directives for numbers of one width, and those that stand for several.
+NUMBER_WIDTHS = {"%Y": 4, "%m": 2, "%d": 2, "%H": 2, "%M": 2, "%S": 2}
+COMBINED_DIRECTIVES = {"%F": "%Y-%m-%d", "%T": "%H:%M:%S", "%R": "%H:%M"}
+
 
 def java_regex(pattern: str) -> str:
     """Translate a contract expression; raise on what linear-time engines reject."""
@@ -235,6 +240,40 @@ def java_date_format(directives: str) -> str:
     return "".join(out)
 
 
+@dataclass(frozen=True)
+class NumberLayout:
+    """A date format of full-width numbers and fixed text: its shape, and where each number starts."""
+
+    shape: str
+    starts: dict[str, int]
+    is_iso: bool  # already in the form a cast reads
+
+    @property
+    def has_time(self) -> bool:
+        return "%H" in self.starts
+
+
+def number_layout(directives: str) -> NumberLayout | None:
+    """The layout of a format that needs no general date parser, or None."""
+    for short, full in COMBINED_DIRECTIVES.items():
+        directives = directives.replace(short, full)
+    shape, starts, at, place = "^", {}, 0, 1
+    for found in _DIRECTIVE.finditer(directives):
+        width = NUMBER_WIDTHS.get(found[0])
+        if width is None or found[0] in starts:
+            return None
+        literal = directives[at : found.start()]
+        shape += re.escape(literal) + rf"\d{{{width}}}"
+        place += len(literal)
+        starts[found[0]] = place
+        place, at = place + width, found.end()
+    day, time = {"%Y", "%m", "%d"}, starts.keys() & {"%H", "%M", "%S"}
+    if not day <= starts.keys() or (time and not {"%H", "%M"} <= time):
+        return None
+    is_iso = re.fullmatch("%Y-%m-%d([ T]%H:%M(:%S)?)?", directives) is not None
+    return NumberLayout(shape + re.escape(directives[at:]) + r"\z", starts, is_iso)
+
+
 def has_short_year(directives: str) -> bool:
     return any(found[0] in ("%y", "%D") for found in _DIRECTIVE.finditer(directives))
 

@@ -28,6 +28,24 @@ def test_to_date(spark):
     assert clean_with(spark, "int", [20240105], {"op": "to_date", "args": {"format": "%Y%m%d"}}) == [dt.date(2024, 1, 5)]
 
 
+@pytest.mark.parametrize(
+    "form", ["%Y-%m-%d", "%d/%m/%Y", "%Y%m%d", "dia %d.%m.%Y", "%F %T", "%H:%M|%d-%m-%Y", "%d %B %Y", "%j/%Y", "%y%m%d"]
+)
+def test_dates_against_the_standard_library(spark, form):
+    days = [dt.datetime(y, m, d, 13, 45, 59) for y in (1972, 1999, 2024) for m in (1, 2, 12) for d in (1, 28, 29, 31) if d < 29 or m != 2]
+    texts = [d.strftime(form) for d in days]
+    broken = [t[:-1] for t in texts] + [t + "0" for t in texts] + [" " + t for t in texts] + ["", "x", None]
+    got = clean_with(spark, "string", [*texts, *broken], {"op": "to_date", "format": form})
+    assert got == [d.date() for d in days] + [None] * len(broken)
+
+
+def test_times_out_of_range_are_not_dates(spark):
+    step = {"op": "to_date", "format": "%Y-%m-%d %H:%M"}
+    assert clean_with(spark, "string", ["2024-01-05 24:00", "2024-01-05 10:60", "2024-01-05 10:59"], step) == [
+        None, None, dt.date(2024, 1, 5),
+    ]
+
+
 def test_two_digit_years(spark):
     step = {"op": "to_date", "format": "%d/%m/%y"}
     assert clean_with(spark, "string", ["05/01/68", "05/01/69", "29/02/96"], step) == [

@@ -2,7 +2,7 @@ import pytest
 from frames import broken, clean_with
 
 from sluicegate.errors import ContractError
-from sluicegate.functions.patterns import java_date_format, java_regex, java_replacement
+from sluicegate.functions.patterns import java_date_format, java_regex, java_replacement, number_layout
 
 
 def matches(spark, pattern, given):
@@ -68,6 +68,14 @@ def test_replacement_leaves_group_counts_to_real_groups():
     assert java_replacement("$1", r"(?:x)(a)") == "$1"
 
 
+def test_number_layouts():
+    layout = number_layout("%d/%m/%YT%T")
+    assert layout.starts == {"%d": 1, "%m": 4, "%Y": 7, "%H": 12, "%M": 15, "%S": 18} and layout.has_time
+    assert not number_layout("%Y%m%d").has_time
+    for general in ("%d/%m/%y", "%d %B %Y", "%Y-%m", "%Y-%m-%d %H", "%Y-%m-%d%d", "%Y-%m-%d %S", "%Y-%m-%d %H:%M%.f"):
+        assert number_layout(general) is None
+
+
 def test_date_formats():
     assert java_date_format("%Y-%m-%dT%H:%M:%S%.3f") == "yyyy-MM-dd'T'HH:mm:ss.SSS"
     assert java_date_format("%d de %B") == "dd 'de' MMMM"
