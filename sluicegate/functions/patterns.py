@@ -54,11 +54,15 @@ CATEGORY_NAMES = {
 }
 
 _PROPERTY = re.compile(r"\\([pP])\{(\^?)([^}]+)\}")
-_CODE_POINT = re.compile(r"\\[xuU]\{([0-9A-Fa-f]+)\}")
+_CODE_POINT = re.compile(r"\\(?:[xuU]\{([0-9A-Fa-f]+)\}|U([0-9A-Fa-f]{8}))")
+_POSSESSIVE = re.compile(r"(?:[*+?]|\{\d+(?:,\d*)?\})\+")
 _POSIX = re.compile(r"\[:(\^?)([a-z]+):\]")
 _GROUP = re.compile(r"\(\?(?:P?<([A-Za-z_]\w*)>|([imsxUuR-]+)([:)])|(<?[=!]))")
 _REFERENCE = re.compile(r"\$(?:\$|\{([^}]*)\}|(\w+))", re.ASCII)
 
+# Letters that mean something after a backslash.
+ESCAPED_LETTERS = frozenset("aftnrvxupPdDsSwWbBAz")
+
 # Date directives and their Java letters.
 DATE_DIRECTIVES = {
     "%Y": "yyyy",
@@ -122,6 +126,8 @@ def java_regex(pattern: str) -> str:
                 out.append(r"\]")
                 at += 1
             continue
+        elif _POSSESSIVE.match(pattern, at):
+            raise ContractError(f"regular expression {pattern!r}: a quantifier follows a quantifier")
         elif char == "$" and not multi_line:
             out.append(r"\z")
             at += 1
@@ -147,9 +153,11 @@ def _escape(pattern: str, at: int) -> tuple[str, int]:
             return render(found), found.end()
     if at + 1 == len(pattern):
         raise ContractError(f"regular expression {pattern!r} ends in a backslash")
-    if pattern[at + 1] in "123456789k":
-        raise ContractError(f"regular expression {pattern!r}: back-references are not supported")
-    return pattern[at : at + 2], at + 2
+    escaped = pattern[at + 1]
+    if (escaped.isalpha() and escaped not in ESCAPED_LETTERS) or escaped.isdigit():
+        raise ContractError(f"regular expression {pattern!r}: \\{escaped} is not supported")
+    # In Java \v is a class of line ends, not the vertical tab.
+    return r"\x0B" if escaped == "v" else "\\" + escaped, at + 2
 
 
 def _property(found: re.Match) -> str:
@@ -163,7 +171,7 @@ def _property(found: re.Match) -> str:
 
 
 def _code_point(found: re.Match) -> str:
-    return f"\\x{{{found[1]}}}"
+    return f"\\x{{{found[1] or found[2]}}}"
 
 
 def _posix(found: re.Match) -> str:

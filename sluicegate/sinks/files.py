@@ -57,7 +57,8 @@ def replace_directory(spark: SparkSession, staged: str, target: str, retired: st
     """Put ``staged`` in the place of ``target``.
 
     The old directory steps aside first and comes back if the new one cannot move in,
-    so a failure never leaves the scope empty.
+    so a failure never leaves the scope empty. Once it is out of use it is for the caller
+    to remove.
     """
     had_old = exists(spark, target)
     if had_old:
@@ -69,8 +70,6 @@ def replace_directory(spark: SparkSession, staged: str, target: str, retired: st
         if had_old:
             rename(spark, retired, target)
         raise
-    if had_old:
-        remove(spark, retired)
 
 
 def _path(spark: SparkSession, path: str):

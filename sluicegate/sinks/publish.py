@@ -61,7 +61,9 @@ def publish_scope(
     scope = spec.scope_path(ctx, depth)
     target = f"{root.rstrip('/')}/data/{scope}"
     if files.renames_in_place(spark, staged, target):
-        files.replace_directory(spark, staged, target, f"{root.rstrip('/')}/_retired/{load_id}/{scope}")
+        retired = f"{root.rstrip('/')}/_retired/{load_id}"
+        files.replace_directory(spark, staged, target, f"{retired}/{scope}")
+        files.remove(spark, retired)
         return target
     inner = [f.name for f in spec.fields[len(spec.ctx_values(ctx, depth)) :]]
     rows = spark.read.schema(_with_text(spark.read.parquet(staged).schema, inner)).parquet(staged)
@@ -85,7 +87,9 @@ def mirror_scope(
     spark = df.sparkSession
     staging = f"{root.rstrip('/')}/_staging/{load_id}"
     staged = write_scope(df, spec, values, staging, depth, gather=False)
-    return publish_scope(spark, staged, root, spec, values, load_id, depth)
+    target = publish_scope(spark, staged, root, spec, values, load_id, depth)
+    files.remove(spark, staging)
+    return target
 
 
 def _with_text(schema: T.StructType, names: list[str]) -> T.StructType:

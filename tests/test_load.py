@@ -83,7 +83,7 @@ def test_a_clean_load_is_published(spark, tmp_path, load, published, options):
         (2, "B", "20.00", "007", "ab", 2024),
         (3, "C", "5000.00", "010", "ab", 2024),
     ]
-    assert result.staged is None and not files.has_data(spark, f"{result.output_dir}/data")
+    assert result.staged is None and not files.exists(spark, f"{result.output_dir}/data")
     names = [p.name for p in (tmp_path / "store/sales/v1/data/tc=ab/ano=2024").iterdir() if p.is_dir()]
     assert sorted(names) == ["code=007", "code=010"]
 
@@ -113,12 +113,13 @@ def test_one_error_changes_nothing(spark, load, published, stable_source):
     assert {s["key"] for s in told["rules_summary"]} == {"error:required:k", "error:gt:amount"}
 
 
-def test_a_new_load_replaces_its_whole_scope(load, published):
+def test_a_new_load_replaces_its_whole_scope(tmp_path, load, published):
     load(GOOD)
     load(GOOD, tc="abc")
     load(GOOD, ano=2023)
     load([("7", "x", "1", "099")])
     assert published() == [(7, "X", "1.00", "099", "ab", 2024)]
+    assert [p.name for p in (tmp_path / "store/sales/v1/_retired").iterdir()] == []
     assert len(published(tc="abc")) == 3 and len(published(ano=2023)) == 3
 
 

@@ -46,6 +46,18 @@ def test_named_groups(spark):
     assert matches(spark, r"^(?P<first_part>a)(?<b>b)$", ["ab"]) == [True]
 
 
+def test_escapes(spark):
+    assert matches(spark, r"^\x41\u0042\U00000043\.\-\/$", ["ABC.-/"]) == [True]
+    assert matches(spark, r"^\v$", ["\x0b", "\n"]) == [True, False]
+    assert matches(spark, r"^a+?b*?c??[+]+\++$", ["abc++"]) == [True]
+
+
+@pytest.mark.parametrize("pattern", ["a++", "a*+", "a?+", "a{2}+", "a{1,}+", r"\Za", r"\Qa\E", r"\h", r"\R", r"\0"])
+def test_refused_where_java_means_something_else(pattern):
+    with pytest.raises(ContractError):
+        java_regex(pattern)
+
+
 @pytest.mark.parametrize("pattern", [r"(a)\1", "(?=a)", "(?!a)", "(?<=a)b", "(?<!a)b", "(?U)a+", "[[:nope:]]", "a\\"])
 def test_rejected(pattern):
     with pytest.raises(ContractError):
