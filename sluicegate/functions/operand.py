@@ -37,16 +37,13 @@ class Scope:
     """The columns that rules may refer to, as operands."""
 
     def __init__(self, schema: T.StructType, millis: Iterable[str] = ()):
-        short = set(millis)
-        self._operands = {
-            f.name: Operand(column(f.name), f.dataType, 3 if f.name in short else 6)
-            for f in schema.fields
-        }
+        self._types = {f.name: f.dataType for f in schema.fields}
+        self._millis = frozenset(millis)
 
     def __contains__(self, name: str) -> bool:
-        return name in self._operands
+        return name in self._types
 
     def get(self, name: str, asked_by: str) -> Operand:
-        if name not in self._operands:
+        if name not in self._types:
             raise ContractError(f"{asked_by}: column '{name}' is not in the data")
-        return self._operands[name]
+        return Operand(column(name), self._types[name], 3 if name in self._millis else 6)

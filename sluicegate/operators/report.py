@@ -185,11 +185,15 @@ def _first(df: DataFrame, keys: Sequence[Column], count: int) -> DataFrame:
     return merged.orderBy(*keys).limit(count)
 
 
-def invalid_samples(checked: CheckedFrame, max_samples: int = DEFAULT_MAX_SAMPLES, order_by: Sequence[str] = ()) -> DataFrame:
+def invalid_samples(
+    checked: CheckedFrame, max_samples: int = DEFAULT_MAX_SAMPLES, order_by: Sequence[str] = ()
+) -> DataFrame:
     return samples(checked, ERROR, max_samples, order_by)
 
 
-def warning_samples(checked: CheckedFrame, max_samples: int = DEFAULT_MAX_SAMPLES, order_by: Sequence[str] = ()) -> DataFrame:
+def warning_samples(
+    checked: CheckedFrame, max_samples: int = DEFAULT_MAX_SAMPLES, order_by: Sequence[str] = ()
+) -> DataFrame:
     return samples(checked, WARNING, max_samples, order_by)
 
 

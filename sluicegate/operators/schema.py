@@ -49,7 +49,8 @@ def positional_rename(df: DataFrame, names: Sequence[str] | None) -> DataFrame:
 
 def add_context_columns(df: DataFrame, spec: PartitionSpec, ctx: Any) -> DataFrame:
     """Add the load's own values as columns, unless the data already has them."""
-    missing = {f.source: F.lit(ctx_value(ctx, f)) for f in spec.ctx_fields if f.source not in df.columns}
+    own = df.columns
+    missing = {f.source: F.lit(ctx_value(ctx, f)) for f in spec.ctx_fields if f.source not in own}
     return df.withColumns(missing) if missing else df
 
 
@@ -59,10 +60,10 @@ def enforce(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence
     as_text_only = [f for f in fields if _is_text(f) and str(f.get("type")).strip().lower() not in TEXT_TOKENS]
     if as_text_only:
         log.warning("these types are not contract types, the columns are kept as text: %s", as_text_only)
-    scope = Scope(df.schema, millis)
-    present = [n for n in targets if n in df.columns]
+    scope, own = Scope(df.schema, millis), df.columns
+    present = [n for n in targets if n in own]
     cast = [convert(scope.get(n, "schema"), targets[n]).col.alias(n) for n in present]
-    return df.select(*cast, *[column(n) for n in df.columns if n not in targets])
+    return df.select(*cast, *[column(n) for n in own if n not in targets])
 
 
 def millis_fields(fields: Sequence[Mapping[str, Any]]) -> list[str]:
@@ -77,11 +78,12 @@ def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
         if other.columns != names:
             raise ContractError(f"cannot stack columns {other.columns} under {names}")
     kinds = [_widest([f.schema[i].dataType for f in frames]) for i in range(len(names))]
-    aligned = [
-        f.select(*[_widen(Operand(column(n), f.schema[i].dataType), k).alias(n) for i, (n, k) in enumerate(zip(names, kinds))])
-        for f in frames
-    ]
-    return reduce(DataFrame.union, aligned)
+
+    def widened(df: DataFrame) -> DataFrame:
+        own = [Operand(column(f.name), f.dataType) for f in df.schema.fields]
+        return df.select(*[_widen(x, kind).alias(n) for x, kind, n in zip(own, kinds, names)])
+
+    return reduce(DataFrame.union, map(widened, frames))
 
 
 def align_by_name(df: DataFrame, fields: Sequence[Mapping[str, Any]]) -> DataFrame:
@@ -90,13 +92,14 @@ def align_by_name(df: DataFrame, fields: Sequence[Mapping[str, Any]]) -> DataFra
     A column is cast only where every value survives; otherwise it keeps its own type
     and the contract cast decides later.
     """
+    own = {f.name: f.dataType for f in df.schema.fields}
     chosen = []
     for field in fields:
         name, dtype = str(field["name"]), parse_token(field.get("type")).dtype
-        if name not in df.columns:
+        if name not in own:
             chosen.append(F.lit(None).cast(dtype).alias(name))
             continue
-        safe = _keeps_every_value(df.schema[name].dataType, dtype)
+        safe = _keeps_every_value(own[name], dtype)
         chosen.append((column(name).cast(dtype) if safe else column(name)).alias(name))
     return df.select(*chosen)
 

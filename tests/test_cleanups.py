@@ -33,7 +33,8 @@ def test_to_date(spark):
     "form", ["%Y-%m-%d", "%d/%m/%Y", "%Y%m%d", "dia %d.%m.%Y", "%F %T", "%H:%M|%d-%m-%Y", "%d %B %Y", "%j/%Y", "%y%m%d"]
 )
 def test_dates_against_the_standard_library(spark, form):
-    days = [dt.datetime(y, m, d, 13, 45, 59) for y in (1972, 1999, 2024) for m in (1, 2, 12) for d in (1, 28, 29, 31) if d < 29 or m != 2]
+    pairs = [(m, d) for m in (1, 2, 12) for d in (1, 28, 29, 31) if m != 2 or d < 29]
+    days = [dt.datetime(y, m, d, 13, 45, 59) for y in (1972, 1999, 2024) for m, d in pairs]
     texts = [d.strftime(form) for d in days]
     broken = [t[:-1] for t in texts] + [t + "0" for t in texts] + [" " + t for t in texts] + ["", "x", None]
     got = clean_with(spark, "string", [*texts, *broken], {"op": "to_date", "format": form})

@@ -272,14 +272,17 @@ def test_export_and_download(spark, tmp_path):
     (tmp_path / "sql/sales").mkdir(parents=True)
     (tmp_path / "sql/sales/v1.sql").write_text("select k, name, amount, code from raw_sales where ano = {{ano}};\n")
     raw = [(*row, ano) for ano in (2023, 2024) for row in GOOD]
-    spark.createDataFrame(raw, "k string, name string, amount string, code string, ano int").createOrReplaceTempView("raw_sales")
+    kinds = "k string, name string, amount string, code string, ano int"
+    spark.createDataFrame(raw, kinds).createOrReplaceTempView("raw_sales")
     roots = {n: str(tmp_path / n) for n in ("sql", "store", "out", "copy", "second")}
     for ano in (2023, 2024):
         result = transfer.export_dataset(
             spark, "Sales", " V1 ", ano, " AB ", roots["sql"], roots["store"], roots["out"]
         )
         assert result.status == report.PUBLISHED and result.rows_total == 3
-    dry = transfer.export_dataset(spark, "sales", "v1", 2024, "ab", roots["sql"], roots["store"], roots["out"], publish=False)
+    dry = transfer.export_dataset(
+        spark, "sales", "v1", 2024, "ab", roots["sql"], roots["store"], roots["out"], publish=False
+    )
     assert dry.status == report.VALIDATED_NOT_PUBLISHED
 
     contract = Contract.from_dicts("sales", "v1", SCHEMA, RULES)

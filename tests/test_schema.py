@@ -48,8 +48,10 @@ def test_enforce_orders_and_keeps_extras(spark):
 
 
 def test_union_widens(spark):
-    left = one(spark, {"a": "1", "b": "1", "c": "1.5D", "d": "date'2024-01-05'", "e": "cast(1.5 as decimal(4,1))", "f": "null"})
-    right = one(spark, {"a": "2L", "b": "'x'", "c": "2", "d": "timestamp_ntz'2024-01-05 01:00:00'", "e": "cast(1 as decimal(6,3))", "f": "7"})
+    day, time = "date'2024-01-05'", "timestamp_ntz'2024-01-05 01:00:00'"
+    wide, fine = "cast(1.5 as decimal(4,1))", "cast(1 as decimal(6,3))"
+    left = one(spark, {"a": "1", "b": "1", "c": "1.5D", "d": day, "e": wide, "f": "null"})
+    right = one(spark, {"a": "2L", "b": "'x'", "c": "2", "d": time, "e": fine, "f": "7"})
     both = schema.union_relaxed([left, right])
     assert [kind for _, kind in both.dtypes] == ["bigint", "string", "double", "timestamp_ntz", "decimal(6,3)", "int"]
     assert sorted(both.collect(), key=lambda r: r.a) == [
