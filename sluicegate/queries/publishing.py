@@ -165,11 +165,14 @@ EVENTS = Contract.from_dicts(
 )
 
 
+FILES_PER_BATCH = 1000
+
+
 def _run_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Drain the events table as a stream, one file per batch, and return where it went."""
+    """Drain the events table as a stream, many files per batch, and return where it went."""
     root, schema = scratch(spark), table(spark, sf_dir, "events").schema
     # A pattern, because a stream takes directories or patterns and the table may be one file.
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
     stream = files.parquet(f"{sf_dir}/event[s].parquet")
     writer = gate_stream(stream, EVENTS, LoadContext.of(EVENTS, 2024, "alpha"), root, f"{root}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
