@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -110,11 +108,3 @@ def orders_contract(
     return Contract.from_dicts(
         "orders", "v1", {"fields": schema}, {"fields": fields, "partitioning": partitioning}
     )
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new directory in the shared folder of the cluster; a temporary one only in its absence."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="sluicegate-")
-    return f"{shared.rstrip('/')}/sluicegate/{uuid.uuid4().hex}"

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from sluicegate import partitioning
 from sluicegate.contract import Contract
 from sluicegate.plans.load import LoadContext, LoadResult, prepare, run_load
-from sluicegate.queries.base import dirty_orders, orders_contract, query, scratch, table, WITH_DIRTY_ORDERS
+from sluicegate.queries.base import dirty_orders, orders_contract, query, table, WITH_DIRTY_ORDERS
+from sluicegate.scratch import scratch
 from sluicegate.sinks.publish import mirror_scope, read_scope_files, write_scope
 from sluicegate.sources import slices
 from sluicegate.streaming.gate import gate_stream, read_batches, running_totals

@@ -68,7 +68,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("OFF")
     connection, sql, failed = connect(sf_dir), entries.oracle_sql(), 0
     for name, run in entries.queries().items():
-        if sys.argv[1:] and name not in sys.argv[1:]:
+        if name not in sql or sys.argv[1:] and name not in sys.argv[1:]:
             continue
         started = time.time()
         try:
