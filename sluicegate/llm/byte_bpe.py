@@ -21,7 +21,9 @@ from sluicegate.llm.pretokens import cut, word_and_tail
 from sluicegate.llm.rows import ChunkCache, map_rows
 
 # Pairs of tokens whose standing side by side is remembered, per worker.
-PAIRS = 1 << 20
+PAIRS = 1 << 19
+# Bytes of a word whose stored tokens are kept for other words that begin alike.
+HEAD = 6
 
 
 class Ranks:
@@ -32,9 +34,10 @@ class Ranks:
             pairs = (line.split() for line in lines if line.strip())
             self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.token = {rank: token for token, rank in self.rank.items()}
-        self.longest = max(map(len, self.rank))
-        self._whole: dict[int, bool] = {}
-        self._beside: dict[tuple[int, int], bool] = {}
+        # Tokens that can stand in an encoding at all: their own bytes encode to them.
+        self.standing = {token: rank for token, rank in self.rank.items() if self.merged(token) == [rank]}
+        self.longest = max(map(len, self.standing))
+        self.beside = Pairs(self)
 
     def merged(self, data: bytes) -> list[int]:
         """The encoding by its definition: the lowest-ranked neighbours merge first, the left ones at a tie.
@@ -51,21 +54,21 @@ class Ranks:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.rank[part] for part in parts]
 
-    def stands_alone(self, token: int) -> bool:
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = self.merged(self.token[token]) == [token]
-        return known
 
-    def beside(self, left: int, right: int) -> bool:
-        """Whether the two tokens stay as they are when they meet."""
-        known = self._beside.get((left, right))
-        if known is None:
-            if len(self._beside) >= PAIRS:
-                self._beside.clear()
-            known = self.merged(self.token[left] + self.token[right]) == [left, right]
-            self._beside[left, right] = known
-        return known
+class Pairs(dict):
+    """Whether two tokens stay as they are when they meet, worked out when first asked for."""
+
+    def __init__(self, ranks: Ranks):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        if len(self) >= PAIRS:
+            self.clear()
+        left, right = pair
+        stay = self.ranks.merged(self.ranks.token[left] + self.ranks.token[right]) == [left, right]
+        self[pair] = stay
+        return stay
 
 
 class PrefixEncoder:
@@ -76,16 +79,15 @@ class PrefixEncoder:
         self.append(data)
 
     def append(self, data: bytes) -> None:
-        ranks, start = self.ranks, len(self.data)
+        start = len(self.data)
         self.data += data
-        whole = bytes(self.data)
+        whole, last = bytes(self.data), self.last
+        standing, beside, longest = self.ranks.standing.get, self.ranks.beside, self.ranks.longest
         for end in range(start + 1, len(whole) + 1):
-            for begin in range(max(0, end - ranks.longest), end):
-                token = ranks.rank.get(whole[begin:end])
-                if token is None or not ranks.stands_alone(token):
-                    continue
-                if begin == 0 or ranks.beside(self.last[begin - 1], token):
-                    self.last.append(token)
+            for begin in range(end - longest if end > longest else 0, end):
+                token = standing(whole[begin:end])
+                if token is not None and (begin == 0 or beside[last[begin - 1], token]):
+                    last.append(token)
                     break
             else:
                 raise ValueError(f"no token ends at byte {end}: the vocabulary lacks a byte")
@@ -111,9 +113,19 @@ class Encoder:
         self.ranks, self.pattern = Ranks(path), regex.compile(pattern)
         self.words = ChunkCache(self._word)
         self.chunks = ChunkCache(self._chunk)
+        self.heads = ChunkCache(lambda head: PrefixEncoder(self.ranks, head).last)
 
     def _word(self, word: str) -> bytes:
-        return array("I", PrefixEncoder(self.ranks, word.encode("utf-8", "replace")).ids()).tobytes()
+        data = word.encode("utf-8", "replace")
+        whole = self.ranks.standing.get(data)
+        if whole is not None:
+            return array("I", [whole]).tobytes()
+        grown = PrefixEncoder(self.ranks)
+        # Words share their beginnings, and what is stored for a prefix holds whatever is appended.
+        head = data[:HEAD]
+        grown.data, grown.last = bytearray(head), self.heads[head][:]
+        grown.append(data[HEAD:])
+        return array("I", grown.ids()).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         word, tail = word_and_tail(chunk)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +45,7 @@ def map_rows(df: DataFrame, names: Sequence[str], rule: Callable[..., Iterable[t
 
 
 class ChunkCache(dict):
-    """Encodings by chunk of text, made when first asked for.
+    """What ``encode`` gives for a chunk of text or bytes, made when first asked for.
 
     Holds at most ``limit`` chunks and starts anew beyond that, so that its memory is bounded whatever
     the corpus. Long chunks are not kept.
@@ -52,11 +53,11 @@ class ChunkCache(dict):
 
     LONGEST = 64
 
-    def __init__(self, encode: Callable[[str], bytes], limit: int = 1 << 19):
+    def __init__(self, encode: Callable[[Any], Any], limit: int = 1 << 18):
         super().__init__()
         self.encode, self.limit = encode, limit
 
-    def __missing__(self, chunk: str) -> bytes:
+    def __missing__(self, chunk: Any) -> Any:
         ids = self.encode(chunk)
         if len(chunk) <= self.LONGEST:
             if len(self) >= self.limit:
