@@ -34,18 +34,27 @@ class Ranks:
             pairs = (line.split() for line in lines if line.strip())
             self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.token = {rank: token for token, rank in self.rank.items()}
+        self._halves: dict[int, tuple[int, int]] = {}
         # Tokens that can stand in an encoding at all: their own bytes encode to them.
         self.standing = {token: rank for token, rank in self.rank.items() if self.merged(token) == [rank]}
         self.longest = max(map(len, self.standing))
         self.beside = Pairs(self)
 
-    def merged(self, data: bytes) -> list[int]:
+    def halves(self, token: int) -> tuple[int, int]:
+        """The two tokens whose merge makes this one."""
+        known = self._halves.get(token)
+        if known is None:
+            left, right = self.merged(self.token[token], 2)
+            known = self._halves[token] = left, right
+        return known
+
+    def merged(self, data: bytes, least: int = 1) -> list[int]:
         """The encoding by its definition: the lowest-ranked neighbours merge first, the left ones at a tie.
 
-        Only for short strings; its cost grows with the square of the length.
+        Stops at ``least`` parts. Only for tokens; its cost grows with the square of the length.
         """
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > least:
             ranked = [self.rank.get(a + b, -1) for a, b in zip(parts, parts[1:])]
             best = min((r for r in ranked if r >= 0), default=-1)
             if best < 0:
@@ -56,17 +65,50 @@ class Ranks:
 
 
 class Pairs(dict):
-    """Whether two tokens stay as they are when they meet, worked out when first asked for."""
+    """Whether two tokens stay as they are when they meet, worked out when first asked for.
+
+    While two neighbours merge from their bytes, the parts that touch are those on the right edge of the left
+    token and on the left edge of the right one. Each such part lives until the merge that absorbs it. The
+    neighbours stay apart when no two parts that touch make a token that comes before both of these merges;
+    at equal rank the merge further left comes first.
+    """
 
     def __init__(self, ranks: Ranks):
         super().__init__()
         self.ranks = ranks
+        self.edges: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
+
+    def edge(self, token: int, right: bool) -> list[tuple[bytes, float]]:
+        """Parts at one edge from a byte to the token, with the rank of the merge that absorbs each."""
+        known = self.edges.get((token, right))
+        if known is None:
+            data, known = self.ranks.token[token], []
+            if len(data) > 1:
+                known = self.edge(self.ranks.halves(token)[right], right)[:-1]
+                part = self.ranks.token[self.ranks.halves(token)[right]]
+                known.append((part, token))
+            known.append((data, float("inf")))
+            self.edges[token, right] = known
+        return known
 
     def __missing__(self, pair: tuple[int, int]) -> bool:
         if len(self) >= PAIRS:
             self.clear()
-        left, right = pair
-        stay = self.ranks.merged(self.ranks.token[left] + self.ranks.token[right]) == [left, right]
+        rank = self.ranks.rank.get
+        left, right = iter(self.edge(pair[0], True)), iter(self.edge(pair[1], False))
+        (one, one_until), (other, other_until) = next(left), next(right)
+        stay = True
+        while True:
+            together = rank(one + other)
+            if together is not None and together < one_until and together <= other_until:
+                stay = False
+                break
+            if one_until == other_until == float("inf"):
+                break
+            if one_until <= other_until:
+                one, one_until = next(left)
+            else:
+                other, other_until = next(right)
         self[pair] = stay
         return stay
 

@@ -53,7 +53,7 @@ class ChunkCache(dict):
 
     LONGEST = 64
 
-    def __init__(self, encode: Callable[[Any], Any], limit: int = 1 << 18):
+    def __init__(self, encode: Callable[[Any], Any], limit: int = 1 << 19):
         super().__init__()
         self.encode, self.limit = encode, limit
 

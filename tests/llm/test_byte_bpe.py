@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -64,3 +65,12 @@ def test_appends_and_edits_give_the_encoding_of_the_result(library):
     grown.replace(3, 10, b"forgett")
     assert grown.ids() == ranks.merged(b"unbforgett" + text[10:].encode())
     assert byte_bpe.PrefixEncoder(ranks).ids() == []
+
+
+def test_pairs_agree_with_merging():
+    ranks, chance = byte_bpe.Ranks(PATH), random.Random(5)
+    tokens = list(ranks.standing.values())
+    short = [t for t in tokens if t < 3000]
+    for _ in range(20_000):
+        left, right = chance.choice(tokens if _ % 2 else short), chance.choice(tokens if _ % 3 else short)
+        assert ranks.beside[left, right] == (ranks.merged(ranks.token[left] + ranks.token[right]) == [left, right])
