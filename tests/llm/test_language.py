@@ -1,0 +1,43 @@
+import zlib
+
+from sluicegate.llm import language
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_backing_off():
+    model = language.Model(("a", "b"), {0: {"the": (1.0, 7.0)}, 5: {}, 4: {}, 3: {"abc": (7.0, 2.0)}, 2: {}, 1: {}}, "b")
+    scorer = language.Scorer(model)
+    assert scorer.predict("The THE")[0] == "a"
+    assert scorer.predict("xabcx")[0] == "b"
+    assert scorer.predict("qqq") == ("b", 0.0)
+    assert scorer.predict(" 12 ²_") == ("und", 0.0) == scorer.predict(None)
+    assert language.grams("ab", 3) == [" ab", "ab "] and language.grams("a", 5) == []
+
+
+def test_memory_starts_anew(monkeypatch):
+    monkeypatch.setattr(language, "REMEMBERED", 3)
+    monkeypatch.setattr(language, "SIZES", ())
+    model = language.Model(("a", "b"), {0: {w: (1.0, 2.0) for w in "uvwxyz"}}, "a")
+    scorer = language.Scorer(model)
+    assert [scorer.predict(t)[0] for t in ("u v w", "x y z", "u z")] == ["a"] * 3
+
+
+def test_odd_rows(spark):
+    rows = [(1, "hello world", "en", 0.5), (3, None, "en", 0.5), (4, "", None, 0.5), (None, "hello", "en", 0.5), (1, "hello world", "en", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    got = language.identify(docs)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert {(r.doc_id, r.lang_pred) for r in got.collect()} == {(1, "en"), (3, "und"), (4, "und"), (None, "en")}
+    assert got.count() == 5
+    assert language.identify(docs.limit(0)).collect() == []
+    unlabelled = language.identify(docs.withColumn("lang", docs.lang.substr(9, 1)).where("lang is null")).collect()
+    assert {r.lang_pred for r in unlabelled} == {"und"}
