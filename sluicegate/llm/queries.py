@@ -5,13 +5,77 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import byte_bpe
+from sluicegate.llm import byte_bpe, chat, language, packing, pii, syncmers, token_files, wrappers
+from sluicegate.llm.library_bpe import library_encoder
 from sluicegate.queries.base import Entry, table
 
+# A conversation of control strings, beside those of the table.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+CONTROL_TURNS = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    return chat.digest_conversations(chat.format_turns(turns.unionByName(control)))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summarise(table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), lambda: library_encoder(path, False).encode)
+
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encoding_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-ENTRIES = {run.__name__: Entry(run, None) for run in (op8_byte_bpe,)}
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_files(table(spark, sf_dir, "documents"), lambda: library_encoder(path, True).encode, 2)
+
+
+CHAT_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select * from (values (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                                  (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+sized as (
+  select *, case when role in ('user', 'assistant', 'system') then length(role) + 6 else length(role) + 7 end
+      + length(text) + 9 + len(regexp_extract_all(text, '### (?:User|Assistant|System|=)|</turn>')) as chars
+  from turns)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+SQL = {"op3_chat_formatting": CHAT_SQL}
+RUNS = (
+    op1_language_id,
+    op2_html_extraction,
+    op3_chat_formatting,
+    op5_document_fingerprints,
+    op6_pii,
+    op7_best_fit_packing,
+    op8_byte_bpe,
+    op9_token_output,
+)
+ENTRIES = {run.__name__: Entry(run, SQL.get(run.__name__)) for run in RUNS}
