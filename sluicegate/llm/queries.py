@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluicegate.llm import byte_bpe, chat, language, packing, pii, syncmers, token_files, wrappers
+from sluicegate.llm import byte_bpe, chat, language, multi_index, packing, pii, syncmers, token_files, wrappers
 from sluicegate.llm.library_bpe import library_encoder
 from sluicegate.queries.base import Entry, table
 
@@ -51,6 +52,10 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), lambda: library_encoder(path, True).encode, 2)
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 CHAT_SQL = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -67,7 +72,17 @@ select conv_id, count(*) as n_turns,
   cast(sum(chars) as bigint) as formatted_chars
 from sized group by conv_id
 """
-SQL = {"op3_chat_formatting": CHAT_SQL}
+# The index visits all rows of tables this small, so it must agree with the whole comparison.
+NEAREST_SQL = """
+with rows as (select vec_id, cast(embedding as double[]) as v from embeddings),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
+  from rows q join rows c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+SQL = {"op10_nearest_neighbours": NEAREST_SQL, "op3_chat_formatting": CHAT_SQL}
 RUNS = (
     op1_language_id,
     op2_html_extraction,
@@ -77,5 +92,6 @@ RUNS = (
     op7_best_fit_packing,
     op8_byte_bpe,
     op9_token_output,
+    op10_nearest_neighbours,
 )
 ENTRIES = {run.__name__: Entry(run, SQL.get(run.__name__)) for run in RUNS}

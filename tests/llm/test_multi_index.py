@@ -1,0 +1,65 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate.llm import multi_index
+from sluicegate.llm.multi_index import search, visited
+
+
+def brute(ids, rows, query, top):
+    scores = rows @ rows[ids.index(query)]
+    order = sorted((i for i in range(len(ids)) if ids[i] != query), key=lambda i: (-scores[i], ids[i]))
+    return [ids[i] for i in order[:top]]
+
+
+def test_cells_come_in_the_order_of_their_sums():
+    chance = np.random.default_rng(3)
+    one, other = chance.normal(size=9), chance.normal(size=7)
+    counts = chance.integers(0, 3, size=(9, 7))
+    got = visited(one, other, counts, 10**9)
+    sums = [one[i] + other[j] for i, j in got]
+    assert sums == sorted(sums, reverse=True)
+    assert sorted(got) == [(i, j) for i in range(9) for j in range(7) if counts[i, j]]
+    few = visited(one, other, counts, 5)
+    assert few == got[: len(few)] and sum(counts[c] for c in few) >= 5 > sum(counts[c] for c in few[:-1])
+
+
+def test_recall_and_exact_scores(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "LEAST_ENTRIES", 50)
+    monkeypatch.setattr(multi_index, "CHUNK", 300)
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = given.orderBy("vec_id").collect()
+    ids, vectors = [r.vec_id for r in rows], np.array([r.embedding for r in rows], dtype=np.float64)
+    found = {}
+    for r in search(given, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(found) == [i for i in ids if i % 20 == 0]
+    hits = 0
+    for query, got in found.items():
+        got.sort()
+        assert [g[0] for g in got] == list(range(1, 21))
+        hits += len(set(brute(ids, vectors, query, 20)) & {g[1] for g in got})
+        for _, vec_id, score in got:
+            assert score == pytest.approx(float(vectors[ids.index(query)] @ vectors[ids.index(vec_id)]), abs=1e-12)
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_odd_vectors(spark):
+    rows = [
+        (0, [1.0, 0.0, 2.0]), (1, [2.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, None), (4, [0.0, 0.0, 0.0]), (5, [float("nan"), 1.0, 1.0]),
+        (6, [float("inf"), 1.0, 1.0]), (7, [1.0, None, 1.0]), (8, [1.0]), (9, []), (None, [1.0, 1.0, 1.0]), (1, [2.0, 0.0, 0.0]), (20, [0.5, 0.5, -1.0]),
+    ]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, score string")
+    got = sorted(tuple(r) for r in search(frame, F.col("vec_id") % 20 == 0).collect())
+    assert got == [(0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 20, -1.5), (20, 1, 1, 1.0), (20, 2, 2, 1.0), (20, 3, 0, -1.5)]
+    assert search(frame.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+    assert search(frame.where("vec_id = 0"), F.col("vec_id") % 20 == 0).collect() == []
+    assert search(frame.where("vec_id = 8").union(frame.where("vec_id = 20")), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_many_equal_vectors(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "CHUNK", 100)
+    rows = [(i, [1.0, 2.0]) for i in range(1000)] + [(1000 + i, [float(i), 1.0]) for i in range(3)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in search(frame, F.col("vec_id") == 40).orderBy("rank").collect()]
+    assert got == list(range(20))
