@@ -15,12 +15,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from sluicegate.llm.rows import map_rows
+from sluicegate.llm.rows import map_batches, map_rows
 
 UNDETERMINED = "und"
 WORDS = 0  # the size under which whole words are counted
@@ -160,6 +161,16 @@ class Scorer:
 
 
 _SCORERS: dict[str, Scorer] = {}
+# Below this a text is in none of the languages that were learned.
+LEAST_SCORE = 0.3
+
+
+def _scorer(name: str, model: Model) -> Scorer:
+    """One scorer per worker process, so that tasks share what it remembers."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(model)
+    return _SCORERS[name]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -180,10 +191,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
     def rule(keys: list, held: list, texts: list) -> Iterator[tuple]:
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(shared.value)
-        scorer = _SCORERS[name]
+        scorer = _scorer(name, shared.value)
         for doc_id, out, text in zip(keys, held, texts):
             yield doc_id, out, *scorer.predict(text)
 
@@ -193,3 +201,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, fit(docs))
+
+
+def in_known_languages(docs: DataFrame) -> DataFrame:
+    """Documents whose language is determined, with all their columns; undetermined and unsure ones go."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(fit(docs)), uuid.uuid4().hex
+
+    def change(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scorer = _scorer(name, shared.value)
+        found = [scorer.predict(text) for text in batch.column("text").to_pylist()]
+        return batch.filter(pa.array([lang != UNDETERMINED and score >= LEAST_SCORE for lang, score in found], pa.bool_()))
+
+    return map_batches(docs, change)

@@ -12,11 +12,11 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.rows import map_rows
+from sluicegate.llm.rows import map_batches, map_rows
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
@@ -183,15 +183,18 @@ def summarise(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents with ``masked`` texts; n_chars follows, other columns stay. A null text stays null."""
-    fields = docs.schema.fields
-    at, texts = docs.columns.index("text"), F.col("_masked")
-    masked_column = F.pandas_udf(lambda column: column.map(masked, na_action="ignore"), T.StringType())
-    marked = docs.withColumn("_masked", masked_column(docs[fields[at].name]))
-    changed = ~F.col("text").eqNullSafe(texts)
-    columns = [F.col(f"`{f.name}`") for f in fields]
-    columns[at] = texts.alias("text")
-    if "n_chars" in docs.columns:
-        length = F.when(changed, F.length(texts)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-        columns[docs.columns.index("n_chars")] = length.alias("n_chars")
-    return marked.select(*columns)
+    """The documents with ``masked`` texts; n_chars follows where a text changed, other columns stay."""
+
+    def change(batch: pa.RecordBatch) -> pa.RecordBatch:
+        before = batch.column("text").to_pylist()
+        after = [masked(text) for text in before]
+        columns, schema = list(batch.columns), batch.schema
+        columns[schema.get_field_index("text")] = pa.array(after, schema.field("text").type)
+        counts = schema.get_field_index("n_chars")
+        if counts >= 0:
+            known = columns[counts].to_pylist()
+            n_chars = [k if a == b else len(a) for a, b, k in zip(after, before, known)]
+            columns[counts] = pa.array(n_chars, schema.field(counts).type)
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return map_batches(docs, change)

@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import byte_bpe, chat, language, multi_index, packing, pii, syncmers, token_files, wrappers
+import corpus_pipeline
+from sluicegate.llm import (
+    byte_bpe,
+    chat,
+    language,
+    multi_index,
+    near_dup,
+    packing,
+    pii,
+    syncmers,
+    token_files,
+    wrappers,
+)
 from sluicegate.llm.library_bpe import library_encoder
 from sluicegate.queries.base import Entry, table
 
@@ -29,6 +41,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.format_turns(turns.unionByName(control)))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -87,6 +103,7 @@ RUNS = (
     op1_language_id,
     op2_html_extraction,
     op3_chat_formatting,
+    op4_minhash_near_dedup,
     op5_document_fingerprints,
     op6_pii,
     op7_best_fit_packing,
@@ -95,3 +112,4 @@ RUNS = (
     op10_nearest_neighbours,
 )
 ENTRIES = {run.__name__: Entry(run, SQL.get(run.__name__)) for run in RUNS}
+ENTRIES["pipeline"] = Entry(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)

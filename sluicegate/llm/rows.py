@@ -44,6 +44,17 @@ def map_rows(df: DataFrame, names: Sequence[str], rule: Callable[..., Iterable[t
     return df.select(*names).mapInArrow(task, schema)
 
 
+def map_batches(df: DataFrame, change: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+    """Change or drop rows without changing the columns, a bounded batch at a time."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                yield change(piece)
+
+    return df.mapInArrow(task, df.schema)
+
+
 class ChunkCache(dict):
     """What ``encode`` gives for a chunk of text or bytes, made when first asked for.
 

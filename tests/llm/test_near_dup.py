@@ -1,0 +1,123 @@
+import random
+
+import numpy as np
+import pytest
+
+from sluicegate.llm import near_dup
+from sluicegate.llm.components import components
+from sluicegate.llm.near_dup import near_duplicates, shingles, words_of
+
+
+def brute(rows):
+    """Component of each doc_id by comparing all pairs of sets of word tuples."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for doc_id, text in rows:
+        words = [w for w in "".join(" " if c in "\t\n\v\f\r" else c for c in (text or "").translate(lower)).split(" ") if w]
+        sets[doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    top = {doc_id: doc_id for doc_id in sets}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    ids = sorted(sets, key=lambda d: len(sets[d]))
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if len(sets[b]) * 85 > len(sets[a]) * 100:
+                break
+            both = len(sets[a] & sets[b])
+            if sets[a] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                top[y] = x
+    return {d: (len(sets[d]), root(d), root(d) == d) for d in sets}
+
+
+def found(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame).collect()}
+
+
+def edited(words, chance, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[chance.randrange(len(words))] = f"new{chance.random()}"
+    return " ".join(words)
+
+
+def made(seed=1):
+    chance = random.Random(seed)
+    rows = []
+    for _ in range(60):
+        words = [f"w{chance.randrange(5000)}" for _ in range(chance.randint(30, 400))]
+        rows.append(" ".join(words))
+        for _ in range(chance.randrange(4)):
+            rows.append(edited(words, chance, chance.randrange(5)))
+    base = [f"b{i}" for i in range(150)]
+    rows += [edited(base, chance, chance.randint(1, 4)) for _ in range(150)]
+    rows += [None, "", " \t\n", "Short Text", "short  text", "short text é", "SHORT TEXT É", "x" * 50_000]
+    chance.shuffle(rows)
+    return list(enumerate(rows, 1000))
+
+
+def test_made_rows_match_the_whole_comparison(spark, monkeypatch):
+    rows = made()
+    assert found(spark, rows) == brute(rows)
+    monkeypatch.setattr(near_dup, "BLOCK", 2000)
+    monkeypatch.setattr(near_dup, "CROWDED", 5)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_given_documents_match_the_whole_comparison(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect()} == brute(rows)
+
+
+def test_odd_rows(spark):
+    text = "one two three four five six"
+    rows = [(5, text, 1), (5, text, 1), (5, "other words altogether", 1), (3, text.upper(), 1), (None, text, 1), (None, None, 1), (9, None, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, kept int")
+    got = sorted(map(tuple, near_duplicates(frame).collect()), key=str)
+    wanted = [(5, 2, 3, False)] * 2 + [(5, 1, 5, True), (3, 2, 3, True), (None, 2, None, True), (None, 0, None, True), (9, 0, 9, True)]
+    assert got == sorted(wanted, key=str)
+    assert near_duplicates(frame.limit(0)).collect() == []
+
+
+def test_words_and_shingles():
+    assert words_of("A\x0bB\x1cC\x85 É") == [b"a", "b\x1cc\x85".encode(), "É".encode()]
+    assert len(shingles(words_of("a b c d e f"))) == 2 and len(shingles(words_of("a b"))) == 1
+    assert len(shingles(words_of("a b c d e " * 9))) == 5
+    assert shingles(words_of("a a a a")) != shingles(words_of("a a a a a"))
+
+
+@pytest.mark.parametrize("similarity, least", [(0.85, 0.995), (0.95, 0.999)])
+def test_signatures_agree_as_often_as_sets(similarity, least):
+    chance = np.random.default_rng(2)
+    size, hits = 400, 0
+    shared = int(2 * size * similarity / (1 + similarity))
+    for _ in range(300):
+        pool = chance.integers(0, 2**63, 2 * size - shared, dtype=np.uint64)
+        one, other = near_dup.signature(pool[:size]), near_dup.signature(pool[size - shared :])
+        hits += any(one[i : i + 16] == other[i : i + 16] for i in range(0, len(one), 16))
+    assert hits >= least * 300
+
+
+def test_components(spark):
+    chance = random.Random(4)
+    links = [(chance.randrange(900), chance.randrange(900)) for _ in range(500)] + [(i, i + 1) for i in range(1000, 1200)] + [(7, 7)]
+    frame = spark.createDataFrame(links, "x long, y long").repartition(9)
+    top = {n: n for pair in links for n in pair}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        top[y] = x
+    got = {r.node: r.component for r in components(frame, "x", "y").collect()}
+    assert got == {n: root(n) for n in top if root(n) != n}
+    assert components(frame.limit(0), "x", "y").collect() == []

@@ -1,0 +1,54 @@
+import zlib
+from collections import Counter
+
+import public_tokenizers
+from test_near_dup import brute
+from test_packing import checked
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from sluicegate.llm import language, pii
+
+
+def test_stages_match_a_plain_version(spark, tmp_path):
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = [(90_001, "", "en", "s", 0), (90_002, None, None, None, None), (90_003, "12 34 !!", "en", "s", 8)]
+    docs = given.unionByName(spark.createDataFrame(odd, given.schema))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    rows = [tuple(r) for r in docs.collect()]
+
+    scorer = language.Scorer(language.fit(docs))
+    known = [r for r in rows if scorer.predict(r[1])[0] != "und" and scorer.predict(r[1])[1] >= language.LEAST_SCORE]
+    assert len(known) == given.count()
+    kept = {d for d, (_, _, keep) in brute([r[:2] for r in known]).items() if keep}
+    assert len(kept) < len(known)
+    plain = [(r[0], pii.masked(r[1])) for r in known if r[0] in kept]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    wanted = Counter()
+    for doc_id, text in plain:
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        for piece, at in enumerate(range(0, len(ids), 2048)):
+            own = b"".join(i.to_bytes(4, "little") for i in ids[at : at + 2048])
+            wanted[doc_id, piece, at, len(own) // 4, zlib.crc32(own)] += 1
+
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == wanted
+    assert checked(packed, 2048) <= 1.02 * sum(r.length for r in packed) / 2048 + 1
+
+
+def test_stages_keep_the_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, one string"
+    rows = [(1, "the mail is a@b.example", "en", "s", 23, "x"), (2, "the mail is a@b.example", "en", "s", 23, "y"), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "one"]
+    assert [tuple(r) for r in docs.collect()] == [(1, "the mail is <EMAIL>", "en", "s", 19, "x")]
+
+
+def test_no_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+    assert docs.collect() == []
