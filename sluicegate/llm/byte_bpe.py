@@ -153,8 +153,10 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         self.ranks, self.pattern = Ranks(path), regex.compile(pattern)
-        self.words = ChunkCache(self._word)
+        self.words = ChunkCache(self._word, 1 << 17)
         self.chunks = ChunkCache(self._chunk)
+        # Chunks that had a blank before them, without it.
+        self.spaced = ChunkCache(self._spaced_chunk)
         self.heads = ChunkCache(lambda head: PrefixEncoder(self.ranks, head).last)
 
     def _word(self, word: str) -> bytes:
@@ -175,13 +177,18 @@ class Encoder:
             return self.chunks[word] + self.chunks[tail]
         return b"".join(map(self.words.__getitem__, self.pattern.findall(chunk)))
 
+    def _spaced_chunk(self, chunk: str) -> bytes:
+        word, tail = word_and_tail(chunk)
+        if tail:
+            return self.spaced[word] + self.chunks[tail]
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(" " + chunk)))
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        first, *rest = cut(text)
-        chunk = self.chunks.__getitem__
-        return chunk(first) + b"".join([chunk(" " + piece) for piece in rest])
+        first, *others = cut(text)
+        return self.chunks[first] + b"".join(map(self.spaced.__getitem__, others))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.ranks.token.__getitem__, array("I", ids)))

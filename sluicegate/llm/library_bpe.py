@@ -14,38 +14,70 @@ from sluicegate.llm.rows import ChunkCache
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it is printable in Latin-1,
+    otherwise the next free one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _latin_word(text: str) -> bool:
+    """Letters only, all of them from blocks that every version of Unicode tells letters in."""
+    return text.isalpha() and (text.isascii() or max(text) < "ɐ")
+
+
 class LibraryEncoder:
     """``spaced``: words keep the blank before them as part of their first token.
 
     A vocabulary without blanks must also have lower case only; Latin-1 text is then lowered before it is
-    cut, which is what the library's own normaliser does with it.
+    cut, which is what the library's own normaliser does with it. Single words go to the library's model,
+    everything else through its whole chain.
     """
 
     def __init__(self, path: str, spaced: bool):
         self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
         self.tokenizer.encode_special_tokens = True
-        self.chunks = ChunkCache(self._chunk)
+        self.model = self.tokenizer.model
+        self.first = ChunkCache(self._chunk)
+        # Chunks that had a blank before them, without it.
+        self.others = ChunkCache(self._spaced_chunk) if spaced else self.first
+
+    def _ids(self, chunk: str) -> bytes:
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        if not self.spaced and chunk.isascii() and chunk.isalpha() and chunk.islower():
+            return self._word(chunk)
         word, tail = word_and_tail(chunk)
-        if tail:
-            return self.chunks[word] + self.chunks[tail]
-        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        return self.first[word] + self.first[tail] if tail else self._ids(chunk)
+
+    def _spaced_chunk(self, chunk: str) -> bytes:
+        if _latin_word(chunk):
+            return self._word(" " + chunk)
+        word, tail = word_and_tail(chunk)
+        return self.others[word] + self.first[tail] if tail else self._ids(" " + chunk)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        chunk = self.chunks.__getitem__
         if self.spaced:
-            first, *rest = cut(text)
-            return chunk(first) + b"".join([chunk(" " + piece) for piece in rest])
+            first, *others = cut(text)
+            return self.first[first] + b"".join(map(self.others.__getitem__, others))
         try:
             text.encode("latin-1")
             text = text.lower()
         except UnicodeEncodeError:
             pass
-        return b"".join(map(chunk, text.split(" ")))
+        return b"".join(map(self.first.__getitem__, text.split(" ")))
 
 
 _ENCODERS: dict[tuple[str, bool], LibraryEncoder] = {}

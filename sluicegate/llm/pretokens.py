@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-# A blank between two characters that are no white space. Python's idea of white space includes
+# A blank between two characters that are no white space; where each blank of a text is one, or stands at an
+# end of the text, plain splitting does. Python's idea of white space includes
 # Unicode's, so a cut is never made next to something that a tokenizer would join to the blank.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s\s|^\s|\s$")
+_ODD = re.compile(r" (?:\s|(?<=\s ))")
 _TAIL = "".join(sorted("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
 
 

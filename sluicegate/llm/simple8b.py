@@ -16,13 +16,21 @@ HELD = np.array([1, RUN, *COUNTS], dtype=np.int64)
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    lengths = np.zeros(len(values), dtype=np.int8)
-    rest = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        high = rest >= np.uint64(1 << step)
-        lengths[high] += step
-        rest[high] >>= np.uint64(step)
-    return lengths + (rest > 0)
+    """Doubles hold numbers below 2**53 exactly, and their exponent is the length; wider ones go by their top half."""
+    high = values >> np.uint64(32)
+    lengths = np.frexp(values.astype(np.float64))[1] if not high.any() else None
+    if lengths is None:
+        low = np.frexp(values.astype(np.uint32).astype(np.float64))[1]
+        lengths = np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, low)
+    return lengths.astype(np.int8)
+
+
+def _run_starts(fits: np.ndarray, count: int) -> np.ndarray:
+    """Places from which ``count`` neighbours fit."""
+    places = np.flatnonzero(fits)
+    if len(places) < count:
+        return places[:0]
+    return places[: len(places) - count + 1][places[count - 1 :] - places[: len(places) - count + 1] == count - 1]
 
 
 def pack(values: np.ndarray) -> np.ndarray:
@@ -32,7 +40,7 @@ def pack(values: np.ndarray) -> np.ndarray:
     if n == 0:
         return np.zeros(0, dtype=np.uint64)
     lengths = _bit_lengths(values)
-    selector = np.zeros(n, dtype=np.int64)
+    selector = np.zeros(n, dtype=np.int8)
     widest = int(lengths.max())
     # From few numbers a word to many, so that the last one that fits stays.
     for k in range(len(WIDTHS) - 1, -1, -1):
@@ -41,18 +49,15 @@ def pack(values: np.ndarray) -> np.ndarray:
             break
         if widest <= width:
             selector[: n - count + 1] = k + 2
-            continue
-        wide = np.concatenate(([0], np.cumsum(lengths > width, dtype=np.int32)))
-        selector[: n - count + 1][wide[count:] == wide[: n - count + 1]] = k + 2
-    if n >= RUN:
-        some = np.concatenate(([0], np.cumsum(lengths > 0, dtype=np.int32)))
-        selector[: n - RUN + 1][some[RUN:] == some[: n - RUN + 1]] = ZEROS
+        else:
+            selector[_run_starts(lengths <= width, count)] = k + 2
+    selector[_run_starts(lengths == 0, RUN)] = ZEROS
     step, at, starts = HELD[selector].tolist(), 0, []
     while at < n:
         starts.append(at)
         at += step[at]
     starts = np.array(starts, dtype=np.int64)
-    chosen = selector[starts]
+    chosen = selector[starts].astype(np.int64)
     place = np.arange(len(starts)) + np.concatenate(([0], np.cumsum(chosen == ESCAPE)[:-1]))
     words = np.zeros(len(starts) + int((chosen == ESCAPE).sum()), dtype=np.uint64)
     words[place] = chosen.astype(np.uint64) << np.uint64(60)
