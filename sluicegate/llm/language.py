@@ -29,7 +29,7 @@ SIZES = (5, 4, 3, 2, 1)
 PENALTY = 7.0
 # The model is fitted on about so many labelled documents per language, chosen by a hash of their number,
 # and keeps so many words, and so many n-grams of each size, per language.
-TRAIN_DOCUMENTS, KEPT = 4000, 20_000
+TRAIN_DOCUMENTS, KEPT = 1000, 20_000
 # Distinct words whose scores a worker remembers.
 REMEMBERED = 1 << 18
 _WORD = re.compile(r"[^\W\d_]+")
