@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
@@ -49,15 +49,16 @@ class Contract:
 
     @property
     def fields(self) -> list[Mapping[str, Any]]:
-        """Schema fields that have a name."""
+        """Schema fields that have a name, without blanks around it."""
         fields = self.schema.get("fields")
         if not isinstance(fields, list):
             return []
-        return [f for f in fields if isinstance(f, Mapping) and f.get("name")]
+        named = [f for f in fields if isinstance(f, Mapping) and str(f.get("name") or "").strip()]
+        return [{**f, "name": str(f["name"]).strip()} for f in named]
 
     @property
     def field_names(self) -> list[str]:
-        return [str(f["name"]).strip() for f in self.fields]
+        return [f["name"] for f in self.fields]
 
     @property
     def rule_set(self) -> RuleSet:
@@ -83,23 +84,6 @@ class Contract:
             raise ContractError(f"contract {self.dataset}/{self.version}: {told}")
         return self
 
-    def check_layout(
-        self, columns: Sequence[str], allow_extra: bool = False, exact_order: bool = True
-    ) -> list[Issue]:
-        """Compare input column names with the contract's."""
-        expected = self.field_names
-        missing = sorted(set(expected) - set(columns))
-        extra = sorted(set(columns) - set(expected))
-        if missing:
-            return [Issue("ERROR", "input.columns", f"missing: {missing}")]
-        if extra and not allow_extra:
-            return [Issue("ERROR", "input.columns", f"not in the contract: {extra}")]
-        if exact_order and not allow_extra and list(columns) != expected:
-            pairs = zip(expected, columns)
-            at = next((i for i, (e, c) in enumerate(pairs) if e != c), min(len(expected), len(columns)))
-            return [Issue("ERROR", "input.order", f"order differs from position {at}")]
-        return []
-
 
 def load_contract(spark: SparkSession, root: str, dataset: str, version: str) -> Contract:
     """Read and check ``<root>/<dataset>/<version>/contract/`` from any Hadoop file system."""
@@ -134,7 +118,7 @@ def _fields(contract: Contract) -> Iterator[Issue]:
     if not isinstance(fields, Mapping) or not fields:
         yield Issue("ERROR", where, "must be a non-empty object")
         return
-    known = {str(f["name"]) for f in contract.fields}
+    known = set(contract.field_names)
     for name, block in fields.items():
         if name not in known:
             yield Issue("ERROR", f"{where}.{name}", "not in the schema")
@@ -168,7 +152,7 @@ def _nullability(contract: Contract) -> Iterator[Issue]:
     if not isinstance(blocks, Mapping):
         return
     for field in contract.fields:
-        name = str(field["name"]).strip()
+        name = field["name"]
         block = blocks.get(name)
         items = block.get("validate") if isinstance(block, Mapping) else None
         has_rule = isinstance(items, list) and any(
@@ -188,7 +172,7 @@ def _nullability(contract: Contract) -> Iterator[Issue]:
 def _row_checks(contract: Contract) -> Iterator[Issue]:
     items, where = contract.rules.get("validations"), f"{RULES_FILE}.validations"
     yield from _items(items, where, "rule", KNOWN_CHECKS)
-    known = {str(f["name"]) for f in contract.fields}
+    known = set(contract.field_names)
     for at, item in enumerate(items if isinstance(items, list) else []):
         field = str(item.get("field") or "").strip() if isinstance(item, Mapping) else ""
         if field and field != "*" and field not in known:

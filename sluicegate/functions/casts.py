@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.functions.operand import FLOATING, INTEGRAL, NUMERIC, TIMESTAMPS, Operand
+from sluicegate.functions.operand import EPOCH, FLOATING, INTEGRAL, NUMERIC, TIMESTAMPS, Operand
 from sluicegate.functions.text import as_text
 
 # Type names a contract may use.
@@ -42,7 +42,6 @@ FLOAT_TEXT = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\z"
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}\z"
 TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?\z"
 
-EPOCH = "1970-01-01 00:00:00"
 # The years 1 to 9999 in days and milliseconds since the epoch: what date and time columns hold.
 DAYS_RANGE = (-719_162, 2_932_896)
 MILLIS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)

@@ -14,6 +14,7 @@ from sluicegate.errors import ContractError
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATING = (T.FloatType, T.DoubleType)
 NUMERIC = (*INTEGRAL, *FLOATING, T.DecimalType)
+EPOCH = "1970-01-01 00:00:00"
 TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -33,6 +34,14 @@ class Operand:
         return isinstance(self.dtype, kinds)
 
 
+def operand(name: str, dtype: T.DataType, digits: int = 6) -> Operand:
+    """A column of the data. A time with a zone becomes the clock time in UTC, whatever the session's zone."""
+    if isinstance(dtype, T.TimestampType):
+        utc = F.timestamp_add("MICROSECOND", F.unix_micros(column(name)), F.lit(EPOCH).cast("timestamp_ntz"))
+        return Operand(utc, T.TimestampNTZType(), digits)
+    return Operand(column(name), dtype, digits)
+
+
 class Scope:
     """The columns that rules may refer to, as operands."""
 
@@ -40,10 +49,14 @@ class Scope:
         self._types = {f.name: f.dataType for f in schema.fields}
         self._millis = frozenset(millis)
 
+    @property
+    def names(self) -> tuple[str, ...]:
+        return tuple(self._types)
+
     def __contains__(self, name: str) -> bool:
         return name in self._types
 
     def get(self, name: str, asked_by: str) -> Operand:
         if name not in self._types:
             raise ContractError(f"{asked_by}: column '{name}' is not in the data")
-        return Operand(column(name), self._types[name], 3 if name in self._millis else 6)
+        return operand(name, self._types[name], 3 if name in self._millis else 6)

@@ -10,9 +10,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicegate.errors import ContractError
 from sluicegate.functions.checks import DOCUMENT_CHECK, FIELD_CHECKS, document_by_type
 from sluicegate.functions.operand import Scope, column
 from sluicegate.functions.predicates import condition, is_usable
+from sluicegate.names import unused
 from sluicegate.rules import ERROR, WARNING, Rule
 
 # Names of the two row marks; the samples never show them.
@@ -50,7 +52,7 @@ def compile_checks(rules: Sequence[Rule], scope: Scope) -> CheckPlan:
         applies = condition(rule.when, scope, rule.key)
         if applies is not None:
             broken = applies & broken
-        checks.append(Check(rule, _flag_name(number, rule), broken))
+        checks.append(Check(rule, unused(_flag_name(number, rule), scope.names), broken))
     return CheckPlan(tuple(checks), tuple(notes))
 
 
@@ -115,6 +117,9 @@ def check(df: DataFrame, rules: Sequence[Rule], millis: Sequence[str] = ()) -> C
     flagged = df.withColumns(flags) if flags else df
     invalid = _any(c.flag for c in plan.checks if c.is_error)
     warned = _any(c.flag for c in plan.checks if not c.is_error)
+    taken = sorted({ROW_INVALID, ROW_WARNING} & {name.lower() for name in df.columns})
+    if taken:
+        raise ContractError(f"columns bear the names of the row marks: {taken}")
     marked = flagged.withColumns({ROW_INVALID: invalid, ROW_WARNING: warned & ~invalid})
     return CheckedFrame(marked, tuple(df.columns), plan.checks, plan.notes)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from sluicegate.errors import ContractError
 from sluicegate.functions.cleanups import OPERATIONS, choose
 from sluicegate.functions.operand import Operand, Scope
-from sluicegate.functions.predicates import condition
+from sluicegate.functions.predicates import condition, is_usable
 from sluicegate.rules import Rule
 
 log = logging.getLogger(__name__)
@@ -21,6 +21,7 @@ log = logging.getLogger(__name__)
 class CleanedFrame:
     frame: DataFrame
     millis: list[str]  # columns parsed to millisecond timestamps
+    notes: tuple[str, ...] = ()  # operations that run without their condition
 
 
 def clean(df: DataFrame, rules: Sequence[Rule]) -> CleanedFrame:
@@ -30,18 +31,21 @@ def clean(df: DataFrame, rules: Sequence[Rule]) -> CleanedFrame:
     """
     scope = Scope(df.schema)
     results: dict[str, Operand] = {}
+    notes: list[str] = []
     for rule in rules:
         if rule.field is None or rule.field == "*":
             continue
         if rule.field not in scope:
             log.info("clean-up '%s' skipped: no column '%s'", rule.name, rule.field)
             continue
+        if rule.when and not is_usable(rule.when):
+            notes.append(f"{rule.name} on {rule.field} runs on every row: its condition cannot be read: {dict(rule.when)}")
         current = results.get(rule.field) or scope.get(rule.field, rule.key)
         results[rule.field] = _step(current, rule, scope)
     if not results:
         return CleanedFrame(df, [])
     frame = df.withColumns({name: x.col for name, x in results.items()})
-    return CleanedFrame(frame, [name for name, x in results.items() if x.digits == 3])
+    return CleanedFrame(frame, [name for name, x in results.items() if x.digits == 3], tuple(notes))
 
 
 def _step(current: Operand, rule: Rule, scope: Scope) -> Operand:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicegate.functions.checks import DOCUMENT_CHECK
@@ -14,6 +15,8 @@ from sluicegate.rules import ERROR, WARNING, Rule
 
 DEFAULT_MAX_SAMPLES = 100
 MERGE_GROUPS = 1024
+# Up to so many rows Spark ranks within tasks before it shuffles.
+RANKED_ROWS = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 # States of a load.
 NO_ROWS = "completed_with_no_rows"
@@ -149,7 +152,8 @@ def samples(
 ) -> DataFrame:
     """Up to ``max_samples`` bad rows with their reasons, numbered from one.
 
-    ``order_by`` makes the choice repeatable. Without it any rows are taken.
+    ``order_by`` makes the choice repeatable. Without it any rows are taken. For an ordered
+    choice of over 1000 rows run the plan within ``ranked_in_tasks``, or all bad rows are shuffled.
     """
     chosen = choose_samples(checked, level, max_samples, order_by)
     # The limit leaves at most max_samples rows for this window.
@@ -168,6 +172,17 @@ def choose_samples(
     return _first(bad, [column(n) for n in order_by], max_samples)
 
 
+@contextmanager
+def ranked_in_tasks(spark: SparkSession, count: int) -> Iterator[None]:
+    """Plan ordered samples so that tasks keep only their first ``count`` rows, also beyond Spark's own limit."""
+    held = spark.conf.get(RANKED_ROWS)
+    spark.conf.set(RANKED_ROWS, str(max(int(held), count)))
+    try:
+        yield
+    finally:
+        spark.conf.set(RANKED_ROWS, held)
+
+
 def _first(df: DataFrame, keys: Sequence[Column], count: int) -> DataFrame:
     """The first rows in order, merged in two levels.
 

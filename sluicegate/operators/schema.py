@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from sluicegate.errors import ContractError
 from sluicegate.functions.casts import convert, parse_token
-from sluicegate.functions.operand import FLOATING, INTEGRAL, NUMERIC, TIMESTAMPS, Operand, Scope, column
+from sluicegate.functions.operand import FLOATING, INTEGRAL, NUMERIC, TIMESTAMPS, Operand, Scope, column, operand
 from sluicegate.functions.text import as_text
+from sluicegate.names import folding
 from sluicegate.partitioning import PartitionSpec, ctx_value
 
 log = logging.getLogger(__name__)
@@ -48,15 +49,16 @@ def positional_rename(df: DataFrame, names: Sequence[str] | None) -> DataFrame:
 
 
 def add_context_columns(df: DataFrame, spec: PartitionSpec, ctx: Any) -> DataFrame:
-    """Add the load's own values as columns, unless the data already has them."""
-    own = df.columns
-    missing = {f.source: F.lit(ctx_value(ctx, f)) for f in spec.ctx_fields if f.source not in own}
+    """Add the load's own values as columns, unless the data has them, in whatever case the session ignores."""
+    fold = folding(df.sparkSession)
+    own = {fold(name) for name in df.columns}
+    missing = {f.source: F.lit(ctx_value(ctx, f)) for f in spec.ctx_fields if fold(f.source) not in own}
     return df.withColumns(missing) if missing else df
 
 
 def enforce(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence[str] = ()) -> DataFrame:
     """Cast to the contract types (bad values become null) and put contract columns first."""
-    targets = {str(f["name"]): parse_token(f.get("type")) for f in fields}
+    targets = {str(f["name"]).strip(): parse_token(f.get("type")) for f in fields}
     as_text_only = [f for f in fields if _is_text(f) and str(f.get("type")).strip().lower() not in TEXT_TOKENS]
     if as_text_only:
         log.warning("these types are not contract types, the columns are kept as text: %s", as_text_only)
@@ -68,7 +70,7 @@ def enforce(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence
 
 def millis_fields(fields: Sequence[Mapping[str, Any]]) -> list[str]:
     """Contract columns that hold millisecond timestamps after the cast."""
-    return [str(f["name"]) for f in fields if isinstance(parse_token(f.get("type")).dtype, TIMESTAMPS)]
+    return [str(f["name"]).strip() for f in fields if isinstance(parse_token(f.get("type")).dtype, TIMESTAMPS)]
 
 
 def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
@@ -80,7 +82,7 @@ def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
     kinds = [_widest([f.schema[i].dataType for f in frames]) for i in range(len(names))]
 
     def widened(df: DataFrame) -> DataFrame:
-        own = [Operand(column(f.name), f.dataType) for f in df.schema.fields]
+        own = [operand(f.name, f.dataType) for f in df.schema.fields]
         return df.select(*[_widen(x, kind).alias(n) for x, kind, n in zip(own, kinds, names)])
 
     return reduce(DataFrame.union, map(widened, frames))
@@ -95,7 +97,7 @@ def align_by_name(df: DataFrame, fields: Sequence[Mapping[str, Any]]) -> DataFra
     own = {f.name: f.dataType for f in df.schema.fields}
     chosen = []
     for field in fields:
-        name, dtype = str(field["name"]), parse_token(field.get("type")).dtype
+        name, dtype = str(field["name"]).strip(), parse_token(field.get("type")).dtype
         if name not in own:
             chosen.append(F.lit(None).cast(dtype).alias(name))
             continue

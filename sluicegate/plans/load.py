@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,8 @@ from sluicegate.operators import report
 from sluicegate.operators.check import CheckedFrame, check
 from sluicegate.operators.cleanup import clean
 from sluicegate.operators.schema import add_context_columns, enforce, millis_fields, positional_rename
-from sluicegate.partitioning import ctx_value, missing_value
+from sluicegate.names import require_distinct
+from sluicegate.partitioning import ctx_value, missing_value, require_sources
 from sluicegate.rules import ERROR, WARNING
 from sluicegate.sinks import files
 from sluicegate.sinks.publish import publish_scope, read_scope_files, write_scope
@@ -74,6 +75,7 @@ class LoadResult:
 class Prepared:
     frame: DataFrame
     millis: tuple[str, ...]  # millisecond timestamp columns
+    notes: tuple[str, ...] = ()
 
 
 def prepare(source: DataFrame, contract: Contract, ctx: LoadContext) -> Prepared:
@@ -82,7 +84,7 @@ def prepare(source: DataFrame, contract: Contract, ctx: LoadContext) -> Prepared
     cleaned = clean(add_context_columns(renamed, contract.partitioning, ctx), contract.rule_set.cleanups)
     typed = enforce(cleaned.frame, contract.fields, cleaned.millis)
     extras = [n for n in cleaned.millis if n not in contract.field_names]
-    return Prepared(typed, (*millis_fields(contract.fields), *extras))
+    return Prepared(typed, (*millis_fields(contract.fields), *extras), cleaned.notes)
 
 
 def check_prepared(prepared: Prepared, contract: Contract) -> CheckedFrame:
@@ -114,12 +116,17 @@ def run_load(
     in partition order.
     """
     contract.require_sound()
+    max_samples = report.max_samples_from(max_samples)
     spark, spec = source.sparkSession, contract.partitioning
     output = f"{output_root.rstrip('/')}/{ctx.dataset}/{ctx.version}/{ctx.carga_id}"
+    # Names that clash and rules that cannot compile fail here, before anything is written.
+    require_distinct(spark, contract.field_names, spec)
     prepared = prepare(source, contract, ctx)
-    # Rules that cannot compile fail here, before anything is written.
+    require_distinct(spark, prepared.frame.columns, spec)
+    require_sources(prepared.frame, spec)
     checked = check_prepared(prepared, contract)
-    for note in checked.notes:
+    notes = (*prepared.notes, *checked.notes)
+    for note in notes:
         log.warning(note)
 
     def stage() -> str:
@@ -139,7 +146,7 @@ def run_load(
         files.remove(spark, f"{output}/data")
         staged = None
     else:
-        _require_partition_values(counts, contract)
+        _require_partition_values(counts, contract, spark, f"{output}/data")
         warning = _write_samples(checked, WARNING, counts, ctx, output, max_samples, sample_order)
         staged = staged or stage()
         if publish_root and counts.rows_total > 0:
@@ -156,7 +163,7 @@ def run_load(
         rows_invalid=counts.rows_invalid,
         rows_warning=counts.rows_warning,
         rule_hits=_rule_hits(checked, counts),
-        notes=checked.notes,
+        notes=notes,
         staged=staged,
         published=published,
         invalid_samples=invalid.path,
@@ -185,10 +192,11 @@ def _count(checked: CheckedFrame, contract: Contract, ctx: LoadContext) -> Row:
     return frame.agg(*counts, *per_partition_field, *per_ctx_field).first()
 
 
-def _require_partition_values(counts: Row, contract: Contract) -> None:
+def _require_partition_values(counts: Row, contract: Contract, spark: SparkSession, staged: str) -> None:
     missing = {f.name: counts[f"missing_{f.name}"] for f in contract.partitioning.data_fields}
     missing = {name: rows for name, rows in missing.items() if rows}
     if missing:
+        files.remove(spark, staged)
         raise ContractError(f"rows without a partition value: {missing}")
 
 
@@ -268,5 +276,6 @@ def _sample_documents(rows: DataFrame, limit: int) -> list[dict]:
     }
     shown = rows.withColumns(exact_as_text) if exact_as_text else rows
     whole = F.struct(*[column(n) for n in shown.columns])
-    texts = shown.select(F.to_json(whole, {"ignoreNullFields": "false"})).take(limit)
+    with report.ranked_in_tasks(rows.sparkSession, limit):
+        texts = shown.select(F.to_json(whole, {"ignoreNullFields": "false"})).take(limit)
     return [{**json.loads(text), "__sample_seq__": n} for n, (text,) in enumerate(texts, start=1)]

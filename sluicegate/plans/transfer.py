@@ -41,6 +41,8 @@ def export_dataset(
     sql = read_sql_text(spark, f"{sql_root.rstrip('/')}/{contract.dataset}/{contract.version}.sql")
     ctx = LoadContext.of(contract, ano, tc)
     run = extractor or (lambda text, params: extract(spark, text, params))
+    # Catalog tables give the same rows again; another source may be a live database.
+    options.setdefault("stable_source", extractor is None)
     source = run(sql, {"ano": ctx.ano})
     return run_load(source, contract, ctx, output_root, store_root if publish else None, **options)
 
@@ -90,7 +92,7 @@ def _copy(
 ) -> tuple[str, ...]:
     if not targets:
         raise ValueError("name at least one target to copy to")
-    rows = read_scope(spark, store_root, contract, values, depth)
+    rows = read_scope(spark, store_root, contract, values, depth, as_text=True)
     spec, copy_id = contract.partitioning, uuid.uuid4().hex[:8]
     roots = [f"{t.rstrip('/')}/{contract.dataset}/{contract.version}" for t in targets]
     return tuple(mirror_scope(rows, root, spec, values, copy_id, depth) for root in roots)

@@ -138,3 +138,11 @@ def norm_when(spark: SparkSession, sf_dir: str) -> DataFrame:
     when = {"field": "o_orderstatus", "op": "eq", "value": "F"}
     padded = cleaned(orders, {"customer": [{"op": "lpad", "len": 10, "when": when}]})
     return padded.select("o_orderkey", "customer")
+
+
+@query("select o_orderkey, lower(o_orderpriority) as o_orderpriority from orders")
+def norm_when_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A condition that cannot be read leaves its operation running on every row."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    when = {"field": "o_orderkey", "op": "almost", "value": 1}
+    return cleaned(orders, {"o_orderpriority": [{"op": "lower", "when": when}]})

@@ -15,7 +15,7 @@ from sluicegate.queries.base import dirty_orders, orders_contract, query, table,
 from sluicegate.scratch import scratch
 from sluicegate.sinks.publish import mirror_scope, read_scope_files, write_scope
 from sluicegate.sources import slices
-from sluicegate.streaming.gate import gate_stream, read_batches, running_totals
+from sluicegate.streaming.gate import QUARANTINED, file_stream, gate_stream, read_batches, running_totals
 
 MONTHLY = (("tc", "tc", "ctx"), ("ano", "ano", "ctx"), ("mes", "mes", "dataframe"))
 ALL_YEARS = (("tc", "tc", "ctx"), ("ano", "ano", "dataframe"), ("mes", "mes", "dataframe"))
@@ -36,7 +36,9 @@ def _contract(fields=WARN_ONLY, partitions=ALL_YEARS) -> Contract:
 
 
 def _publish(source: DataFrame, contract: Contract, root: str, tc: str, ano: int = 0) -> LoadResult:
-    return run_load(source, contract, LoadContext.of(contract, ano, tc), f"{root}/out", f"{root}/store")
+    ctx = LoadContext.of(contract, ano, tc)
+    # Parquet files give the same rows again, so the checks come before the write.
+    return run_load(source, contract, ctx, f"{root}/out", f"{root}/store", stable_source=True)
 
 
 def _shown(rows: DataFrame) -> DataFrame:
@@ -166,16 +168,12 @@ EVENTS = Contract.from_dicts(
 )
 
 
-FILES_PER_BATCH = 1000
-
-
-def _run_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Drain the events table as a stream, many files per batch, and return where it went."""
+def _run_stream(spark: SparkSession, sf_dir: str, contract: Contract = EVENTS) -> str:
+    """Drain the events table as a stream and return where it went."""
     root, schema = scratch(spark), table(spark, sf_dir, "events").schema
     # A pattern, because a stream takes directories or patterns and the table may be one file.
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-    stream = files.parquet(f"{sf_dir}/event[s].parquet")
-    writer = gate_stream(stream, EVENTS, LoadContext.of(EVENTS, 2024, "alpha"), root, f"{root}/checkpoint")
+    stream = file_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+    writer = gate_stream(stream, contract, LoadContext.of(contract, 2024, "alpha"), root, f"{root}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     return root
 
@@ -191,3 +189,58 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select event_id, upper(event_type) as event_type, value from events")
 def stream_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, _run_stream(spark, sf_dir)).select("event_id", "event_type", "value")
+
+
+STRICT_EVENTS = Contract.from_dicts(
+    "events",
+    "v1",
+    EVENTS.schema,
+    {
+        "fields": {"value": {"validate": [{"rule": "max", "value": 250}]}},
+        "partitioning": EVENTS.rules["partitioning"],
+    },
+)
+
+
+@query(
+    """select event_id, event_type, value from events
+    where (select count(*) from events where value > 250) > 0"""
+)
+def stream_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some events break an error rule, so the batch they come in is held back as a whole."""
+    root = _run_stream(spark, sf_dir, STRICT_EVENTS)
+    return read_batches(spark, root, QUARANTINED).select("event_id", "event_type", "value")
+
+
+@query(f"select o_orderkey, o_totalprice, 'alpha' as tc, {MONTH} as mes, {MONTH} as o_month from orders")
+def partition_name_differs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partition has a name of its own; its source column stays in the files."""
+    contract = orders_contract(WARN_ONLY, (("tc", "tc", "ctx"), ("mes", "o_month", "dataframe")), (("o_month", "int32"),))
+    root, orders = scratch(spark), table(spark, sf_dir, "orders").withColumn("o_month", F.month("o_orderdate"))
+    _publish(orders, contract, root, "alpha")
+    rows = slices.read_slice(spark, f"{root}/store", contract, tc="alpha")
+    return rows.select("o_orderkey", "o_totalprice", "tc", "mes", "o_month")
+
+
+TEXT_PARTITIONS = (("tc", "tc", "ctx"), ("ano", "ano", "dataframe"), ("mm", "mm", "dataframe"), ("carga_id", "carga", "dataframe"))
+LOAD_ID = "case when o_orderkey % 2 = 0 then '00000123' else '12345e67' end"
+
+
+@query(
+    f"""select o_orderkey, o_totalprice, 'alpha' as tc, {YEAR} as ano,
+      lpad(cast({MONTH} as varchar), 2, '0') as mm, {LOAD_ID} as carga_id from orders"""
+)
+def mirror_all_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies keep partition values as they stand in the paths, also where no contract column declares them."""
+    root = scratch(spark)
+    written = orders_contract(WARN_ONLY, TEXT_PARTITIONS, (("ano", "int32"), ("mm", "string"), ("carga", "string")))
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {"ano": F.year("o_orderdate"), "mm": F.date_format("o_orderdate", "MM"), "carga": F.expr(LOAD_ID)}
+    )
+    _publish(orders, written, root, "alpha")
+    # The copying side knows the partitions, but no contract column behind them.
+    bare = orders_contract(WARN_ONLY, TEXT_PARTITIONS)
+    rows = slices.read_scope(spark, f"{root}/store", bare, {"tc": "alpha"}, 1, as_text=True)
+    mirror_scope(rows, f"{root}/mirror/orders/v1", bare.partitioning, {"tc": "alpha"}, "copy", 1)
+    copied = slices.read_all_years(spark, f"{root}/mirror", bare, "alpha")
+    return copied.select("o_orderkey", "o_totalprice", "tc", "ano", "mm", "carga_id")

@@ -116,3 +116,13 @@ def src_bytes_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the texts arrive as UTF-8 bytes, half as Latin-1 bytes."""
     raw = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(F.encode("text", "ISO-8859-1"))
     return schema.bytes_to_text(table(spark, sf_dir, "documents").select("doc_id", raw.alias("text")))
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') as ts from events")
+def schema_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times with a zone become the clock time in UTC, whatever the session's zone is."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts)")).alias("ts")
+    )
+    typed = schema.enforce(events, _fields(("event_id", "int64"), ("ts", "timestamp[ms]")))
+    return schema.enforce(typed, _fields(("event_id", "int64"), ("ts", "string")), ["ts"])

@@ -61,7 +61,7 @@ def parse_rules(document: Mapping[str, Any]) -> RuleSet:
 
 
 def rule_name(item: Mapping[str, Any], name_key: str) -> str | None:
-    name = next(filter(None, (_text(item.get(k)) for k in (name_key, "rule", "op"))), None)
+    name = next(filter(None, (text_or_none(item.get(k)) for k in (name_key, "rule", "op"))), None)
     return None if name is None else name.lower()
 
 
@@ -83,13 +83,13 @@ def _rule(item: Any, name_key: str, owner: str | None) -> Rule | None:
     level = str(item.get("level") or ERROR).strip().lower()
     return Rule(
         name=ALIASES.get(name, name),
-        field=_text(owner if owner is not None else item.get("field")),
+        field=text_or_none(owner if owner is not None else item.get("field")),
         args={**{k: item[k] for k in INLINE_ARGS if k in item}, **nested},
         when=item["when"] if isinstance(item.get("when"), Mapping) else None,
         level=level if level in (ERROR, WARNING) else ERROR,
-        comment=_text(item.get("comment")) or _text(item.get("_comment")),
+        comment=text_or_none(item.get("comment")) or text_or_none(item.get("_comment")),
     )
 
 
-def _text(value: Any) -> str | None:
+def text_or_none(value: Any) -> str | None:
     return None if value is None else str(value).strip() or None

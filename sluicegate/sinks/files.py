@@ -20,6 +20,25 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The Parquet files below a path; none where it does not exist."""
+    fs, jpath = _resolve(spark, path)
+    found: list[str] = []
+    if fs.exists(jpath):
+        listing = fs.listFiles(jpath, True)
+        while listing.hasNext():
+            name = listing.next().getPath().toString()
+            if name.endswith(".parquet"):
+                found.append(name)
+    return found
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a path; none where it does not exist."""
+    fs, jpath = _resolve(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _resolve(spark, path)
     return fs.exists(jpath)

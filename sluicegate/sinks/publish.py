@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.functions.operand import column
+from sluicegate.names import require_distinct
 from sluicegate.partitioning import PartitionSpec
 from sluicegate.sinks import files
 
 COMPRESSION = "zstd"
+# Tasks that share a partition's rows where adaptive execution is off.
+SHARES = 8
 
 
 def write_scope(
@@ -28,13 +33,23 @@ def write_scope(
     copies = {f.name: column(f.source) for f in inner if f.name != f.source}
     out = df.withColumns(copies) if copies else df
     names = [f.name for f in inner]
+    require_distinct(df.sparkSession, df.columns, spec)
     if names and gather and _adaptive(df.sparkSession):
         out = out.hint("rebalance", *[column(n) for n in names])
+    elif names and gather:
+        # Without adaptive execution nothing splits a large partition later, so it is dealt to a few tasks.
+        out = out.repartition(*[column(n) for n in names], F.spark_partition_id() % SHARES)
     target = f"{base.rstrip('/')}/{spec.scope_path(ctx, depth)}"
-    out.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*names).parquet(target)
+    _overwrite(out, names, target)
     return target
 
 
+def _overwrite(rows: DataFrame, names: Sequence[str], target: str) -> None:
+    """Replace all of the target, whatever the session says about partitions that get no rows."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.option("compression", COMPRESSION).partitionBy(*names).parquet(target)
+
+
 def read_scope_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a scope directory that was just written, with the types it was written with."""
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
@@ -53,8 +68,9 @@ def publish_scope(
     """Make a staged scope the published one. Other scopes are not touched.
 
     ``staged`` is the directory ``write_scope`` returned. Where a rename is cheap the
-    directories change places; on object stores tasks rewrite the files, and the staged
-    copy stays until that has succeeded.
+    directories change places. On object stores tasks write the new files beside the old
+    ones, which go only when all new ones are there; a write that fails leaves the old
+    scope as it was. Until the old files are gone a reader can see both.
     """
     if not files.has_data(spark, staged):
         raise FileNotFoundError(f"nothing to publish in {staged}")
@@ -67,7 +83,10 @@ def publish_scope(
         return target
     inner = [f.name for f in spec.fields[len(spec.ctx_values(ctx, depth)) :]]
     rows = spark.read.schema(_with_text(spark.read.parquet(staged).schema, inner)).parquet(staged)
-    rows.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*inner).parquet(target)
+    old = files.data_files(spark, target)
+    rows.write.mode("append").option("compression", COMPRESSION).partitionBy(*inner).parquet(target)
+    for path in old:
+        files.remove(spark, path)
     files.remove(spark, staged)
     return target
 
@@ -85,6 +104,8 @@ def mirror_scope(
     The rows come in partition order already, so they are written without a shuffle.
     """
     spark = df.sparkSession
+    # The rows bring their partition columns under the partitions' own names.
+    spec = PartitionSpec(tuple(replace(f, source=f.name) for f in spec.fields))
     staging = f"{root.rstrip('/')}/_staging/{load_id}"
     staged = write_scope(df, spec, values, staging, depth, gather=False)
     target = publish_scope(spark, staged, root, spec, values, load_id, depth)

@@ -13,17 +13,27 @@ from sluicegate.functions.casts import parse_token
 from sluicegate.sinks import files
 
 
+# Fixed value: the scope field that is a number.
+YEAR = "ano"
+
+
 def data_root(root: str, dataset: str, version: str) -> str:
     return f"{root.rstrip('/')}/{dataset}/{version}/data"
 
 
 def read_scope(
-    spark: SparkSession, root: str, contract: Contract, values: Mapping[str, Any], depth: int | None = None
+    spark: SparkSession,
+    root: str,
+    contract: Contract,
+    values: Mapping[str, Any],
+    depth: int | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
     """Read the directory of the first ``depth`` partition values, and nothing beside it.
 
     Only that directory is listed, so the cost does not grow with the other slices, and
-    a producer ``ab`` never picks up ``abc``.
+    a producer ``ab`` never picks up ``abc``. ``as_text`` keeps partition values as they
+    stand in the paths, for copies.
     """
     spec = contract.partitioning
     base = data_root(root, contract.dataset, contract.version)
@@ -31,7 +41,7 @@ def read_scope(
     if not files.has_data(spark, path):
         raise FileNotFoundError(f"nothing is published under {path}")
     found = spark.read.option("basePath", base).parquet(path)
-    typed = _typed(found.schema, contract, values)
+    typed = _typed(found.schema, contract, as_text)
     if typed == found.schema:
         return found
     return spark.read.option("basePath", base).schema(typed).parquet(path)
@@ -47,13 +57,14 @@ def read_all_years(spark: SparkSession, root: str, contract: Contract, tc: str)
     return read_scope(spark, root, contract, {"tc": tc}, contract.partitioning.depth_through("tc"))
 
 
-def _typed(found: T.StructType, contract: Contract, values: Mapping[str, Any]) -> T.StructType:
-    """Partition columns get contract types; Spark alone would turn ``007`` into 7."""
-    declared = {str(f["name"]): parse_token(f.get("type")).dtype for f in contract.fields}
+def _typed(found: T.StructType, contract: Contract, as_text: bool) -> T.StructType:
+    """Partition columns get contract types; others keep their text, but for the year.
+
+    Spark alone would turn ``007`` into 7, and ``12345e67`` into a floating number.
+    """
+    declared = {str(f["name"]).strip(): parse_token(f.get("type")).dtype for f in contract.fields}
     kinds: dict[str, T.DataType] = {}
     for f in contract.partitioning.fields:
-        if f.source in declared:
-            kinds[f.name] = declared[f.source]
-        elif isinstance(values.get(f.name), str):
-            kinds[f.name] = T.StringType()
+        undeclared = T.IntegerType() if f.source == YEAR else T.StringType()
+        kinds[f.name] = T.StringType() if as_text else declared.get(f.source, undeclared)
     return T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -10,8 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicegate.errors import ContractError
-
-log = logging.getLogger(__name__)
+from sluicegate.operators.schema import bytes_to_text, decimals_to_text
 
 # Fixed value: the placeholder for the year of a load.
 YEAR_PLACEHOLDER = "{{ano}}"
@@ -64,16 +62,22 @@ def jdbc_options(
     params: Params = None,
     split: JdbcSplit | None = None,
     fetch_size: int = DEFAULT_FETCH_SIZE,
+    single_task: bool = False,
     **extra: str,
 ) -> dict[str, str]:
-    """Reader options for one extract. The statement runs in the database."""
+    """Reader options for one extract. The statement runs in the database.
+
+    A read without a split goes through one connection into one task; that must be asked for with
+    ``single_task``. Times come without a zone, as the database shows them.
+    """
+    if split is None and not single_task:
+        raise ContractError("a JDBC read needs a split, or single_task=True to fetch all rows in one task")
     text, rendered = render_year(sql, params)
     if params is not None and not rendered:
         raise ContractError(f"a JDBC read binds no parameters; use {YEAR_PLACEHOLDER} in the SQL")
     text = _one_statement(text)
-    options = {"url": url, "fetchsize": str(fetch_size), **extra}
+    options = {"url": url, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **extra}
     if split is None:
-        log.warning("JDBC read without a split: one task fetches the whole result")
         return {**options, "query": text}
     return {
         **options,
@@ -85,8 +89,19 @@ def jdbc_options(
     }
 
 
-def extract_jdbc(spark: SparkSession, url: str, sql: str, params: Params = None, **options: Any) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(url, sql, params, **options)).load()
+def extract_jdbc(
+    spark: SparkSession,
+    url: str,
+    sql: str,
+    params: Params = None,
+    decimals_as_text: bool = False,
+    bytes_as_text: bool = False,
+    **options: Any,
+) -> DataFrame:
+    """Rows of the statement; decimals and bytes as text where wanted, as ``operators.schema`` turns them."""
+    rows = spark.read.format("jdbc").options(**jdbc_options(url, sql, params, **options)).load()
+    rows = decimals_to_text(rows) if decimals_as_text else rows
+    return bytes_to_text(rows) if bytes_as_text else rows
 
 
 def _year(params: Params) -> int | None:

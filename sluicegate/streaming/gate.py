@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from sluicegate.contract import Contract
@@ -14,6 +17,15 @@ from sluicegate.sinks.publish import COMPRESSION, read_scope_files
 
 ACCEPTED, QUARANTINED = "accepted", "quarantined"
 TOTALS = ("rows_total", "rows_valid", "rows_invalid", "rows_warning")
+DEFAULT_FILES_PER_BATCH = 1000
+
+
+def file_stream(
+    spark: SparkSession, pattern: str, schema: T.StructType, files_per_batch: int = DEFAULT_FILES_PER_BATCH
+) -> DataFrame:
+    """Parquet files as a stream. A batch is accepted or quarantined as a whole, so the number of files in
+    a batch is part of what the stream means: one bad row holds back all files that come with it."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
 
 
 def gate_stream(
@@ -36,8 +48,7 @@ def gate_stream(
         place, other = (QUARANTINED, ACCEPTED) if counts.rows_invalid else (ACCEPTED, QUARANTINED)
         _move(spark, staged, f"{root}/{place}/batch_id={batch_id}")
         files.remove(spark, f"{root}/{other}/batch_id={batch_id}")
-        totals = spark.createDataFrame([counts]).withColumn("place", F.lit(place))
-        totals.coalesce(1).write.mode("overwrite").parquet(f"{root}/totals/batch_id={batch_id}")
+        _add_totals(spark, root, batch_id, {name: counts[name] for name in TOTALS})
 
     return stream.writeStream.foreachBatch(gate).option("checkpointLocation", checkpoint)
 
@@ -47,9 +58,31 @@ def read_batches(spark: SparkSession, root: str, place: str = ACCEPTED) -> DataF
 
 
 def running_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Totals over all batches so far, in one row."""
-    batches = spark.read.parquet(f"{root}/totals")
-    return batches.agg(*[F.sum(n).alias(n) for n in TOTALS])
+    """Totals over all batches so far, in one row; all 0 before the first batch."""
+    kept = _kept_totals(spark, root)
+    if not kept:
+        return spark.range(1).select(*[F.lit(0).cast("long").alias(n) for n in TOTALS])
+    return spark.read.schema(TOTALS_SCHEMA).json(f"{root}/totals/{max(kept)}.json")
+
+
+TOTALS_SCHEMA = ", ".join(f"{name} long" for name in TOTALS)
+
+
+def _kept_totals(spark: SparkSession, root: str) -> list[int]:
+    names = files.names(spark, f"{root}/totals")
+    return sorted(int(name.removesuffix(".json")) for name in names if name.removesuffix(".json").isdigit())
+
+
+def _add_totals(spark: SparkSession, root: str, batch_id: int, counts: dict[str, int]) -> None:
+    """Write the totals up to this batch. A repeated batch starts from the same earlier totals; the two latest
+    files stay, so their number does not grow with the stream."""
+    earlier = [number for number in _kept_totals(spark, root) if number < batch_id]
+    if earlier:
+        before = spark.read.schema(TOTALS_SCHEMA).json(f"{root}/totals/{earlier[-1]}.json").first()
+        counts = {name: counts[name] + before[name] for name in TOTALS}
+    files.write_text(spark, json.dumps(counts), f"{root}/totals/{batch_id}.json")
+    for number in earlier[:-1]:
+        files.remove(spark, f"{root}/totals/{number}.json")
 
 
 def _move(spark: SparkSession, staged: str, target: str) -> None:
@@ -57,5 +90,6 @@ def _move(spark: SparkSession, staged: str, target: str) -> None:
         files.remove(spark, target)
         files.rename(spark, staged, target)
     else:
-        spark.read.parquet(staged).write.mode("overwrite").option("compression", COMPRESSION).parquet(target)
+        rows = spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows.option("compression", COMPRESSION).parquet(target)
         files.remove(spark, staged)

@@ -88,16 +88,6 @@ def test_identity_is_required():
             Contract.from_dicts(dataset, version, {}, {})
 
 
-def test_layout():
-    c = contract()
-    assert c.check_layout(["a", "b"]) == []
-    assert c.check_layout(["a"])[0].where == "input.columns"
-    assert c.check_layout(["a", "b", "c"])[0].where == "input.columns"
-    assert c.check_layout(["a", "b", "c"], allow_extra=True) == []
-    assert c.check_layout(["b", "a"])[0].where == "input.order"
-    assert c.check_layout(["b", "a"], exact_order=False) == []
-
-
 def test_rules_take_inline_and_nested_arguments():
     item = {"rule": " MIN ", "value": 1, "args": {"value": 2, "extra": 3}, "level": "fatal", "_comment": "x"}
     rule = parse_rules({"fields": {"a": {"validate": [item]}}}).checks[0]

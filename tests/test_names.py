@@ -1,0 +1,181 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate import LoadContext, run_load
+from sluicegate.contract import Contract
+from sluicegate.errors import ContractError
+from sluicegate.functions.casts import parse_token
+from sluicegate.names import unused
+from sluicegate.operators import report, schema
+from sluicegate.operators.check import check
+from sluicegate.rules import parse_rules
+from sluicegate.sinks import files, publish
+from sluicegate.sources import slices
+from sluicegate.sources.sql import JdbcSplit, jdbc_options
+
+
+def contract(fields, partitions, rules=None):
+    document = {
+        "fields": rules or {fields[0][0].strip(): {}},
+        "partitioning": {"style": "hive", "fields": [{"name": n, "source": s, "from": o} for n, s, o in partitions]},
+    }
+    named = [{"name": n, "type": t} for n, t in fields]
+    return Contract.from_dicts("d", "v1", {"fields": named}, document)
+
+
+TC = ("tc", "tc", "ctx")
+
+
+def load(source, made, root, **options):
+    return run_load(source, made, LoadContext.of(made, 2024, "ab"), f"{root}/out", f"{root}/store", **options)
+
+
+def test_partition_never_overwrites_a_column(spark, tmp_path):
+    made = contract([("mes", "string"), ("mes_ref", "int32")], [TC, ("mes", "mes_ref", "dataframe")])
+    with pytest.raises(ContractError):
+        load(spark.createDataFrame([("jan", 7)], "mes string, mes_ref int"), made, tmp_path)
+    assert not (tmp_path / "out").exists()
+
+
+def test_context_value_never_replaces_a_column(spark, tmp_path):
+    made = contract([("k", "int32"), ("ANO", "int32")], [TC, ("ano", "ano", "ctx")])
+    result = load(spark.createDataFrame([(1, 1999)], "k int, ANO int"), made, tmp_path)
+    assert result.context_mismatches == {"ano": 1}
+    rows = spark.read.parquet(f"{tmp_path}/store/d/v1/data/tc=ab/ano=2024").collect()
+    assert [r.ANO for r in rows] == [1999]
+
+
+def test_names_that_differ_in_case_only(spark, tmp_path):
+    made = contract([("a", "int32"), ("A", "int32")], [TC])
+    with pytest.raises(ContractError):
+        load(spark.createDataFrame([(1, 2)], "x int, y int"), made, tmp_path)
+
+
+def test_padded_names_keep_their_type_and_place(spark, tmp_path):
+    made = contract([(" a ", "int32"), ("b", "string")], [TC])
+    load(spark.createDataFrame([("7", "x")], "p string, q string"), made, tmp_path)
+    got = slices.read_slice(spark, f"{tmp_path}/store", made, tc="ab")
+    assert got.columns[:2] == ["a", "b"] and got.schema["a"].dataType.simpleString() == "int"
+
+
+def test_flags_take_free_names(spark):
+    df = spark.createDataFrame([(1, "mine")], "v int, error_max_v_1 string")
+    done = check(df, parse_rules({"fields": {"v": {"validate": [{"rule": "max", "value": 0}]}}}).checks)
+    assert [tuple(r) for r in done.invalid.collect()] == [(1, "mine")]
+    assert unused("a", ["A", "a_"]) == "a__"
+    with pytest.raises(ContractError):
+        check(spark.createDataFrame([(1,)], "__row_invalid__ int"), [])
+
+
+def test_partition_text_survives_copies(spark, tmp_path):
+    made = contract([("k", "int32")], [TC, ("carga_id", "carga", "dataframe")])
+    rows = [(1, "00000123"), (2, "12345e67"), (3, "007")]
+    source = spark.createDataFrame(rows, "k int, carga string")
+    base = f"{tmp_path}/one/d/v1"
+    publish.write_scope(source, made.partitioning, {"tc": "ab"}, f"{base}/data")
+    got = slices.read_scope(spark, f"{tmp_path}/one", made, {"tc": "ab"}, as_text=True)
+    publish.mirror_scope(got, f"{tmp_path}/two/d/v1", made.partitioning, {"tc": "ab"}, "copy")
+    names = [sorted(p.name for p in (tmp_path / n / "d/v1/data/tc=ab").iterdir() if p.is_dir()) for n in ("one", "two")]
+    assert names[0] == names[1] == ["carga_id=00000123", "carga_id=007", "carga_id=12345e67"]
+
+
+@pytest.fixture
+def object_store(spark, monkeypatch):
+    monkeypatch.setattr(files, "renames_in_place", lambda *a: False)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    yield
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+
+
+MONTHS = contract([("k", "int32"), ("mes", "int32")], [TC, ("mes", "mes", "dataframe")])
+
+
+def months(spark, root):
+    rows = slices.read_slice(spark, f"{root}/store", MONTHS, tc="ab").collect()
+    return sorted((r.k, r.mes) for r in rows)
+
+
+def test_object_store_replaces_the_whole_scope(spark, tmp_path, object_store):
+    load(spark.createDataFrame([(1, 1), (2, 2)], "k int, mes int"), MONTHS, tmp_path)
+    load(spark.createDataFrame([(3, 2)], "k int, mes int"), MONTHS, tmp_path)
+    assert months(spark, tmp_path) == [(3, 2)]
+
+
+def test_failed_object_store_write_leaves_the_old_scope(spark, tmp_path, object_store):
+    load(spark.createDataFrame([(1, 1), (2, 2)], "k int, mes int"), MONTHS, tmp_path)
+    staged = publish.write_scope(
+        spark.createDataFrame([(3, 2)], "k int, mes int"), MONTHS.partitioning, {"tc": "ab"}, f"{tmp_path}/staged"
+    )
+    for path in (tmp_path / "staged").rglob("*.parquet"):
+        path.write_bytes(b"broken")
+    with pytest.raises(Exception):  # noqa: B017
+        publish.publish_scope(spark, staged, f"{tmp_path}/store/d/v1", MONTHS.partitioning, {"tc": "ab"}, "x")
+    assert months(spark, tmp_path) == [(1, 1), (2, 2)]
+
+
+def test_refused_load_leaves_nothing_staged(spark, tmp_path):
+    source = spark.createDataFrame([(1, None)], "k int, mes int")
+    with pytest.raises(ContractError):
+        load(source, MONTHS, tmp_path)
+    assert not list((tmp_path / "out").rglob("*.parquet"))
+
+
+def test_missing_source_is_refused_plainly(spark, tmp_path):
+    made = contract([("k", "int32")], [TC, ("mes", "mes", "dataframe")])
+    with pytest.raises(ContractError, match="mes"):
+        load(spark.createDataFrame([(1,)], "k int"), made, tmp_path, stable_source=True)
+
+
+def test_failing_load_over_files_writes_no_rows(spark, tmp_path):
+    rules = {"k": {"validate": [{"rule": "max", "value": 0}]}}
+    made = contract([("k", "int32"), ("mes", "int32")], [TC, ("mes", "mes", "dataframe")], rules)
+    result = load(spark.createDataFrame([(1, 1)], "k int, mes int"), made, tmp_path, stable_source=True)
+    assert result.rows_invalid == 1 and not list(tmp_path.rglob("*.parquet"))
+
+
+def test_notes_of_clean_ups(spark, tmp_path):
+    rules = {"k": {"normalize": [{"op": "trim", "when": {"field": "k", "op": "almost"}}]}}
+    made = contract([("k", "string")], [TC], rules)
+    result = load(spark.createDataFrame([(" a ",)], "k string"), made, tmp_path)
+    assert len(result.notes) == 1 and "trim" in result.notes[0]
+
+
+def test_zoned_times_do_not_move_with_the_session(spark, saving_zone):
+    zoned = spark.sql("select timestamp_micros(1541298600123456L) as t")
+    want = datetime.datetime(2018, 11, 4, 2, 30, 0, 123000)
+    for zone in ("America/Sao_Paulo", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        typed = schema.enforce(zoned, [{"name": "t", "type": "timestamp[ms]"}])
+        text = schema.enforce(zoned, [{"name": "t", "type": "string"}]).first().t
+        day = schema.enforce(zoned, [{"name": "t", "type": "date32"}]).first().t
+        assert (typed.first().t, text, str(day)) == (want, "2018-11-04 02:30:00.123456", "2018-11-04")
+    assert parse_token("timestamp[ms]").dtype == typed.schema["t"].dataType
+
+
+def test_jdbc_needs_a_split_or_one_task_on_purpose():
+    with pytest.raises(ContractError):
+        jdbc_options("jdbc:x", "select 1")
+    assert jdbc_options("jdbc:x", "select 1", single_task=True)["preferTimestampNTZ"] == "true"
+    assert "query" not in jdbc_options("jdbc:x", "select 1", split=JdbcSplit("id", 0, 9, 2))
+
+
+def test_many_ordered_samples_stay_in_their_tasks(spark):
+    df = spark.range(10_000).repartition(4)
+    done = check(df, parse_rules({"fields": {"id": {"validate": [{"rule": "max", "value": -1}]}}}).checks)
+    with report.ranked_in_tasks(spark, 5000):
+        rows = report.choose_samples(done, "error", 5000, ["id"])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert spark.conf.get(report.RANKED_ROWS) == "1000"
+
+
+def test_write_without_adaptive_execution_keeps_files_few(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(0, 4000, 1, 16).select(F.col("id").cast("int").alias("k"), (F.col("id") % 3).cast("int").alias("mes"))
+        publish.write_scope(df, MONTHS.partitioning, {"tc": "ab"}, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 3 * publish.SHARES

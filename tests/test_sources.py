@@ -37,6 +37,7 @@ def test_jdbc_reads_are_divided():
         "url": URL,
         "user": "u",
         "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
         "dbtable": "(select * from t where y = 2024) extract",
         "partitionColumn": "id",
         "lowerBound": "0",
@@ -46,7 +47,7 @@ def test_jdbc_reads_are_divided():
 
 
 def test_jdbc_without_a_split_sends_the_query():
-    options = jdbc_options(URL, "select 1", fetch_size=5)
+    options = jdbc_options(URL, "select 1", fetch_size=5, single_task=True)
     assert options["query"] == "select 1" and options["fetchsize"] == "5" and "dbtable" not in options
 
 
