@@ -40,39 +40,41 @@ select
 from {orders}
 """
 
-# The names of the columns.
-COLUMNS = """
-data_empenho numero_empenho tipo_credor nome_credor cpf_cnpj_credor cpf_ordenador_despesa
-codigo_ibge_municipio cnpj_ug codigo_ug descricao_ug codigo_uo descricao_uo sigla_uf esfera
-codigo_classificacao_funcional codigo_classificacao_natureza codigo_subelemento_despesa
-descricao_subelemento_despesa codigo_fonte_recursos codigo_co codigo_programa descricao_programa
-codigo_acao descricao_acao historico vl_empenhado vl_liquidado vl_pago
-""".split()
+# The row check looks at tipo_credor and cpf_cnpj_credor unless told otherwise; the other names are free.
+# fmt: off
+COLUMNS = (
+    "commit_date", "commit_no", "tipo_credor", "payee", "cpf_cnpj_credor", "officer_id", "town_code",
+    "unit_tax_id", "unit_code", "unit_text", "office_code", "office_text", "state", "sphere",
+    "function_code", "nature_code", "detail_code", "detail_text", "fund_code", "extra_code",
+    "program_code", "program_text", "action_code", "action_text", "remarks", "committed", "settled",
+    "paid",
+)
+# fmt: on
 TYPES = {
-    "data_empenho": "date32",
+    "commit_date": "date32",
     "tipo_credor": "int32",
-    "vl_empenhado": "decimal128(18,2)",
-    "vl_liquidado": "decimal128(18,2)",
-    "vl_pago": "decimal128(18,2)",
+    "committed": "decimal128(18,2)",
+    "settled": "decimal128(18,2)",
+    "paid": "decimal128(18,2)",
 }
 TRIM, UPPER, DIGITS = {"op": "trim"}, {"op": "upper"}, {"op": "digits_only"}
 RULES = {
-    "data_empenho": {"normalize": [{"op": "to_date", "format": "%d/%m/%Y"}], "validate": [{"rule": "required"}]},
-    "numero_empenho": {"normalize": [TRIM], "validate": [{"rule": "required"}]},
+    "commit_date": {"normalize": [{"op": "to_date", "format": "%d/%m/%Y"}], "validate": [{"rule": "required"}]},
+    "commit_no": {"normalize": [TRIM], "validate": [{"rule": "required"}]},
     "tipo_credor": {"validate": [{"rule": "in", "values": [1, 2, 3], "level": "warning"}]},
-    "nome_credor": {"normalize": [TRIM, UPPER]},
+    "payee": {"normalize": [TRIM, UPPER]},
     "cpf_cnpj_credor": {"normalize": [DIGITS]},
-    "cpf_ordenador_despesa": {"normalize": [DIGITS, {"op": "lpad", "len": 11}]},
-    "codigo_ibge_municipio": {"validate": [{"rule": "regex", "pattern": r"^\d{7}$"}]},
-    "cnpj_ug": {"normalize": [DIGITS, {"op": "lpad", "len": 14}]},
-    "sigla_uf": {"normalize": [UPPER], "validate": [{"rule": "max_length", "value": 2}]},
-    "esfera": {"normalize": [UPPER], "validate": [{"rule": "in", "values": ["M", "E"], "level": "warning"}]},
-    "codigo_co": {"normalize": [{"op": "coalesce", "value": 0}]},
-    "historico": {"normalize": [TRIM, {"op": "replace", "old": r"\s+", "new": "_"}]},
-    "vl_empenhado": {"validate": [{"rule": "gt", "value": 0}, {"rule": "required", "level": "warning"}]},
-    "vl_liquidado": {"validate": [{"rule": "ge", "value": 0}]},
-    "vl_pago": {"validate": [{"rule": "ge", "value": 0}]},
-    **{n: {"normalize": [TRIM]} for n in COLUMNS if n.startswith("descricao_")},
+    "officer_id": {"normalize": [DIGITS, {"op": "lpad", "len": 11}]},
+    "town_code": {"validate": [{"rule": "regex", "pattern": r"^\d{7}$"}]},
+    "unit_tax_id": {"normalize": [DIGITS, {"op": "lpad", "len": 14}]},
+    "state": {"normalize": [UPPER], "validate": [{"rule": "max_length", "value": 2}]},
+    "sphere": {"normalize": [UPPER], "validate": [{"rule": "in", "values": ["M", "E"], "level": "warning"}]},
+    "extra_code": {"normalize": [{"op": "coalesce", "value": 0}]},
+    "remarks": {"normalize": [TRIM, {"op": "replace", "old": r"\s+", "new": "_"}]},
+    "committed": {"validate": [{"rule": "gt", "value": 0}, {"rule": "required", "level": "warning"}]},
+    "settled": {"validate": [{"rule": "ge", "value": 0}]},
+    "paid": {"validate": [{"rule": "ge", "value": 0}]},
+    **{n: {"normalize": [TRIM]} for n in COLUMNS if n.endswith("_text")},
 }
 CONTRACT = Contract.from_dicts(
     "commitments",
@@ -89,16 +91,16 @@ CONTRACT = Contract.from_dicts(
 )
 
 IS_BROKEN = {
-    "error:required:data_empenho": "c01 = '31/02/1999'",
-    "error:required:numero_empenho": "trim(c02) = ''",
+    "error:required:commit_date": "c01 = '31/02/1999'",
+    "error:required:commit_no": "trim(c02) = ''",
     "warning:in:tipo_credor": "c03 = '9'",
-    "error:regex:codigo_ibge_municipio": "not regexp_full_match(c07, '\\d{7}')",
-    "error:max_length:sigla_uf": "length(c13) > 2",
-    "warning:in:esfera": "upper(c14) not in ('M', 'E')",
-    "error:gt:vl_empenhado": "coalesce(try_cast(c26 as decimal(18,2)) <= 0, false)",
-    "warning:required:vl_empenhado": "c26 = 'n/a'",
-    "error:ge:vl_liquidado": "cast(c27 as decimal(18,2)) < 0",
-    "error:ge:vl_pago": "cast(c28 as decimal(18,2)) < 0",
+    "error:regex:town_code": "not regexp_full_match(c07, '\\d{7}')",
+    "error:max_length:state": "length(c13) > 2",
+    "warning:in:sphere": "upper(c14) not in ('M', 'E')",
+    "error:gt:committed": "coalesce(try_cast(c26 as decimal(18,2)) <= 0, false)",
+    "warning:required:committed": "c26 = 'n/a'",
+    "error:ge:settled": "cast(c27 as decimal(18,2)) < 0",
+    "error:ge:paid": "cast(c28 as decimal(18,2)) < 0",
     "error:cpf_cnpj_by_tipo_credor:global": """(c03 = '1' and length(regexp_replace(c05, '[^0-9]', '', 'g')) <> 11)
       or (c03 = '2' and length(regexp_replace(c05, '[^0-9]', '', 'g')) <> 14)""",
 }
@@ -128,14 +130,14 @@ def full_contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     WITH_COMMITMENTS
     + f"""select o_orderkey,
-      case when c01 <> '31/02/1999' then concat(c01[7:10], '-', c01[4:5], '-', c01[1:2]) end as data_empenho,
-      trim(c02) as numero_empenho, upper(trim(c04)) as nome_credor,
+      case when c01 <> '31/02/1999' then concat(c01[7:10], '-', c01[4:5], '-', c01[1:2]) end as commit_date,
+      trim(c02) as commit_no, upper(trim(c04)) as payee,
       regexp_replace(c05, '[^0-9]', '', 'g') as cpf_cnpj_credor,
-      lpad(regexp_replace(c06, '[^0-9]', '', 'g'), 11, '0') as cpf_ordenador_despesa,
-      lpad(regexp_replace(c08, '[^0-9]', '', 'g'), 14, '0') as cnpj_ug,
-      upper(c13) as sigla_uf, coalesce(c20, '0') as codigo_co,
-      regexp_replace(trim(c25), '\\s+', '_', 'g') as historico,
-      case when c26 <> 'n/a' then c26 end as vl_empenhado,
+      lpad(regexp_replace(c06, '[^0-9]', '', 'g'), 11, '0') as officer_id,
+      lpad(regexp_replace(c08, '[^0-9]', '', 'g'), 14, '0') as unit_tax_id,
+      upper(c13) as state, coalesce(c20, '0') as extra_code,
+      regexp_replace(trim(c25), '\\s+', '_', 'g') as remarks,
+      case when c26 <> 'n/a' then c26 end as committed,
       concat_ws('|', trim(c10), trim(c12), trim(c18), trim(c22), trim(c24)) as descriptions,
       'alpha' as tc, 2024 as ano,
       case when {ANY_ERROR} then 'error' when {ANY_WARNING} then 'warning' else 'valid' end as status
@@ -143,13 +145,13 @@ def full_contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def full_contract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col(ROW_INVALID), "error").when(F.col(ROW_WARNING), "warning").otherwise("valid")
-    kept = """o_orderkey numero_empenho nome_credor cpf_cnpj_credor cpf_ordenador_despesa cnpj_ug sigla_uf
-        codigo_co historico tc ano""".split()
+    kept = """o_orderkey commit_no payee cpf_cnpj_credor officer_id unit_tax_id state
+        extra_code remarks tc ano""".split()
     return _checked(spark, sf_dir).frame.select(
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
         *kept[1:],
-        F.col("data_empenho").cast("string").alias("data_empenho"),
-        F.col("vl_empenhado").cast("string").alias("vl_empenhado"),
-        F.concat_ws("|", *[n for n in COLUMNS if n.startswith("descricao_")]).alias("descriptions"),
+        F.col("commit_date").cast("string").alias("commit_date"),
+        F.col("committed").cast("string").alias("committed"),
+        F.concat_ws("|", *[n for n in COLUMNS if n.endswith("_text")]).alias("descriptions"),
         status.alias("status"),
     )
