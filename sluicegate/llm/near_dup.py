@@ -226,7 +226,8 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> Dat
     weights = sized.groupBy("component").agg(F.sum("n_shingles").alias("weight"))
     blocks = F.ceil(F.col("weight") / BLOCK).cast("int")
     placed = written(sized.join(weights.select("component", blocks.alias("blocks")), "component"))
-    texts = docs.select("doc_id", "text").join(placed, F.col("doc_id") == F.col("node"))
+    # Members grow with the documents, so they are never sent to every task: one plan at every size.
+    texts = docs.select("doc_id", "text").join(placed.hint("merge"), F.col("doc_id") == F.col("node"))
 
     def rule(tops: list, members: list, wanted: list, counts: list, documents: list) -> Iterator[tuple]:
         for component, node, same, count, text in zip(tops, members, wanted, counts, documents):
@@ -278,4 +279,4 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
     gone = written(found.where("not kept").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
