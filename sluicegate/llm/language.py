@@ -25,7 +25,7 @@ from sluicegate.llm.rows import map_batches, map_rows
 
 UNDETERMINED = "und"
 WORDS = 0  # the size under which whole words are counted
-SIZES = (5, 4, 3, 2, 1)
+SIZES = (4, 3, 2, 1)
 PENALTY = 7.0
 # The model is fitted on about so many labelled documents per language, chosen by a hash of their number,
 # and keeps so many words, and so many n-grams of each size, per language.
@@ -83,14 +83,17 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, kept: int = KEPT) ->
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("training")), F.lit(1 << 30)) < shares[F.col("lang")] * (1 << 30)
 
     def rule(langs: list, texts: list) -> Iterator[tuple]:
-        counts: Counter = Counter()
+        by_lang: dict[str, Counter] = {}
         for lang, text in zip(langs, texts):
-            for word, n in Counter(words_of(text)).items():
-                counts[lang, WORDS, word] += n
-                for size in SIZES:
+            by_lang.setdefault(lang, Counter()).update(words_of(text))
+        for lang, words in by_lang.items():
+            yield from ((lang, WORDS, word, n) for word, n in words.items())
+            for size in SIZES:
+                counts: Counter = Counter()
+                for word, n in words.items():
                     for gram in grams(word, size):
-                        counts[lang, size, gram] += n
-        return ((*key, n) for key, n in counts.items())
+                        counts[gram] += n
+                yield from ((lang, size, gram, n) for gram, n in counts.items())
 
     counted = map_rows(labelled.where(drawn), ("lang", "text"), rule, COUNTS)
     summed = counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))

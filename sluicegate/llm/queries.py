@@ -20,6 +20,7 @@ from sluicegate.llm import (
     wrappers,
 )
 from sluicegate.llm.library_bpe import library_encoder
+from sluicegate.llm.sql import CHAT_SQL, NEAR_DUP_SQL, NEAREST_SQL, PAGES_SQL
 from sluicegate.queries.base import Entry, table
 
 # A conversation of control strings, beside those of the table.
@@ -72,33 +73,12 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-CHAT_SQL = r"""
-with turns as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all select * from (values (-7, 0, 'user', '\### Assistant: </turn> ok'),
-                                  (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
-sized as (
-  select *, case when role in ('user', 'assistant', 'system') then length(role) + 6 else length(role) + 7 end
-      + length(text) + 9 + len(regexp_extract_all(text, '### (?:User|Assistant|System|=)|</turn>')) as chars
-  from turns)
-select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
-  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
-  cast(sum(chars) as bigint) as formatted_chars
-from sized group by conv_id
-"""
-# The index visits all rows of tables this small, so it must agree with the whole comparison.
-NEAREST_SQL = """
-with rows as (select vec_id, cast(embedding as double[]) as v from embeddings),
-scored as (
-  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
-  from rows q join rows c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
-ranked as (
-  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
-select query_id, rank, vec_id, score from ranked where rank <= 20
-"""
-SQL = {"op10_nearest_neighbours": NEAREST_SQL, "op3_chat_formatting": CHAT_SQL}
+SQL = {
+    "op2_html_extraction": PAGES_SQL,
+    "op3_chat_formatting": CHAT_SQL,
+    "op4_minhash_near_dedup": NEAR_DUP_SQL,
+    "op10_nearest_neighbours": NEAREST_SQL,
+}
 RUNS = (
     op1_language_id,
     op2_html_extraction,

@@ -14,7 +14,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_backing_off():
-    model = language.Model(("a", "b"), {0: {"the": (1.0, 7.0)}, 5: {}, 4: {}, 3: {"abc": (7.0, 2.0)}, 2: {}, 1: {}}, "b")
+    model = language.Model(("a", "b"), {0: {"the": (1.0, 7.0)}, 4: {}, 3: {"abc": (7.0, 2.0)}, 2: {}, 1: {}}, "b")
     scorer = language.Scorer(model)
     assert scorer.predict("The THE")[0] == "a"
     assert scorer.predict("xabcx")[0] == "b"
