@@ -6,6 +6,7 @@ but never run. Nulls pass every check but ``required``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
 from functools import reduce
@@ -37,6 +38,9 @@ DOCUMENT_TYPE_FIELD = "tipo_credor"
 DOCUMENT_FIELD = "cpf_cnpj_credor"
 DOCUMENT_LENGTHS = {1: 11, 2: 14}
 
+# Below this every whole number is a double.
+EXACT_IN_DOUBLES = 2**53
+
 
 def required(x: Operand, args: Args) -> Column:
     missing = x.col.isNull()
@@ -46,15 +50,15 @@ def required(x: Operand, args: Args) -> Column:
 
 
 def minimum(x: Operand, args: Args) -> Column | None:
-    return _compared(x, args, lambda number, limit: number < limit)
+    return _compared(x, args, lambda number, limit: number < limit, math.ceil)
 
 
 def maximum(x: Operand, args: Args) -> Column | None:
-    return _compared(x, args, lambda number, limit: number > limit)
+    return _compared(x, args, lambda number, limit: number > limit, math.floor)
 
 
 def greater_than(x: Operand, args: Args) -> Column | None:
-    return _compared(x, args, lambda number, limit: number <= limit)
+    return _compared(x, args, lambda number, limit: number <= limit, math.floor)
 
 
 def max_length(x: Operand, args: Args) -> Column | None:
@@ -128,10 +132,17 @@ def document_by_type(args: Args, scope: Scope, asked_by: str) -> Column:
     return reduce(Column.__or__, broken)
 
 
-def _compared(x: Operand, args: Args, broken: Callable[[Column, Column], Column]) -> Column | None:
+def _compared(
+    x: Operand, args: Args, broken: Callable[[Column, Column], Column], whole: Callable[[float], int]
+) -> Column | None:
+    """Numbers are compared as doubles. For a bigint and a limit that doubles hold exactly, the whole number
+    that ``whole`` makes of the limit gives the same answer, and the comparison reaches the scan."""
     if args.get("value") is None:
         return None
-    return broken(to_number(x, T.DoubleType()), F.lit(float(args["value"])))
+    limit = float(args["value"])
+    if x.is_a(T.LongType) and abs(limit) < EXACT_IN_DOUBLES:
+        return broken(x.col, F.lit(whole(limit)).cast("long"))
+    return broken(to_number(x, T.DoubleType()), F.lit(limit))
 
 
 def _day(args: Args) -> date | None:

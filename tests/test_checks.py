@@ -161,3 +161,12 @@ def test_millisecond_columns_show_three_digits(spark):
     times = [dt.datetime(2024, 1, 1)]
     assert broken(spark, "timestamp_ntz", times, rule, millis=["v"]) == [NO]
     assert broken(spark, "timestamp_ntz", times, rule) == [YES]
+
+
+def test_limits_on_whole_numbers(spark):
+    given = [4, 5, 6, None, 2**62, -(2**62)]
+    assert broken(spark, "bigint", given, {"rule": "min", "value": 4.5}) == [YES, NO, NO, NO, NO, YES]
+    assert broken(spark, "bigint", given, {"rule": "max", "value": 5.5}) == [NO, NO, YES, NO, YES, NO]
+    assert broken(spark, "bigint", given, {"rule": "gt", "value": "5"}) == [YES, YES, NO, NO, NO, YES]
+    assert broken(spark, "bigint", given, {"rule": "max", "value": 1e300}) == [NO] * 6
+    assert broken(spark, "bigint", given, {"rule": "min", "value": "-inf"}) == [NO] * 6

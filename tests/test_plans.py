@@ -5,11 +5,11 @@ from test_queries import SMALL
 
 import __spark_entry__ as entries
 from sluicegate.operators import report
-from sluicegate.queries.base import checked, table
+from sluicegate.queries.base import REGISTRY, checked, table
 from sluicegate.queries.reports import WIDE_LINES
 
 FORBIDDEN = ("Cartesian", "NestedLoop", "Broadcast", "PythonUDF", "EvalPython", "MapInPandas", "InMemoryTableScan")
-LAZY = [n for n in entries.queries() if not n.startswith(("stream_", "publish_", "gate_", "mirror_", "read_"))]
+LAZY = [n for n in REGISTRY if not n.startswith(("stream_", "publish_", "gate_", "mirror_", "read_"))]
 
 
 def plan(df):
@@ -59,3 +59,9 @@ def test_flags_stay_in_generated_code(spark):
     df = entries.queries()["flags"](spark, SMALL)
     df.collect()
     assert "*(1) Project" in plan(df)
+
+
+@pytest.mark.parametrize(("value", "pushed"), [(100.5, "GreaterThan(o_orderkey,100)"), (-3, "GreaterThan(o_orderkey,-3)")])
+def test_whole_number_limits_reach_the_scan(spark, value, pushed):
+    done = checked(table(spark, SMALL, "orders"), {"o_orderkey": [{"rule": "max", "value": value}]})
+    assert pushed in plan(done.bad_rows("error"))
