@@ -3,11 +3,11 @@
 Pieces of documents are range-sorted by length, so that each length is a run of neighbouring rows and every
 row has a rank in its run. Lengths and gaps are whole numbers up to the capacity; pieces of one length, and
 sequences with one gap, are interchangeable. A round therefore works on runs: the tasks count their own, and
-at most ``partitions + capacity`` counts meet in the driver. A sweep passes documents and gaps in ascending
-size; a gap takes the longest document not larger than it (it is the gap's predecessor, the gap its
-successor). Where several want the same gap, lower ranks win and the others go on to the next gap. Gaps are
-then updated and swept again until nothing fits; what is left opens as many sequences as its length needs
-at least. The rounds give each run of ranks its sequences; the tasks place their own rows by rank.
+at most ``partitions + capacity`` counts meet in the driver. A round takes the longest documents left, all of
+one length at once, and sweeps them over the gaps from their length upward: each goes to its successor, the
+smallest gap that holds it. Where more want a gap than there are, lower ranks win and the others go on to the
+next larger gap, or open sequences where none is left. Gaps are then updated, and the next round begins. The
+rounds give each run of ranks its sequences; the tasks place their own rows by rank.
 """
 
 from __future__ import annotations
@@ -51,84 +51,50 @@ class Placement:
     offset: int
 
 
-class _Pool:
-    """Unplaced documents: how many of each length, and the next rank to give out."""
-
-    def __init__(self, counts: Mapping[int, int]):
-        self.left = {length: n for length, n in counts.items() if n}
-        self.rank = dict.fromkeys(self.left, 0)
-
-    def take(self, length: int, n: int) -> int:
-        first = self.rank[length]
-        self.rank[length] += n
-        self.left[length] -= n
-        if not self.left[length]:
-            del self.left[length]
-        return first
-
-    def tokens(self) -> int:
-        return sum(length * n for length, n in self.left.items())
-
-
-Gaps = dict[int, list[tuple[int, int]]]  # by size: runs of sequences, as first and count
-
-
-def _sweep(pool: _Pool, gaps: Gaps, capacity: int, placed: list[Placement]) -> Gaps:
-    """One pass over documents and gaps in ascending size. Returns the gaps afterwards."""
-    after: Gaps = defaultdict(list)
-    waiting: list[int] = []
-    sizes = sorted(set(pool.left) | set(gaps))
-    for size in sizes:
-        if size in pool.left:
-            insort(waiting, size)
-        for first, count in gaps.get(size, ()):
-            while count and waiting:
-                length = waiting[-1]
-                # A gap that the longest fitting document fits again takes it again; short of that many
-                # documents, one gap takes the last few.
-                per = min(size // length, pool.left[length])
-                n = min(count, pool.left[length] // per)
-                rank = pool.take(length, n * per)
-                placed.append(Placement(length, rank, n * per, first, per, capacity - size))
-                if size > per * length:
-                    after[size - per * length].append((first, n))
-                first, count = first + n, count - n
-                if length not in pool.left:
-                    waiting.pop()
-            if count:
-                after[size].append((first, count))
-    return after
+class _Gaps:
+    """Open sequences by the room they have: runs of neighbouring sequences, as first and count."""
+
+    def __init__(self) -> None:
+        self.sizes: list[int] = []
+        self.runs: dict[int, list[tuple[int, int]]] = {}
+
+    def put(self, size: int, first: int, count: int) -> None:
+        if size and count:
+            if size not in self.runs:
+                insort(self.sizes, size)
+            self.runs.setdefault(size, []).append((first, count))
+
+    def successor(self, length: int) -> int | None:
+        at = bisect_left(self.sizes, length)
+        return self.sizes[at] if at < len(self.sizes) else None
+
+    def take(self, size: int) -> tuple[int, int]:
+        run = self.runs[size].pop()
+        if not self.runs[size]:
+            del self.runs[size], self.sizes[bisect_left(self.sizes, size)]
+        return run
 
 
 def plan(counts: Mapping[int, int], capacity: int) -> tuple[list[Placement], int]:
     """Placements for so many pieces of each length, and the number of sequences."""
-    pool, placed, sequences = _Pool(counts), [], 0
-    gaps: Gaps = {}
-
-    def open_sequences(wanted: int, least: int) -> None:
-        """Open sequences with the longest documents, ``wanted`` of them or all from ``least`` on."""
-        nonlocal sequences
-        for length in sorted(pool.left, reverse=True):
-            n = pool.left[length] if length >= least else min(wanted, pool.left[length])
-            if n <= 0:
-                break
-            placed.append(Placement(length, pool.take(length, n), n, sequences, 1, 0))
-            if capacity > length:
-                gaps.setdefault(capacity - length, []).append((sequences, n))
-            sequences, wanted = sequences + n, wanted - n
-
-    # No two documents over half the capacity share a sequence.
-    least = capacity // 2 + 1
-    while pool.left:
-        room = sum(size * n for size, runs in gaps.items() for _, n in runs) if gaps else 0
-        open_sequences(max(1, -(-max(0, pool.tokens() - room) // capacity)), least)
-        while pool.left:
-            known = len(placed)
-            gaps = _sweep(pool, gaps, capacity, placed)
-            if len(placed) == known:
-                break
-        gaps = {size: runs for size, runs in gaps.items() if pool.left and size >= min(pool.left)}
-        least = capacity + 1
+    gaps, placed, sequences = _Gaps(), [], 0
+    for length in sorted(counts, reverse=True):
+        left, rank = counts[length], 0
+        while left:
+            size = gaps.successor(length)
+            if size is None:
+                # As many new sequences as can be filled alike; the last few pieces open one more.
+                size, first, count = capacity, sequences, max(1, left // (capacity // length))
+                sequences += count
+            else:
+                first, count = gaps.take(size)
+            # What is left of a gap that holds another piece of this length is the smallest that does.
+            per = min(size // length, left)
+            filled = min(count, left // per)
+            placed.append(Placement(length, rank, filled * per, first, per, capacity - size))
+            gaps.put(size, first + filled, count - filled)
+            gaps.put(size - per * length, first, filled)
+            rank, left = rank + filled * per, left - filled * per
     return placed, sequences
 
 

@@ -54,7 +54,7 @@ def test_plan_is_close_to_the_bound(seed):
                 break
         else:
             gaps.append(2048 - length)
-    assert sequences <= len(gaps) * 1.01 + 1
+    assert sequences <= len(gaps) * 1.002 + 1
 
 
 def test_pieces_of_every_document(spark):
