@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from sluicegate.llm.pretokens import cut, word_and_tail
-from sluicegate.llm.rows import ChunkCache, map_rows
+from sluicegate.llm.rows import ChunkCache, map_rows, memo
 
 # Pairs of tokens whose standing side by side is remembered, per worker.
 PAIRS = 1 << 19
@@ -194,14 +194,9 @@ class Encoder:
         return b"".join(map(self.ranks.token.__getitem__, array("I", ids)))
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
-    """One encoder per worker process and vocabulary, so that tasks share what it remembers."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    """One encoder per worker process, so that tasks share what it remembers."""
+    return memo((Encoder, path, pattern), lambda: Encoder(path, pattern))
 
 
 ENCODED = T.StructType(

@@ -11,17 +11,18 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from sluicegate.llm.rows import map_batches, map_rows
+from sluicegate.llm.rows import map_batches, map_rows, memo
 
 UNDETERMINED = "und"
 WORDS = 0  # the size under which whole words are counted
@@ -29,9 +30,9 @@ SIZES = (4, 3, 2, 1)
 PENALTY = 7.0
 # The model is fitted on about so many labelled documents per language, chosen by a hash of their number,
 # and keeps so many words, and so many n-grams of each size, per language.
-TRAIN_DOCUMENTS, KEPT = 1000, 20_000
+TRAIN_DOCUMENTS, KEPT = 1000, 10_000
 # Distinct words whose scores a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -47,12 +48,27 @@ def grams(word: str, size: int) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Scores by size and gram, one per language in the order of ``languages``."""
+    """Scores of words and n-grams, one per language in the order of ``languages``."""
 
     languages: tuple[str, ...]
-    scores: dict[int, dict[str, tuple[float, ...]]]
+    rows: dict[int, dict[str, int]]  # by size and gram: its row of scores
+    scores: np.ndarray
     usual: str  # the language of most training documents
 
+    @classmethod
+    def of(cls, languages: Sequence[str], scores: Iterable[tuple[int, str, str, float]], usual: str) -> Model:
+        """From scores as size, gram, language and score."""
+        place = {lang: i for i, lang in enumerate(languages)}
+        rows: dict[int, dict[str, int]] = {size: {} for size in (WORDS, *SIZES)}
+        held: list[np.ndarray] = []
+        for size, gram, lang, score in scores:
+            row = rows[size].setdefault(gram, len(held))
+            if row == len(held):
+                held.append(np.full(len(languages), PENALTY, dtype=np.float32))
+            held[row][place[lang]] = score
+        matrix = np.array(held, dtype=np.float32).reshape(len(held), len(languages))
+        return cls(tuple(languages), rows, matrix, usual)
+
 
 def held_out() -> Column:
     """Whether a document is kept from training: crc32 of its number as text, modulo 4, is 2."""
@@ -78,7 +94,7 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, kept: int = KEPT) ->
     labelled = labelled.where(~held_out()).select("doc_id", "lang", "text")
     sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not sizes:
-        return Model((), {}, UNDETERMINED)
+        return Model.of((), (), UNDETERMINED)
     shares = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, documents / n))))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("training")), F.lit(1 << 30)) < shares[F.col("lang")] * (1 << 30)
 
@@ -101,13 +117,10 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, kept: int = KEPT) ->
     ranked = summed.withColumn("place", F.row_number().over(by_size.orderBy(F.desc("n"), "gram")))
     ranked = ranked.withColumn("total", F.sum("n").over(by_size)).where(F.col("place") <= kept)
     languages = tuple(sorted(sizes))
-    place = {lang: i for i, lang in enumerate(languages)}
-    scores: dict[int, dict[str, list[float]]] = {size: {} for size in (WORDS, *SIZES)}
-    for r in ranked.select("lang", "size", "gram", (-F.log10(F.col("n") / F.col("total"))).alias("score")).collect():
-        row = scores[r["size"]].setdefault(r.gram, [PENALTY] * len(languages))
-        row[place[r.lang]] = r.score
     usual = min(languages, key=lambda lang: (-sizes[lang], lang))
-    return Model(languages, {s: {g: tuple(v) for g, v in known.items()} for s, known in scores.items()}, usual)
+    score = (-F.log10(F.col("n") / F.col("total"))).alias("score")
+    rows = ranked.select("size", "gram", "lang", score).collect()
+    return Model.of(languages, map(tuple, rows), usual)
 
 
 class Scorer:
@@ -118,15 +131,15 @@ class Scorer:
         self.rows: dict[str, int] = {}
         self.matrix = np.zeros((REMEMBERED + 1, len(model.languages)), dtype=np.float32)
 
-    def _scores(self, word: str) -> tuple[float, ...] | np.ndarray | None:
-        known = self.model.scores[WORDS].get(word)
+    def _scores(self, word: str) -> np.ndarray | None:
+        known = self.model.rows[WORDS].get(word)
         if known is not None:
-            return known
+            return self.model.scores[known]
         for size in SIZES:
-            table = self.model.scores[size]
+            table = self.model.rows[size]
             found = [table[gram] for gram in grams(word, size) if gram in table]
             if found:
-                return [sum(column) / len(found) for column in zip(*found)]
+                return self.model.scores[found].mean(0)
         return None
 
     def _row(self, word: str) -> int:
@@ -163,17 +176,13 @@ class Scorer:
         return self.model.languages[best], float(1 / np.exp((mean[best] - mean) * np.log(10)).sum())
 
 
-_SCORERS: dict[str, Scorer] = {}
 # Below this a text is in none of the languages that were learned.
 LEAST_SCORE = 0.3
 
 
-def _scorer(name: str, model: Model) -> Scorer:
+def _scorer(name: str, model: Broadcast) -> Scorer:
     """One scorer per worker process, so that tasks share what it remembers."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(model)
-    return _SCORERS[name]
+    return memo((Scorer, name), lambda: Scorer(model.value))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -194,7 +203,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
     def rule(keys: list, held: list, texts: list) -> Iterator[tuple]:
-        scorer = _scorer(name, shared.value)
+        scorer = _scorer(name, shared)
         for doc_id, out, text in zip(keys, held, texts):
             yield doc_id, out, *scorer.predict(text)
 
@@ -211,7 +220,7 @@ def in_known_languages(docs: DataFrame) -> DataFrame:
     shared, name = docs.sparkSession.sparkContext.broadcast(fit(docs)), uuid.uuid4().hex
 
     def change(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scorer = _scorer(name, shared.value)
+        scorer = _scorer(name, shared)
         found = [scorer.predict(text) for text in batch.column("text").to_pylist()]
         return batch.filter(pa.array([lang != UNDETERMINED and score >= LEAST_SCORE for lang, score in found], pa.bool_()))
 

@@ -8,7 +8,7 @@ from array import array
 from tokenizers import Tokenizer
 
 from sluicegate.llm.pretokens import cut, word_and_tail
-from sluicegate.llm.rows import ChunkCache
+from sluicegate.llm.rows import ChunkCache, memo
 
 # Spark deals the work to processes; threads of the library would only compete with them.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -80,11 +80,6 @@ class LibraryEncoder:
         return b"".join(map(self.first.__getitem__, text.split(" ")))
 
 
-_ENCODERS: dict[tuple[str, bool], LibraryEncoder] = {}
-
-
 def library_encoder(path: str, spaced: bool) -> LibraryEncoder:
-    """One encoder per worker process and vocabulary, so that tasks share what it remembers."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = LibraryEncoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    """One encoder per worker process, so that tasks share what it remembers."""
+    return memo((LibraryEncoder, path, spaced), lambda: LibraryEncoder(path, spaced))

@@ -55,6 +55,18 @@ def map_batches(df: DataFrame, change: Callable[[pa.RecordBatch], pa.RecordBatch
     return df.mapInArrow(task, df.schema)
 
 
+_MEMO: dict[Any, Any] = {}
+
+
+def memo(key: Any, make: Callable[[], Any]) -> Any:
+    """What tasks of one kind share in a worker process. Only the latest kind is kept, so that the stages of a
+    pipeline don't pile up in the memory of their workers."""
+    if key not in _MEMO:
+        _MEMO.clear()
+        _MEMO[key] = make()
+    return _MEMO[key]
+
+
 class ChunkCache(dict):
     """What ``encode`` gives for a chunk of text or bytes, made when first asked for.
 

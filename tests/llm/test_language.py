@@ -14,7 +14,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_backing_off():
-    model = language.Model(("a", "b"), {0: {"the": (1.0, 7.0)}, 4: {}, 3: {"abc": (7.0, 2.0)}, 2: {}, 1: {}}, "b")
+    model = language.Model.of(("a", "b"), [(0, "the", "a", 1.0), (3, "abc", "b", 2.0)], "b")
     scorer = language.Scorer(model)
     assert scorer.predict("The THE")[0] == "a"
     assert scorer.predict("xabcx")[0] == "b"
@@ -25,8 +25,7 @@ def test_backing_off():
 
 def test_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(language, "REMEMBERED", 3)
-    monkeypatch.setattr(language, "SIZES", ())
-    model = language.Model(("a", "b"), {0: {w: (1.0, 2.0) for w in "uvwxyz"}}, "a")
+    model = language.Model.of(("a", "b"), [(0, w, "a", 1.0) for w in "uvwxyz"], "b")
     scorer = language.Scorer(model)
     assert [scorer.predict(t)[0] for t in ("u v w", "x y z", "u z")] == ["a"] * 3
 
