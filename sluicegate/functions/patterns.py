@@ -95,8 +95,17 @@ NUMBER_WIDTHS = {"%Y": 4, "%m": 2, "%d": 2, "%H": 2, "%M": 2, "%S": 2}
 COMBINED_DIRECTIVES = {"%F": "%Y-%m-%d", "%T": "%H:%M:%S", "%R": "%H:%M"}
 
 
+# A group that is nothing but one unbounded repeat, itself repeated without bound: (a+)+, (?:\d*)*.
+_NESTED_REPEAT = re.compile(
+    r"\((?:\?:|\?P?<\w+>)?(?:\\.|\[(?:\\.|[^\]\\])+\]|[^\\()\[\]|])(?:[*+]|\{\d+,\})\??\)(?:[*+]|\{\d+,\})"
+)
+
+
 def java_regex(pattern: str) -> str:
-    """Translate a contract expression; raise on what linear-time engines reject."""
+    """Translate a contract expression; raise on what linear-time engines reject, and on a repeat directly over
+    a repeat, which those take in their stride but Java may need hours for."""
+    if _NESTED_REPEAT.search(pattern):
+        raise ContractError(f"regular expression {pattern!r}: an unbounded repeat of an unbounded repeat")
     out: list[str] = []
     in_class = 0
     multi_line = False

@@ -93,3 +93,14 @@ def test_date_formats():
     assert java_date_format("%d de %B") == "dd 'de' MMMM"
     with pytest.raises(ContractError):
         java_date_format("%Q")
+
+
+@pytest.mark.parametrize("pattern", ["(a+)+$", r"^(?:\d*)*x", "([ab]+){2,}", r"(?P<n>\w+)*"])
+def test_repeats_of_repeats_are_refused(pattern):
+    with pytest.raises(ContractError):
+        java_regex(pattern)
+
+
+@pytest.mark.parametrize("pattern", ["(a+b)+", "(a{2})+", "(a+)?", "(a+){3}", r"\(a+\)+", "(ab+)*"])
+def test_other_repeats_stay(pattern):
+    assert java_regex(pattern)
