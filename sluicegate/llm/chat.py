@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluicegate.llm.rows import map_rows, slices
+from sluicegate.llm.rows import map_arrow, map_rows, slices
 
 NAMED = {"user": "User", "assistant": "Assistant", "system": "System"}
 ROLES = {shown: role for role, shown in NAMED.items()}
@@ -161,4 +161,4 @@ def digest_conversations(turns: DataFrame) -> DataFrame:
         if fold is not None:
             yield pa.RecordBatch.from_pylist([fold.row(current)], schema=arrow)
 
-    return ordered.select("conv_id", "rendered", "mask_start", "mask_length").mapInArrow(task, DIGESTS)
+    return map_arrow(ordered.select("conv_id", "rendered", "mask_start", "mask_length"), task, DIGESTS)

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluicegate.llm.rows import map_arrow
 from sluicegate.scratch import written
 
 # Nodes whose local components a task holds at a time.
@@ -86,7 +87,7 @@ def components(links: DataFrame, one: str, other: str) -> DataFrame:
     Each round is written to the shared folder, so that a lost executor costs one round at most.
     """
     pairs = links.select(F.col(one).cast("long").alias("u"), F.col(other).cast("long").alias("v"))
-    now = written(pairs.mapInArrow(_stars_of_task, "u long, v long"))
+    now = written(map_arrow(pairs, _stars_of_task, "u long, v long"))
     state = _state(now)
     while state[0]:
         now = written(_small_star(_large_star(now)).distinct())

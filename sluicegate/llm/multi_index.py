@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from sluicegate.llm.rows import slices
+from sluicegate.llm.rows import map_arrow, slices
 from sluicegate.scratch import written
 
 CENTROIDS = 32
@@ -140,7 +140,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     if not sample:
         return spark.createDataFrame([], schema)
     books = spark.sparkContext.broadcast(fit(np.array(sample)))
-    entries = written(rows.mapInArrow(_assign(books), _ENTRY))
+    entries = written(map_arrow(rows, _assign(books), _ENTRY))
     cells = entries.groupBy("i", "j").count().collect()
     counts = np.zeros((len(books.value.first), len(books.value.second)), dtype=np.int64)
     for cell in cells:
@@ -149,9 +149,9 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     wanted = max(LEAST_ENTRIES, math.ceil(books.value.share * total)) + 1  # the query itself is among them
     share = F.pmod(F.xxhash64("vec_id"), F.element_at(F.array(*map(F.lit, shares)), F.col("i") + 1)).cast("int")
     dealt = entries.withColumns({"chunk": share, "kind": F.lit(0), "cells": F.unhex(F.lpad(F.hex("j"), 8, "0"))})
-    probes = entries.where(is_query).mapInArrow(_probe(books, counts, shares, wanted), _DEALT)
+    probes = map_arrow(entries.where(is_query), _probe(books, counts, shares, wanted), _DEALT)
     met = dealt.select(*_DEALT.names).unionByName(probes).repartition(partitions, "i", "chunk").sortWithinPartitions("i", "chunk", "kind")
-    found = met.mapInArrow(_rank(top), _FOUND)
+    found = map_arrow(met, _rank(top), _FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.llm.components import Forest, components
-from sluicegate.llm.rows import map_rows, slices
+from sluicegate.llm.rows import map_arrow, map_rows, slices
 from sluicegate.scratch import written
 
 WORDS = 5
@@ -148,7 +148,7 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     )
     sort = ("order", "key", "n", "node")
     ranges = rows.repartitionByRange(partitions, *sort).sortWithinPartitions(*sort)
-    found = components(ranges.mapInArrow(_chains, _PAIR), "one", "other")
+    found = components(map_arrow(ranges, _chains, _PAIR), "one", "other")
     least = found.select(F.col("component").alias("node"), "component").distinct()
     return found.unionByName(least)
 
@@ -242,7 +242,7 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> Dat
     low, high = F.least("block", "other").cast("int"), F.greatest("block", "other").cast("int")
     met = own.select("component", low.alias("low"), high.alias("high"), "block", "node", "shingles")
     met = met.repartition(partitions, "component", "low", "high").sortWithinPartitions("component", "low", "high", "node")
-    return met.mapInArrow(_compare, _PAIR)
+    return map_arrow(met, _compare, _PAIR)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluicegate.llm.rows import map_rows
+from sluicegate.llm.rows import map_arrow, map_rows
 from sluicegate.scratch import written
 
 PIECES = T.StructType(
@@ -137,7 +137,7 @@ def _ranked(pieces: DataFrame) -> DataFrame:
             extra = [pa.array(np.full(len(nth), here, dtype=np.int64)), pa.array(nth)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=schema.names)
 
-    return ranges.select(*PIECES.names).mapInArrow(task, schema)
+    return map_arrow(ranges.select(*PIECES.names), task, schema)
 
 
 class _Lookup:
@@ -193,4 +193,4 @@ def pack_documents(
             columns = [*batch.columns[: len(PIECES)], pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, names=[field.name for field in _PLACED])
 
-    return ranked.mapInArrow(task, T.StructType(_PLACED))
+    return map_arrow(ranked, task, T.StructType(_PLACED))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+import sluicegate
+
 # Rows that are turned into Python objects at a time; their texts bound the memory of a task.
 BATCH_ROWS = 256
 BATCH_BYTES = 8 << 20
@@ -29,6 +33,23 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, also when it was not installed.
+
+    On a cluster that lacks that folder, ship the package with ``--py-files`` as usual.
+    """
+    root = str(Path(sluicegate.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
+
+
+def map_arrow(df: DataFrame, task: Callable, schema: T.StructType | str) -> DataFrame:
+    prepare_workers(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
 def map_rows(df: DataFrame, names: Sequence[str], rule: Callable[..., Iterable[tuple]], schema: T.StructType) -> DataFrame:
     """Apply ``rule(*columns)`` to lists of the named columns, and make rows of the tuples it gives."""
     kinds = [_ARROW[field.dataType] for field in schema.fields]
@@ -41,7 +62,7 @@ def map_rows(df: DataFrame, names: Sequence[str], rule: Callable[..., Iterable[t
                     columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
                     yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*names).mapInArrow(task, schema)
+    return map_arrow(df.select(*names), task, schema)
 
 
 def map_batches(df: DataFrame, change: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
@@ -52,7 +73,7 @@ def map_batches(df: DataFrame, change: Callable[[pa.RecordBatch], pa.RecordBatch
             for piece in slices(batch):
                 yield change(piece)
 
-    return df.mapInArrow(task, df.schema)
+    return map_arrow(df, task, df.schema)
 
 
 _MEMO: dict[Any, Any] = {}

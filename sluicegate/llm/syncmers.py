@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.rows import slices
+from sluicegate.llm.rows import map_arrow, prepare_workers, slices
 
 K, S = 20, 8
 ANCHORS = 64
@@ -160,6 +160,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
     Columns: bucket, tail (1: a row of the next bucket), key, tie, doc_id, text. Only the bounds and least ids of the ranges reach the driver. Rows without doc_id come first.
     """
     spark = docs.sparkSession
+    prepare_workers(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id"), F.lit(_FIRST)).cast("long")
     count = partitions * FINENESS
@@ -224,4 +225,4 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                 if made:
                     yield pa.RecordBatch.from_pylist(made, schema=_ARROW)
 
-    return _with_next(docs).select("bucket", "tail", "doc_id", "text").mapInArrow(task, FINGERPRINTS)
+    return map_arrow(_with_next(docs).select("bucket", "tail", "doc_id", "text"), task, FINGERPRINTS)

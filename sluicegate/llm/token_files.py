@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.rows import map_rows, slices
+from sluicegate.llm.rows import map_arrow, map_rows, slices
 from sluicegate.llm.simple8b import pack, unpack
 from sluicegate.scratch import scratch
 
@@ -116,7 +116,7 @@ def write_token_files(docs: DataFrame, encode: Callable[[], Callable[[str], byte
         if keys:
             yield row()
 
-    ordered.select("doc_id", "text").mapInArrow(task, BLOCKS).write.parquet(path)
+    map_arrow(ordered.select("doc_id", "text"), task, BLOCKS).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
