@@ -32,7 +32,7 @@ PENALTY = 7.0
 # and keeps so many words, and so many n-grams of each size, per language.
 TRAIN_DOCUMENTS, KEPT = 1000, 10_000
 # Distinct words whose scores a worker remembers.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -123,54 +123,51 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, kept: int = KEPT) ->
     return Model.of(languages, map(tuple, rows), usual)
 
 
-class Scorer:
+class Scorer(dict):
     """Scores of words under a model, remembered as rows of one matrix. Row 0 is for words without evidence."""
 
     def __init__(self, model: Model):
+        super().__init__()
         self.model = model
-        self.rows: dict[str, int] = {}
-        self.matrix = np.zeros((REMEMBERED + 1, len(model.languages)), dtype=np.float32)
+        self.matrix = np.zeros((REMEMBERED + 1, len(model.languages)))
 
     def _scores(self, word: str) -> np.ndarray | None:
         known = self.model.rows[WORDS].get(word)
         if known is not None:
             return self.model.scores[known]
-        for size in SIZES:
+        for size in SIZES if word.isalpha() else ():
             table = self.model.rows[size]
             found = [table[gram] for gram in grams(word, size) if gram in table]
             if found:
-                return self.model.scores[found].mean(0)
+                return np.add.reduce(self.model.scores[found]) / len(found)
         return None
 
-    def _row(self, word: str) -> int:
-        row = self.rows.get(word)
-        if row is None:
-            scores = self._scores(word)
-            if scores is None:
-                row = 0
-            else:
-                row = len(self.rows) + 1
-                self.matrix[row] = scores
-            self.rows[word] = row
+    def __missing__(self, word: str) -> int:
+        scores, row = self._scores(word), 0
+        if scores is not None:
+            row = len(self) + 1
+            self.matrix[row] = scores
+        self[word] = row
         return row
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and how sure it is: the softmax of the mean scores. Ties go to the first language."""
-        counts = Counter(words_of(text or ""))
+        counts = Counter(_WORD.findall((text or "").lower()))
         if not counts or not self.model.languages:
             return UNDETERMINED, 0.0
         total, weight = np.zeros(len(self.model.languages)), 0
-        entries = list(counts.items())
-        for at in range(0, len(entries), 1 << 14):
-            part = entries[at : at + (1 << 14)]
-            if len(self.rows) + len(part) > REMEMBERED:
-                self.rows.clear()
-            rows = np.array([self._row(word) for word, _ in part])
-            n = np.array([count for _, count in part]) * (rows > 0)
+        words, times = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+        step = min(REMEMBERED, 1 << 14)
+        for at in range(0, len(words), step):
+            part = words[at : at + step]
+            if len(self) + len(part) > REMEMBERED:
+                self.clear()
+            rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
+            n = times[at : at + step] * (rows > 0)
             total += n @ self.matrix[rows]
             weight += int(n.sum())
         if not weight:
-            return self.model.usual, 0.0
+            return (self.model.usual if any(map(str.isalpha, text)) else UNDETERMINED), 0.0
         mean = total / weight
         best = int(mean.argmin())
         return self.model.languages[best], float(1 / np.exp((mean[best] - mean) * np.log(10)).sum())
