@@ -72,19 +72,18 @@ def _window_anchors(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (32 bits) and places of all anchors; a text shorter than a k-mer is its own single anchor."""
+    """Hashes (32 bits) and places of all anchors; a text that has none, since it is short, is its own single anchor."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     if not len(codes):
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
-        if len(codes) < K:
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for at in range(0, len(codes) - K + 1, WINDOW):
+            found, where = _window_anchors(codes[at : at + WINDOW + K - 1])
+            parts.append((found, where + at))
+        hashes, places = (np.concatenate(column) for column in zip(*parts))
+        if not len(places):
             hashes, places = _rolled(codes, len(codes)), np.zeros(1, np.int64)
-        else:
-            parts = []
-            for at in range(0, len(codes) - K + 1, WINDOW):
-                found, where = _window_anchors(codes[at : at + WINDOW + K - 1])
-                parts.append((found, where + at))
-            hashes, places = (np.concatenate(column) for column in zip(*parts))
     return (hashes >> np.uint64(32)).astype(np.uint32), places
 
 

@@ -62,3 +62,13 @@ def test_odd_rows(spark):
     assert fingerprint_documents(frame.limit(0)).collect() == []
     repeated = spark.createDataFrame([(1, "same text")] * 9 + [(None, "x"), (None, "y")], "doc_id long, text string")
     assert fingerprint_documents(repeated).count() == 11
+
+
+def test_short_texts_have_anchors_of_their_own():
+    chance = random.Random(5)
+    for size in range(1, 41):
+        texts = {"".join(chance.choices("abcdefghijklmnopqrstuvwxyz é🙂", k=size)) for _ in range(60)}
+        made = [fingerprint(text) for text in texts]
+        assert all(made) and len(set(made)) == len(texts)
+        assert likeness(made[0], fingerprint("")) == 0.0
+        assert size < K or likeness(made[0], made[-1]) == 0.0
