@@ -11,6 +11,9 @@ from sluicegate.llm import language, near_dup, packing, pii
 from sluicegate.llm.library_bpe import library_encoder
 from sluicegate.scratch import written
 
+# Hundredths of similarity from which documents are near-duplicates.
+LEAST_SIMILARITY = 85
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -19,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.without_near_duplicates(docs)
+    return near_dup.without_near_duplicates(docs, LEAST_SIMILARITY)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

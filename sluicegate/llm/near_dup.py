@@ -1,9 +1,9 @@
 """Near-duplicates by an LSH forest over MinHash signatures, confirmed on whole shingle sets.
 
 Equal texts are one node from the start. The other nodes get a MinHash signature, cut into several orders of
-eight levels each. In each order the signatures are sorted, and nodes become candidates when they stand
-together with a common prefix that is long enough: six levels where few nodes share those, all eight in
-crowded regions. A region is chained by set size, and the chain ends where sizes differ too much for a link.
+some levels each, as many as the wanted similarity needs (36 of eight for 0.85, 49 of seven for 0.8). In each
+order the signatures are sorted, and nodes become candidates when they stand together with a common prefix that
+is long enough: all levels but two where few nodes share those, all levels in crowded regions. A region is chained by set size, and the chain ends where sizes differ too much for a link.
 Chains of all orders together make groups within which links lie; the chance that a pair at the threshold
 shares no region is about 1e-5 in crowded regions and less elsewhere. Groups are then compared on their whole
 sets, in blocks where they are large, and the links found make the components.
@@ -11,7 +11,10 @@ sets, in blocks where they are large, and the links found make the components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +28,57 @@ from sluicegate.llm.rows import map_arrow, map_rows, slices
 from sluicegate.scratch import written
 
 WORDS = 5
-# Links need 100 * intersection >= LEAST * union.
+# Links need 100 * intersection >= least * union; this is the least of op4.
 LEAST = 85
-ORDERS, LEVELS, FEW_LEVELS = 36, 8, 6
+# Of the shapes with at most so many levels and orders, one with most levels is taken whose orders all miss a pair
+# at the threshold with at most this chance.
+MOST_LEVELS, MOST_ORDERS, MISSED = 8, 50, 1.1e-5
 # A region of more nodes than this is crowded.
 CROWDED, HELD = 64, 1 << 14
 # Shingles of one block of a group, to be compared with another block in one task.
 BLOCK = 200_000
 _LEVEL_BYTES = 2
-_KEY = LEVELS * _LEVEL_BYTES
+
+
+class Shape(NamedTuple):
+    """Orders and levels of the signatures for links of ``least`` hundredths."""
+
+    least: int
+    orders: int
+    levels: int
+
+    @property
+    def functions(self) -> int:
+        return self.orders * self.levels
+
+    @property
+    def key(self) -> int:
+        return self.levels * _LEVEL_BYTES
+
+    @property
+    def few_key(self) -> int:
+        return max(1, self.levels - 2) * _LEVEL_BYTES
+
+
+def shape(least: int) -> Shape:
+    if not 1 <= least <= 100:
+        raise ValueError(f"a similarity of {least} hundredths")
+    for levels in range(MOST_LEVELS, 0, -1):
+        same = (least / 100) ** levels
+        orders = math.ceil(math.log(MISSED) / math.log1p(-same)) if same < 1 else 1
+        if orders <= MOST_ORDERS:
+            return Shape(least, orders, levels)
+    raise ValueError(f"no shape of signatures finds pairs of {least} hundredths")
+
+
+ORDERS, LEVELS = shape(LEAST)[1:]
 _RANDOM = np.random.default_rng(20_250_101)
 _MULTIPLY = _RANDOM.integers(0, 2**63, ORDERS * LEVELS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _RANDOM.integers(0, 2**64, ORDERS * LEVELS, dtype=np.uint64)
+# Those of shapes that need more.
+_MORE = MOST_ORDERS * MOST_LEVELS - ORDERS * LEVELS
+_MULTIPLY = np.append(_MULTIPLY, _RANDOM.integers(0, 2**63, _MORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+_FLIP = np.append(_FLIP, _RANDOM.integers(0, 2**64, _MORE, dtype=np.uint64))
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -59,14 +101,15 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(made ^ (made >> np.uint64(29)))
 
 
-def signature(own: np.ndarray) -> bytes:
+def signature(own: np.ndarray, functions: int = ORDERS * LEVELS) -> bytes:
     """Two bytes of the least hash under each function, order by order."""
-    least = np.full(ORDERS * LEVELS, 2**64 - 1, dtype=np.uint64)
+    least = np.full(functions, 2**64 - 1, dtype=np.uint64)
     for at in range(0, len(own), 2048):
         part = own[at : at + 2048]
         for f in range(0, len(least), 32):
-            hashes = (part[None, :] ^ _FLIP[f : f + 32, None]) * _MULTIPLY[f : f + 32, None]
-            np.minimum(least[f : f + 32], hashes.min(1), out=least[f : f + 32])
+            to = min(f + 32, len(least))
+            hashes = (part[None, :] ^ _FLIP[f:to, None]) * _MULTIPLY[f:to, None]
+            np.minimum(least[f:to], hashes.min(1), out=least[f:to])
     return (least >> np.uint64(16)).astype(np.uint16).astype(">u2").tobytes()
 
 
@@ -80,12 +123,12 @@ _SIGNED = T.StructType(
 )
 
 
-def _sign(keys: list, texts: list) -> Iterator[tuple]:
+def _sign(keys: list, texts: list, functions: int) -> Iterator[tuple]:
     for key, text in zip(keys, texts):
         words = words_of(text)
         own = shingles(words)
         same = xxhash.xxh3_128_digest(b" ".join(words)) if words else None
-        yield key, same, len(own), signature(own) if len(own) else None
+        yield key, same, len(own), signature(own, functions) if len(own) else None
 
 
 _PAIR = "one long, other long"
@@ -95,7 +138,9 @@ def _pairs(one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], names=["one", "other"])
 
 
-def _chained(order: np.ndarray, key: np.ndarray, n: np.ndarray, node: np.ndarray, region: np.ndarray) -> pa.RecordBatch:
+def _chained(
+    least: int, order: np.ndarray, key: np.ndarray, n: np.ndarray, node: np.ndarray, region: np.ndarray
+) -> pa.RecordBatch:
     """Neighbours by size within regions; within equal keys where a region is crowded."""
     change = np.concatenate(([False], (key[1:] != key[:-1]).any(1) | (region[1:] != region[:-1])))
     crowded = np.bincount(region)[region] > CROWDED
@@ -103,23 +148,23 @@ def _chained(order: np.ndarray, key: np.ndarray, n: np.ndarray, node: np.ndarray
     by_size = np.lexsort((node, n, part))
     part, n, node = part[by_size], n[by_size], node[by_size]
     # All sizes between those of two that link are closer to each other, so no link crosses a wider step.
-    near = np.minimum(n[1:], n[:-1]) * 100 >= np.maximum(n[1:], n[:-1]) * LEAST
+    near = np.minimum(n[1:], n[:-1]) * 100 >= np.maximum(n[1:], n[:-1]) * least
     chosen = (part[1:] == part[:-1]) & near
     return _pairs(node[:-1][chosen], node[1:][chosen])
 
 
-def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chains(batches: Iterator[pa.RecordBatch], form: Shape) -> Iterator[pa.RecordBatch]:
     """Chains of one range of the sorted orders: columns order, key, n, node, sorted by them.
 
     A region that goes on in the next batch waits for it while it has at most HELD nodes. Where a range ends
     inside a region, its chain is cut; its nodes meet in the other orders as likely as there.
     """
-    few, held = FEW_LEVELS * _LEVEL_BYTES, None
+    few, held = form.few_key, None
     for batch in batches:
         if not batch.num_rows:
             continue
         columns = [batch.column(c).to_numpy() for c in ("order", "n", "node")]
-        key = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype=np.uint8).reshape(-1, _KEY)
+        key = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype=np.uint8).reshape(-1, form.key)
         if held is not None:
             columns, key = [np.concatenate(c) for c in zip(held[0], columns)], np.concatenate((held[1], key))
         order, n, node = columns
@@ -130,25 +175,25 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = len(region)
         held = [c[last:] for c in columns], key[last:]
         if last:
-            yield _chained(order[:last], key[:last], n[:last], node[:last], region[:last])
+            yield _chained(form.least, order[:last], key[:last], n[:last], node[:last], region[:last])
     if held is not None and len(held[1]):
         order, n, node = held[0]
-        yield _chained(order, held[1], n, node, np.zeros(len(n), dtype=np.int64))
+        yield _chained(form.least, order, held[1], n, node, np.zeros(len(n), dtype=np.int64))
 
 
-def candidate_groups(nodes: DataFrame) -> DataFrame:
+def candidate_groups(nodes: DataFrame, form: Shape) -> DataFrame:
     """node and component of all nodes that may link with another, the least node of a group included."""
     partitions = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    orders = nodes.withColumn("order", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))))
+    orders = nodes.withColumn("order", F.explode(F.sequence(F.lit(0), F.lit(form.orders - 1))))
     rows = orders.select(
         "order",
-        F.substring("signature", F.col("order") * _KEY + 1, F.lit(_KEY)).alias("key"),
+        F.substring("signature", F.col("order") * form.key + 1, F.lit(form.key)).alias("key"),
         F.col("n_shingles").cast("int").alias("n"),
         F.col("doc_id").alias("node"),
     )
     sort = ("order", "key", "n", "node")
     ranges = rows.repartitionByRange(partitions, *sort).sortWithinPartitions(*sort)
-    found = components(map_arrow(ranges, _chains, _PAIR), "one", "other")
+    found = components(map_arrow(ranges, partial(_chains, form=form), _PAIR), "one", "other")
     least = found.select(F.col("component").alias("node"), "component").distinct()
     return found.unionByName(least)
 
@@ -164,7 +209,7 @@ _MEMBER = T.StructType(
 )
 
 
-def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
+def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
     """Places of linked sets, one of ``left`` and one of ``right``, by counting what each shares with all others."""
     sizes = np.array([len(s) for s in sets])
     members = np.repeat(np.arange(len(sets)), sizes)
@@ -182,20 +227,20 @@ def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> Itera
             continue
         offsets = np.repeat(starts[own] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
         shared = np.bincount(members_of[offsets + np.arange(len(offsets))], minlength=len(sets))
-        linked = shared * 100 >= LEAST * (sizes[x] + sizes - shared)
+        linked = shared * 100 >= least * (sizes[x] + sizes - shared)
         for y in np.flatnonzero(linked & right).tolist():
             if y != x:
                 yield x, y
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Links within each (component, block, against), as few as connect what is linked."""
     place, nodes, blocks, sets = None, [], [], []
 
     def settle() -> pa.RecordBatch:
         forest, kept = Forest(), []
         block = np.array(blocks)
-        for x, y in _links(sets, block == place[1], block == place[2]):
+        for x, y in _links(sets, block == place[1], block == place[2], least):
             if forest.join(nodes[x], nodes[y]):
                 kept.append((nodes[x], nodes[y]))
         return _pairs(np.array([k[0] for k in kept], np.int64), np.array([k[1] for k in kept], np.int64))
@@ -216,7 +261,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle()
 
 
-def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, least: int) -> DataFrame:
     """Pairs of linked nodes that connect all that is linked, from the whole texts of the groups' members.
 
     A group of many shingles is cut into blocks; each block meets each other one in a task of its own.
@@ -242,25 +287,27 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> Dat
     low, high = F.least("block", "other").cast("int"), F.greatest("block", "other").cast("int")
     met = own.select("component", low.alias("low"), high.alias("high"), "block", "node", "shingles")
     met = met.repartition(partitions, "component", "low", "high").sortWithinPartitions("component", "low", "high", "node")
-    return map_arrow(met, _compare, _PAIR)
+    return map_arrow(met, partial(_compare, least=least), _PAIR)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per document.
 
+    Documents link when their sets of shingles have a Jaccard similarity of at least ``least`` hundredths.
     component_id is the least doc_id reachable over links; kept marks the document that bears it. A null or
     blank text has no shingles and links with nothing. Rows without doc_id link with nothing and are kept, with
     a null component_id. Rows that repeat a doc_id with the same text are one document; with different texts
     each row goes by its own text.
     """
-    signed = written(map_rows(docs, ("doc_id", "text"), _sign, _SIGNED))
+    form = shape(least)
+    signed = written(map_rows(docs, ("doc_id", "text"), partial(_sign, functions=form.functions), _SIGNED))
     named = signed.where("doc_id is not null and same is not null")
     first = named.groupBy("same").agg(
         F.min("doc_id").alias("first"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature")
     )
     nodes = written(first.select(F.col("first").alias("doc_id"), "same", "n_shingles", "signature"))
-    groups = written(candidate_groups(nodes))
-    links = written(confirmed_links(docs, nodes, groups))
+    groups = written(candidate_groups(nodes, form))
+    links = written(confirmed_links(docs, nodes, groups, least))
     reached = components(links, "one", "other")
     top = nodes.select("same", F.col("doc_id").alias("first")).join(
         reached.withColumnRenamed("node", "first"), "first", "left"
@@ -272,11 +319,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One document of each component, with all columns of the input.
 
     Rows that share a doc_id are one document and stay or go together.
     """
-    found = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    found = near_duplicates(docs, least).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
     gone = written(found.where("not kept").select("doc_id"))
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))

@@ -43,7 +43,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), 85)
 
 
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,3 +121,20 @@ def test_components(spark):
     got = {r.node: r.component for r in components(frame, "x", "y").collect()}
     assert got == {n: root(n) for n in top if root(n) != n}
     assert components(frame.limit(0), "x", "y").collect() == []
+
+
+def test_shapes_find_pairs_at_their_threshold():
+    assert near_dup.shape(85) == (85, 36, 8) and near_dup.shape(80) == (80, 49, 7)
+    for least in (70, 80, 85, 90, 99):
+        form = near_dup.shape(least)
+        assert (1 - (least / 100) ** form.levels) ** form.orders <= 1.1e-5
+
+
+def test_the_threshold_is_a_parameter(spark):
+    # 100 and 90 shingles of 110: a similarity of 90 / 110 = 0.818.
+    words = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:94], *(f"x{i}" for i in range(10))]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in near_duplicates(frame, 85).collect()} == {1, 2}
+    assert {r.component_id for r in near_duplicates(frame, 80).collect()} == {1}
+    assert [r.doc_id for r in near_dup.without_near_duplicates(frame, 80).collect()] == [1]
