@@ -10,17 +10,28 @@ import corpus_pipeline
 from sluicegate.llm import (
     byte_bpe,
     chat,
+    decontamination,
+    hard_negatives,
     language,
     multi_index,
     near_dup,
     packing,
     pii,
+    reversed_search,
     syncmers,
     token_files,
     wrappers,
 )
 from sluicegate.llm.library_bpe import library_encoder
-from sluicegate.llm.sql import CHAT_SQL, NEAR_DUP_SQL, NEAREST_SQL, PAGES_SQL
+from sluicegate.llm.sql import (
+    CHAT_SQL,
+    CONTAMINATION_SQL,
+    HARD_NEGATIVES_SQL,
+    NEAR_DUP_SQL,
+    NEAREST_SQL,
+    PAGES_SQL,
+    SEARCH_SQL,
+)
 from sluicegate.queries.base import Entry, table
 
 # A conversation of control strings, beside those of the table.
@@ -73,11 +84,28 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), vec_id % 100 == 0)
+
+
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.summarise(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 SQL = {
     "op2_html_extraction": PAGES_SQL,
     "op3_chat_formatting": CHAT_SQL,
     "op4_minhash_near_dedup": NEAR_DUP_SQL,
     "op10_nearest_neighbours": NEAREST_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op12_reversed_search": SEARCH_SQL,
+    "op13_decontamination": CONTAMINATION_SQL,
 }
 RUNS = (
     op1_language_id,
@@ -90,6 +118,9 @@ RUNS = (
     op8_byte_bpe,
     op9_token_output,
     op10_nearest_neighbours,
+    op11_hard_negatives,
+    op12_reversed_search,
+    op13_decontamination,
 )
 ENTRIES = {run.__name__: Entry(run, SQL.get(run.__name__)) for run in RUNS}
 ENTRIES["pipeline"] = Entry(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
