@@ -4,23 +4,26 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.errors import ContractError
-from sluicegate.functions.casts import convert, parse_token
+from sluicegate.functions.casts import Target, convert, parse_token
 from sluicegate.functions.operand import FLOATING, INTEGRAL, NUMERIC, TIMESTAMPS, Operand, Scope, column, operand
 from sluicegate.functions.text import as_text
-from sluicegate.names import folding
+from sluicegate.names import folding, unused
 from sluicegate.partitioning import PartitionSpec, ctx_value
 
 log = logging.getLogger(__name__)
 
 TEXT_TOKENS = ("string", "utf8")
+# Columns whose marks share one whole number.
+MARK_BITS = 62
 
 
 def positional_rename(df: DataFrame, names: Sequence[str] | None) -> DataFrame:
@@ -58,14 +61,71 @@ def add_context_columns(df: DataFrame, spec: PartitionSpec, ctx: Any) -> DataFra
 
 def enforce(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence[str] = ()) -> DataFrame:
     """Cast to the contract types (bad values become null) and put contract columns first."""
+    return enforce_marked(df, fields, millis).frame
+
+
+@dataclass(frozen=True)
+class Enforced:
+    """Cast rows. ``marked`` has beside them, as bits of whole numbers, which columns lost their value in the cast."""
+
+    marked: DataFrame
+    marks: tuple[str, ...] = ()
+    lossy: tuple[str, ...] = ()  # columns whose cast can lose a value, one bit each
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.marked.drop(*self.marks) if self.marks else self.marked
+
+    def losses(self) -> list[Column]:
+        """Lost values per column, for one ``agg`` or ``observe`` over the marked rows."""
+        bits = [(column(self.marks[n // MARK_BITS]), 1 << n % MARK_BITS) for n in range(len(self.lossy))]
+        return [F.count_if(mark.bitwiseAND(F.lit(bit)) != 0).alias(f"lost_{n}") for n, (mark, bit) in enumerate(bits)]
+
+
+def enforce_marked(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence[str] = ()) -> Enforced:
+    """Cast to the contract types, and mark on every row the columns that held a value before and hold none after."""
     targets = {str(f["name"]).strip(): parse_token(f.get("type")) for f in fields}
     as_text_only = [f for f in fields if _is_text(f) and str(f.get("type")).strip().lower() not in TEXT_TOKENS]
     if as_text_only:
         log.warning("these types are not contract types, the columns are kept as text: %s", as_text_only)
     scope, own = Scope(df.schema, millis), df.columns
-    present = [n for n in targets if n in own]
-    cast = [convert(scope.get(n, "schema"), targets[n]).col.alias(n) for n in present]
-    return df.select(*cast, *[column(n) for n in own if n not in targets])
+    cast: dict[str, Column] = {}
+    lost: dict[str, Column] = {}
+    for name in (n for n in targets if n in own):
+        before = scope.get(name, "schema")
+        cast[name] = convert(before, targets[name]).col
+        if _can_lose(before.dtype, targets[name]):
+            lost[name] = before.col.isNotNull() & cast[name].isNull()
+    marks = {
+        unused(f"__cast_lost_{start // MARK_BITS}__", own): _as_bits(list(lost.values())[start : start + MARK_BITS])
+        for start in range(0, len(lost), MARK_BITS)
+    }
+    others = [column(n) for n in own if n not in targets]
+    marked = df.select(*[c.alias(n) for n, c in cast.items()], *others, *[c.alias(n) for n, c in marks.items()])
+    return Enforced(marked, tuple(marks), tuple(lost))
+
+
+def cast_losses(df: DataFrame, fields: Sequence[Mapping[str, Any]], millis: Sequence[str] = ()) -> DataFrame:
+    """Values that the cast to the contract types loses: field and rows_lost, for every column where that can happen."""
+    done = enforce_marked(df, fields, millis)
+    if not done.lossy:
+        return df.sparkSession.createDataFrame([], "field string, rows_lost long")
+    rows = [F.struct(F.lit(name).alias("field"), F.col(f"lost_{n}").alias("rows_lost")) for n, name in enumerate(done.lossy)]
+    return done.marked.agg(*done.losses()).select(F.inline(F.array(*rows)))
+
+
+def _as_bits(flags: Sequence[Column]) -> Column:
+    none = F.lit(0).cast("long")
+    bits = [F.when(flag, F.lit(1 << n).cast("long")).otherwise(none) for n, flag in enumerate(flags)]
+    return reduce(Column.bitwiseOR, bits)
+
+
+def _can_lose(source: T.DataType, target: Target) -> bool:
+    if isinstance(target.dtype, T.StringType):
+        return isinstance(source, T.BinaryType)
+    return not isinstance(source, T.NullType) and (
+        target.unsigned_bits is not None or not _keeps_every_value(source, target.dtype)
+    )
 
 
 def millis_fields(fields: Sequence[Mapping[str, Any]]) -> list[str]:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +19,12 @@ from sluicegate.functions.operand import TIMESTAMPS, column
 from sluicegate.operators import report
 from sluicegate.operators.check import CheckedFrame, check
 from sluicegate.operators.cleanup import clean
-from sluicegate.operators.schema import add_context_columns, enforce, millis_fields, positional_rename
+from sluicegate.operators.schema import Enforced, add_context_columns, enforce_marked, millis_fields, positional_rename
 from sluicegate.names import require_distinct
-from sluicegate.partitioning import ctx_value, missing_value, require_sources
+from sluicegate.partitioning import PartitionSpec, ctx_value, missing_value, require_sources
 from sluicegate.rules import ERROR, WARNING
 from sluicegate.sinks import files
-from sluicegate.sinks.publish import publish_scope, read_scope_files, write_scope
+from sluicegate.sinks.publish import publish_scope, read_scope_files, staging_base, write_scope
 
 log = logging.getLogger(__name__)
 
@@ -66,6 +66,7 @@ class LoadResult:
     warning_samples_count: int = 0
     warning_samples_truncated: bool = False
     context_mismatches: dict[str, int] = field(default_factory=dict)
+    cast_losses: dict[str, int] = field(default_factory=dict)
 
     def to_dict(self) -> dict:
         return asdict(self)
@@ -76,15 +77,19 @@ class Prepared:
     frame: DataFrame
     millis: tuple[str, ...]  # millisecond timestamp columns
     notes: tuple[str, ...] = ()
+    enforced: Enforced | None = None  # the same rows with marks of the values that the cast lost
 
 
-def prepare(source: DataFrame, contract: Contract, ctx: LoadContext) -> Prepared:
-    """Rename, add context, clean and cast: one lazy plan of projections."""
-    renamed = positional_rename(source, contract.field_names)
+def prepare(source: DataFrame, contract: Contract, ctx: LoadContext, carry: Sequence[str] = ()) -> Prepared:
+    """Rename, add context, clean and cast: one lazy plan of projections.
+
+    ``carry`` names columns behind those of the contract that come along as they are.
+    """
+    renamed = positional_rename(source, [*contract.field_names, *carry] if contract.field_names else None)
     cleaned = clean(add_context_columns(renamed, contract.partitioning, ctx), contract.rule_set.cleanups)
-    typed = enforce(cleaned.frame, contract.fields, cleaned.millis)
+    typed = enforce_marked(cleaned.frame, contract.fields, cleaned.millis)
     extras = [n for n in cleaned.millis if n not in contract.field_names]
-    return Prepared(typed, (*millis_fields(contract.fields), *extras), cleaned.notes)
+    return Prepared(typed.frame, (*millis_fields(contract.fields), *extras), cleaned.notes, typed)
 
 
 def check_prepared(prepared: Prepared, contract: Contract) -> CheckedFrame:
@@ -104,21 +109,23 @@ def run_load(
 ) -> LoadResult:
     """Publish the source if no row has an error; otherwise change nothing published.
 
-    The prepared rows are written once, in their final layout. Counts, samples and the
-    published data all come from that one snapshot: a database may change between two
-    reads, and lost executors re-read the snapshot rather than the source. Checks read
-    only the columns that rules name. Without ``publish_root`` the load stops after the
-    checks and leaves the snapshot in place.
+    The prepared rows are written once, in their final layout, and counted by the tasks that write them: rows, hits of
+    every rule, missing partition values, rows that disagree with the scope, values that a cast lost. So the source
+    is read once, and the counts are those of the written files, whatever the source gives on another read. Samples
+    come from these files, and lost executors re-read them rather than the source. Without ``publish_root`` the load
+    stops after the checks and leaves the files in place.
 
-    ``stable_source`` promises that the source gives the same rows on every read, as
-    files do. The checks then run before the write, and a load with errors writes no data.
-    ``gather=False`` skips the shuffle before the write, for a source that already comes
-    in partition order.
+    ``stable_source`` says that the source gives the same rows on every read, as files do. The checks then run before
+    the write as well, over the columns that rules name, and a load with errors writes no data. What is published
+    depends on the counts of the write all the same.
+    ``gather=False`` skips the shuffle before the write, for a source that already comes in partition order.
     """
     contract.require_sound()
     max_samples = report.max_samples_from(max_samples)
     spark, spec = source.sparkSession, contract.partitioning
     output = f"{output_root.rstrip('/')}/{ctx.dataset}/{ctx.version}/{ctx.carga_id}"
+    store = f"{publish_root.rstrip('/')}/{ctx.dataset}/{ctx.version}" if publish_root else None
+    base = staging_base(spark, store, ctx.carga_id, f"{output}/data") if store else f"{output}/data"
     # Names that clash and rules that cannot compile fail here, before anything is written.
     require_distinct(spark, contract.field_names, spec)
     prepared = prepare(source, contract, ctx)
@@ -126,34 +133,35 @@ def run_load(
     require_sources(prepared.frame, spec)
     checked = check_prepared(prepared, contract)
     notes = (*prepared.notes, *checked.notes)
+
+    staged, counts = None, _count(prepared, contract, ctx) if stable_source else None
+    if counts is None or not (counts.rows_invalid or _without_partition(counts, spec)):
+        staged, counts = _stage(prepared, contract, ctx, base, gather)
+        if counts.rows_invalid or counts.rows_warning:
+            snapshot = read_scope_files(spark, staged, prepared.frame.schema)
+            checked = check_prepared(Prepared(snapshot, prepared.millis), contract)
+    losses = _cast_losses(counts, prepared)
+    notes = (*notes, *(f"{rows} values of '{name}' could not be cast and are null" for name, rows in losses.items()))
     for note in notes:
         log.warning(note)
 
-    def stage() -> str:
-        return write_scope(prepared.frame, spec, ctx, f"{output}/data", gather=gather)
-
-    staged = None
-    if not stable_source:
-        staged = stage()
-        snapshot = read_scope_files(spark, staged, prepared.frame.schema)
-        checked = check_prepared(Prepared(snapshot, prepared.millis), contract)
-    counts = _count(checked, contract, ctx)
-
     invalid = _write_samples(checked, ERROR, counts, ctx, output, max_samples, sample_order)
     warning = _Samples()
     published = None
     if counts.rows_invalid > 0:
-        files.remove(spark, f"{output}/data")
+        files.remove(spark, base)
         staged = None
     else:
-        _require_partition_values(counts, contract, spark, f"{output}/data")
+        missing = _without_partition(counts, spec)
+        if missing:
+            files.remove(spark, base)
+            raise ContractError(f"rows without a partition value: {missing}")
         warning = _write_samples(checked, WARNING, counts, ctx, output, max_samples, sample_order)
-        staged = staged or stage()
-        if publish_root and counts.rows_total > 0:
-            root = f"{publish_root.rstrip('/')}/{ctx.dataset}/{ctx.version}"
-            published = publish_scope(spark, staged, root, spec, ctx, ctx.carga_id)
-            files.remove(spark, f"{output}/data")
-            staged = None
+        if store and counts.rows_total > 0:
+            published = publish_scope(spark, staged, store, spec, ctx, ctx.carga_id)
+        if store and (published is None or base == f"{output}/data"):
+            files.remove(spark, base)
+        staged = None if store else staged
     return LoadResult(
         **asdict(ctx),
         output_dir=output,
@@ -173,11 +181,12 @@ def run_load(
         warning_samples_count=warning.count,
         warning_samples_truncated=warning.truncated,
         context_mismatches=_context_mismatches(counts, contract),
+        cast_losses=losses,
     )
 
 
-def _count(checked: CheckedFrame, contract: Contract, ctx: LoadContext) -> Row:
-    """Everything the gate needs, in one aggregate over the snapshot."""
+def _counts(prepared: Prepared, checked: CheckedFrame, contract: Contract, ctx: LoadContext) -> list[Column]:
+    """Everything the gate needs, for one aggregate over the prepared rows with their marks and flags."""
     spec, frame = contract.partitioning, checked.frame
     per_partition_field = [
         F.count_if(missing_value(frame, f.source)).alias(f"missing_{f.name}") for f in spec.data_fields
@@ -188,16 +197,41 @@ def _count(checked: CheckedFrame, contract: Contract, ctx: LoadContext) -> Row:
         )
         for f in spec.ctx_fields
     ]
-    counts: list[Column] = [*report.row_counts(), *report.hit_counts(checked.checks)]
-    return frame.agg(*counts, *per_partition_field, *per_ctx_field).first()
+    losses = prepared.enforced.losses() if prepared.enforced else []
+    return [*report.row_counts(), *report.hit_counts(checked.checks), *per_partition_field, *per_ctx_field, *losses]
+
+
+def _count(prepared: Prepared, contract: Contract, ctx: LoadContext) -> Row:
+    """The counts of the source itself, from a scan of the columns they need."""
+    checked = check(prepared.enforced.marked, contract.rule_set.checks, prepared.millis)
+    return checked.frame.agg(*_counts(prepared, checked, contract, ctx)).first()
+
+
+def _stage(prepared: Prepared, contract: Contract, ctx: LoadContext, base: str, gather: bool) -> tuple[str, Row]:
+    """Write the rows and count them on their way into the files.
+
+    They are counted behind the shuffle, by the tasks that write: Spark takes the counts of such a task once, also
+    when it runs again, while those of tasks before a shuffle are added again where lost executors make it repeat them.
+    """
+    seen = Observation()
+
+    def watch(rows: DataFrame) -> DataFrame:
+        checked = check(rows, contract.rule_set.checks, prepared.millis)
+        observed = checked.frame.observe(seen, *_counts(prepared, checked, contract, ctx))
+        return observed.select(*[column(n) for n in rows.columns if n not in prepared.enforced.marks])
+
+    staged = write_scope(prepared.enforced.marked, contract.partitioning, ctx, base, gather=gather, watch=watch)
+    return staged, Row(**seen.get)
+
+
+def _without_partition(counts: Row, spec: PartitionSpec) -> dict[str, int]:
+    missing = {f.name: counts[f"missing_{f.name}"] for f in spec.data_fields}
+    return {name: rows for name, rows in missing.items() if rows}
 
 
-def _require_partition_values(counts: Row, contract: Contract, spark: SparkSession, staged: str) -> None:
-    missing = {f.name: counts[f"missing_{f.name}"] for f in contract.partitioning.data_fields}
-    missing = {name: rows for name, rows in missing.items() if rows}
-    if missing:
-        files.remove(spark, staged)
-        raise ContractError(f"rows without a partition value: {missing}")
+def _cast_losses(counts: Row, prepared: Prepared) -> dict[str, int]:
+    lost = {name: counts[f"lost_{n}"] for n, name in enumerate(prepared.enforced.lossy)}
+    return {name: rows for name, rows in lost.items() if rows}
 
 
 def _context_mismatches(counts: Row, contract: Contract) -> dict[str, int]:

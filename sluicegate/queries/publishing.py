@@ -15,7 +15,7 @@ from sluicegate.queries.base import dirty_orders, orders_contract, query, table,
 from sluicegate.scratch import scratch
 from sluicegate.sinks.publish import mirror_scope, read_scope_files, write_scope
 from sluicegate.sources import slices
-from sluicegate.streaming.gate import QUARANTINED, file_stream, gate_stream, read_batches, running_totals
+from sluicegate.streaming.gate import ACCEPTED, QUARANTINED, file_stream, gate_stream, read_batches, running_totals
 
 MONTHLY = (("tc", "tc", "ctx"), ("ano", "ano", "ctx"), ("mes", "mes", "dataframe"))
 ALL_YEARS = (("tc", "tc", "ctx"), ("ano", "ano", "dataframe"), ("mes", "mes", "dataframe"))
@@ -35,10 +35,10 @@ def _contract(fields=WARN_ONLY, partitions=ALL_YEARS) -> Contract:
     return orders_contract(fields, partitions, DATED)
 
 
-def _publish(source: DataFrame, contract: Contract, root: str, tc: str, ano: int = 0) -> LoadResult:
+def _publish(source: DataFrame, contract: Contract, root: str, tc: str, ano: int = 0, **options: bool) -> LoadResult:
+    """One scan: the rows are counted as they are written."""
     ctx = LoadContext.of(contract, ano, tc)
-    # Parquet files give the same rows again, so the checks come before the write.
-    return run_load(source, contract, ctx, f"{root}/out", f"{root}/store", stable_source=True)
+    return run_load(source, contract, ctx, f"{root}/out", f"{root}/store", **options)
 
 
 def _shown(rows: DataFrame) -> DataFrame:
@@ -140,7 +140,8 @@ def gate_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load with errors leaves what an earlier load published."""
     root, orders = scratch(spark), _dated_orders(spark, sf_dir)
     _publish(orders.where("mes = 2"), _contract(), root, "alpha")
-    result = _publish(orders, _contract(WITH_ERRORS), root, "alpha")
+    # Parquet files give the same rows again, so the checks can come first and nothing is written.
+    result = _publish(orders, _contract(WITH_ERRORS), root, "alpha", stable_source=True)
     rows = _shown(slices.read_slice(spark, f"{root}/store", _contract(), tc="alpha"))
     return rows.withColumn("status", F.lit(result.status))
 
@@ -170,9 +171,13 @@ EVENTS = Contract.from_dicts(
 
 def _run_stream(spark: SparkSession, sf_dir: str, contract: Contract = EVENTS) -> str:
     """Drain the events table as a stream and return where it went."""
-    root, schema = scratch(spark), table(spark, sf_dir, "events").schema
+    schema = table(spark, sf_dir, "events").schema
     # A pattern, because a stream takes directories or patterns and the table may be one file.
-    stream = file_stream(spark, f"{sf_dir}/event[s].parquet", schema)
+    return _drain(file_stream(spark, f"{sf_dir}/event[s].parquet", schema), contract)
+
+
+def _drain(stream: DataFrame, contract: Contract) -> str:
+    root = scratch(stream.sparkSession)
     writer = gate_stream(stream, contract, LoadContext.of(contract, 2024, "alpha"), root, f"{root}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     return root
@@ -207,11 +212,40 @@ STRICT_EVENTS = Contract.from_dicts(
     where (select count(*) from events where value > 250) > 0"""
 )
 def stream_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some events break an error rule, so the batch they come in is held back as a whole."""
+    """Some events break an error rule, so the file they come in is held back as a whole."""
     root = _run_stream(spark, sf_dir, STRICT_EVENTS)
     return read_batches(spark, root, QUARANTINED).select("event_id", "event_type", "value")
 
 
+FILES = 64
+
+
+def by_file(spark: SparkSession, sf_dir: str, place: str, files_per_batch: int) -> DataFrame:
+    """The events as 64 files, gated file by file."""
+    events, folder = table(spark, sf_dir, "events"), scratch(spark)
+    part = F.col("event_id") % FILES
+    events.withColumn("part", part).repartition(FILES, "part").write.partitionBy("part").parquet(folder)
+    root = _drain(file_stream(spark, f"{folder}/part=*", events.schema, files_per_batch), STRICT_EVENTS)
+    return read_batches(spark, root, place).select("event_id", "event_type", "value")
+
+
+@query(
+    f"""select event_id, event_type, value from events
+    where event_id % {FILES} not in (select event_id % {FILES} from events where value > 250)"""
+)
+def stream_accepted_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without an error are accepted, whichever files share their batch."""
+    return by_file(spark, sf_dir, ACCEPTED, 25)
+
+
+@query(
+    f"""select event_id, event_type, value from events
+    where event_id % {FILES} in (select event_id % {FILES} from events where value > 250)"""
+)
+def stream_quarantined_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_file(spark, sf_dir, QUARANTINED, 25)
+
+
 @query(f"select o_orderkey, o_totalprice, 'alpha' as tc, {MONTH} as mes, {MONTH} as o_month from orders")
 def partition_name_differs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The partition has a name of its own; its source column stays in the files."""

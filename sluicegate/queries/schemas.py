@@ -55,6 +55,30 @@ def schema_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumns({n: F.col(n).cast("string") for n in ("amount_txt", "date_txt")})
 
 
+NUMBER_TEXT = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
+
+
+@query(
+    WITH_DIRTY_ORDERS
+    + f"""select 'amount_txt' as field, count(*) filter (not regexp_full_match(amount_txt, {NUMBER_TEXT})) as rows_lost
+      from dirty_orders
+    union all select 'date_txt', count(*) filter (try_cast(date_txt as date) is null) from dirty_orders
+    union all select 'o_orderkey', count(*) filter (o_orderkey not between -32768 and 32767) from dirty_orders
+    union all select 'cpf_cnpj_credor', count(*) filter (try_cast(cpf_cnpj_credor as bigint) is null) from dirty_orders"""
+)
+def cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that the cast to the contract types turns to null; null and text columns lose nothing."""
+    fields = _fields(
+        ("o_orderkey", "int16"),
+        ("amount_txt", "decimal128(18,2)"),
+        ("date_txt", "date32"),
+        ("cpf_cnpj_credor", "int64"),
+        ("priority_txt", "string"),
+        ("tipo_credor", "int64"),
+    )
+    return schema.cast_losses(dirty_orders(spark, sf_dir), fields)
+
+
 @query(
     """select c_custkey,
       cast(case when trunc(c_acctbal) between 0 and 255 then trunc(c_acctbal) end as varchar) as tiny,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +11,13 @@ from pyspark.sql import types as T
 
 from sluicegate.contract import Contract
 from sluicegate.functions.casts import parse_token
-from sluicegate.sinks import files
+from sluicegate.sinks import files, versions
 
 
 # Fixed value: the scope field that is a number.
 YEAR = "ano"
 
 
-def data_root(root: str, dataset: str, version: str) -> str:
-    return f"{root.rstrip('/')}/{dataset}/{version}/data"
-
-
 def read_scope(
     spark: SparkSession,
     root: str,
@@ -31,20 +28,28 @@ def read_scope(
 ) -> DataFrame:
     """Read the directory of the first ``depth`` partition values, and nothing beside it.
 
-    Only that directory is listed, so the cost does not grow with the other slices, and
-    a producer ``ab`` never picks up ``abc``. ``as_text`` keeps partition values as they
-    stand in the paths, for copies.
+    Only that directory is listed, once, so the cost does not grow with the other slices, and
+    a producer ``ab`` never picks up ``abc``. Where scopes are published by pointers these are
+    followed. ``as_text`` keeps partition values as they stand in the paths, for copies.
     """
-    spec = contract.partitioning
-    base = data_root(root, contract.dataset, contract.version)
-    path = f"{base}/{spec.scope_path(values, depth)}"
-    if not files.has_data(spark, path):
-        raise FileNotFoundError(f"nothing is published under {path}")
-    found = spark.read.option("basePath", base).parquet(path)
-    typed = _typed(found.schema, contract, as_text)
-    if typed == found.schema:
-        return found
-    return spark.read.option("basePath", base).schema(typed).parquet(path)
+    root = f"{root.rstrip('/')}/{contract.dataset}/{contract.version}"
+    scope = contract.partitioning.scope_path(values, depth)
+    read = (_read(spark, source, contract, as_text) for source in versions.sources(spark, root, scope))
+    frames = [frame for frame in read if frame is not None]
+    if not frames:
+        raise FileNotFoundError(f"nothing is published for {scope} in {root}")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _read(spark: SparkSession, source: versions.Source, contract: Contract, as_text: bool) -> DataFrame | None:
+    """The rows of some directories; none where there are no files. The columns are those of one file."""
+    first = [files.first_data_file(spark, path) for path in source.paths]
+    held = [path for path, file in zip(source.paths, first) if file]
+    if not held:
+        return None
+    own = spark.read.parquet(next(filter(None, first))).schema
+    reader = spark.read.option("basePath", source.base).schema(_typed(own, contract, as_text))
+    return reader.parquet(*held).drop(versions.LOAD)
 
 
 def read_slice(spark: SparkSession, root: str, contract: Contract, **values: Any) -> DataFrame:
@@ -58,7 +63,7 @@ def read_all_years(spark: SparkSession, root: str, contract: Contract, tc: str)
 
 
 def _typed(found: T.StructType, contract: Contract, as_text: bool) -> T.StructType:
-    """Partition columns get contract types; others keep their text, but for the year.
+    """The columns of a file, then the partitions; these get contract types, or text, but for the year.
 
     Spark alone would turn ``007`` into 7, and ``12345e67`` into a floating number.
     """
@@ -67,4 +72,5 @@ def _typed(found: T.StructType, contract: Contract, as_text: bool) -> T.StructTy
     for f in contract.partitioning.fields:
         undeclared = T.IntegerType() if f.source == YEAR else T.StringType()
         kinds[f.name] = T.StringType() if as_text else declared.get(f.source, undeclared)
-    return T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields])
+    own = [f for f in found.fields if f.name not in kinds]
+    return T.StructType([*own, *(T.StructField(name, kind) for name, kind in kinds.items())])

@@ -245,6 +245,34 @@ def test_hot_partition_is_split_over_tasks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 400_000
 
 
+@pytest.mark.parametrize("hot", [0.5, 0.9])
+def test_shares_follow_the_rows_without_adaptive_execution(spark, tmp_path, hot):
+    """Files of partitions with many rows are about equal, and no partition is left to one task."""
+    import pyarrow.parquet as pq
+
+    from sluicegate.partitioning import PartitionSpec
+    from sluicegate.sinks.publish import write_scope
+
+    spec = PartitionSpec.parse(RULES["partitioning"])
+    rows = spark.range(0, 120_000, numPartitions=6).select(
+        "id",
+        F.when(F.col("id") % 100 < 100 * hot, "hot").when(F.col("id") % 1000 == 999, None).otherwise(F.concat(F.lit("c"), F.col("id") % 3)).alias("code"),
+        F.create_map(F.lit("a"), F.col("id")).alias("kept"),
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        path = write_scope(rows, spec, {"tc": "ab", "ano": 1}, str(tmp_path))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = {d.name: [pq.ParquetFile(f).metadata.num_rows for f in d.glob("*.parquet")] for d in Path(path).iterdir() if d.is_dir()}
+    assert sum(map(sum, sizes.values())) == 120_000 and len(sizes["code=hot"]) == int(16 * hot + 0.999)
+    large = [n for name in sizes if sum(sizes[name]) > 120_000 / 16 for n in sizes[name]]
+    assert max(large) <= 2 * min(large) and spark.read.parquet(path).count() == 120_000
+
+
 def test_slices_are_exact_typed_and_pruned(spark, contract, tmp_path, load):
     load(GOOD)
     load(GOOD, tc="abc")
