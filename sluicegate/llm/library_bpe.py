@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 from tokenizers import Tokenizer
@@ -36,10 +37,18 @@ class LibraryEncoder:
     A vocabulary without blanks must also have lower case only; Latin-1 text is then lowered before it is
     cut, which is what the library's own normaliser does with it. Single words go to the library's model,
     everything else through its whole chain.
+
+    ``special_tokens``: a special token's string in a text is that token, as the library has it unless told
+    otherwise; the texts that hold one go to the library whole. Without, it is plain text.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, special_tokens: bool = False):
         self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
+        self.special: re.Pattern | None = None
+        if special_tokens:
+            named = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+            self.special = re.compile("|".join(map(re.escape, named))) if named else None
+            self.whole = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.first = ChunkCache(self._chunk)
@@ -69,6 +78,8 @@ class LibraryEncoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if self.special is not None and self.special.search(text):
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         if self.spaced:
             first, *others = cut(text)
             return self.first[first] + b"".join(map(self.others.__getitem__, others))
@@ -80,6 +91,7 @@ class LibraryEncoder:
         return b"".join(map(self.first.__getitem__, text.split(" ")))
 
 
-def library_encoder(path: str, spaced: bool) -> LibraryEncoder:
+def library_encoder(path: str, spaced: bool, special_tokens: bool = False) -> LibraryEncoder:
     """One encoder per worker process, so that tasks share what it remembers."""
-    return memo((LibraryEncoder, path, spaced), lambda: LibraryEncoder(path, spaced))
+    key = (LibraryEncoder, path, spaced, special_tokens)
+    return memo(key, lambda: LibraryEncoder(path, spaced, special_tokens))

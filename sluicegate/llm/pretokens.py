@@ -21,9 +21,9 @@ def word_and_tail(chunk: str) -> tuple[str, str]:
     """A word of Latin letters and the ASCII marks after it, or the whole chunk and nothing.
 
     Letters and marks never share a token, so the two parts can be encoded apart. Apostrophes stay with
-    the word, since they may open a contraction.
+    the word, since they may open a contraction. So does a letter whose lower case brings a mark of its own (İ).
     """
     word = chunk.rstrip(_TAIL)
-    if 0 < len(word) < len(chunk) and word.lstrip(" ").isalpha() and word[-1] < "ɐ":
+    if 0 < len(word) < len(chunk) and word.lstrip(" ").lower().isalpha() and word[-1] < "ɐ":
         return word, chunk[len(word) :]
     return chunk, ""

@@ -67,7 +67,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), lambda: library_encoder(path, False).encode)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), lambda: library_encoder(path, False, True).encode)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_files.token_files(table(spark, sf_dir, "documents"), lambda: library_encoder(path, True).encode, 2)
+    return token_files.token_files(table(spark, sf_dir, "documents"), lambda: library_encoder(path, True, True).encode, 2)
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

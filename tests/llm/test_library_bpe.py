@@ -1,0 +1,42 @@
+import random
+from array import array
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from sluicegate.llm.library_bpe import LibraryEncoder
+
+MARKS = list("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'") + ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext"]
+LETTERS = [chr(c) for c in range(65, 0x250) if chr(c).isalpha()] + list("ẞǅΣςαẛﬁK漢あ١²½é\u0301\u0307")
+GAPS = [" ", " ", " ", "  ", "\n", "\t ", "\u00a0", "\u3000", "\x1c", "\x85", ""]
+BOTH = pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+
+
+def ids_of(encoder, text):
+    ids = array("I")
+    ids.frombytes(encoder.encode(text))
+    return ids.tolist()
+
+
+@BOTH
+def test_every_letter_beside_every_mark(name, spaced):
+    path = public_tokenizers.path(name)
+    library, mine = Tokenizer.from_file(path), LibraryEncoder(path, spaced, True)
+    for letter in LETTERS:
+        for mark in MARKS:
+            for text in (letter + mark, mark + letter, f"a{letter}{mark}{letter}", f"{letter}{mark} {letter}{mark}"):
+                assert ids_of(mine, text) == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@BOTH
+@pytest.mark.parametrize("special", [True, False])
+def test_chance_texts(name, spaced, special):
+    path = public_tokenizers.path(name)
+    library, mine = Tokenizer.from_file(path), LibraryEncoder(path, spaced, special)
+    library.encode_special_tokens = not special
+    chance = random.Random(f"{name}{special}")
+    parts = [LETTERS, LETTERS, MARKS, GAPS, GAPS, ["don't", "I'LL", "the", "STRASSE", "İ", "12", "9"]]
+    for _ in range(50_000):
+        text = "".join(chance.choice(chance.choice(parts)) for _ in range(chance.randint(1, 14)))
+        assert ids_of(mine, text) == library.encode(text, add_special_tokens=False).ids, repr(text)
