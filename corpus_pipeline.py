@@ -31,7 +31,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(docs, lambda: library_encoder(path, False).encode)
+    return packing.pack_documents(docs, lambda: library_encoder(path, False, True).encode)
 
 
 STAGES: list[tuple[str, Stage]] = [
