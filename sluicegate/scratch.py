@@ -38,8 +38,21 @@ def scratch(spark: SparkSession) -> str:
     return f"{session_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+class Written:
     """The same rows, read back from a table in the shared folder: lineage ends, lost executors re-read."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, df: DataFrame):
+        self.path = scratch(df.sparkSession)
+        df.write.parquet(self.path)
+        self.rows = df.sparkSession.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        """Remove the table, once nothing that is still to run reads it."""
+        context = self.rows.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows of a table that stays until the application ends."""
+    return Written(df).rows
