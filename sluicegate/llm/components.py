@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.llm.rows import map_arrow
-from sluicegate.scratch import written
+from sluicegate.scratch import Written
 
 # Nodes whose local components a task holds at a time.
 LOCAL = 1 << 18
@@ -61,20 +61,32 @@ def _stars_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield batch()
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def with_least(rows: DataFrame, key: str, value: str, total: int) -> DataFrame:
+    """The rows with the least ``value`` among those of their key beside them, as ``least``; no key is left to one task.
+
+    ``total`` is at least the number of rows. A key with more than a quarter of a task's even share of them is hot. There are at
+    most four times as many hot keys as tasks, so these are sent to every task, and their rows are not shuffled.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.groupBy(key).agg(F.min(value).alias("least"), F.count("*").alias("rows"))
+    limit = total // (4 * partitions)
+    hot = F.broadcast(found.where(F.col("rows") > limit).select(key, "least"))
+    cold = found.where(F.col("rows") <= limit).select(key, "least")
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
+def _large_star(links: DataFrame, total: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("least"))
-    least = least.select("u", F.least("u", "least").alias("least"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    linked = with_least(both, "u", "v", 2 * total).where("v > u")
+    return linked.select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
-    down = links.where("u > v")
-    least = down.groupBy("u").agg(F.min("v").alias("least"))
-    others = down.join(least, "u").where("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
-    return others.unionByName(least.select("u", F.col("least").alias("v")))
+    linked = with_least(links.where("u > v"), "u", "v", total)
+    others = linked.where("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    return others.unionByName(linked.select("u", F.col("least").alias("v")))
 
 
 def _state(links: DataFrame) -> tuple:
@@ -84,15 +96,19 @@ def _state(links: DataFrame) -> tuple:
 def components(links: DataFrame, one: str, other: str) -> DataFrame:
     """node and component (its least member) for every linked node but the least ones themselves.
 
-    Each round is written to the shared folder, so that a lost executor costs one round at most.
+    Each half round is written to the shared folder, so that a lost executor costs one at most; what it was made from
+    is dropped then.
     """
     pairs = links.select(F.col(one).cast("long").alias("u"), F.col(other).cast("long").alias("v"))
-    now = written(map_arrow(pairs, _stars_of_task, "u long, v long"))
-    state = _state(now)
+    now = Written(map_arrow(pairs, _stars_of_task, "u long, v long"))
+    state = _state(now.rows)
     while state[0]:
-        now = written(_small_star(_large_star(now)).distinct())
-        after = _state(now)
+        half = Written(_large_star(now.rows, state[0]))
+        now.drop()
+        now = Written(_small_star(half.rows, state[0]).distinct())
+        half.drop()
+        after = _state(now.rows)
         if after == state:
             break
         state = after
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return now.rows.select(F.col("u").alias("node"), F.col("v").alias("component"))

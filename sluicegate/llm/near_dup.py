@@ -19,11 +19,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.components import Forest, components
+from sluicegate.llm.components import Forest, components, with_least
 from sluicegate.llm.rows import map_arrow, map_rows, slices
 from sluicegate.scratch import written
 
@@ -56,8 +56,9 @@ class Shape(NamedTuple):
         return self.levels * _LEVEL_BYTES
 
     @property
-    def few_key(self) -> int:
-        return max(1, self.levels - 2) * _LEVEL_BYTES
+    def few(self) -> int:
+        """Levels that the nodes of any region have in common."""
+        return max(1, self.levels - 2)
 
 
 def shape(least: int) -> Shape:
@@ -116,6 +117,7 @@ def signature(own: np.ndarray, functions: int = ORDERS * LEVELS) -> bytes:
 _SIGNED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("raw", T.LongType()),
         T.StructField("same", T.BinaryType()),
         T.StructField("n_shingles", T.LongType()),
         T.StructField("signature", T.BinaryType()),
@@ -123,32 +125,51 @@ _SIGNED = T.StructType(
 )
 
 
-def _sign(keys: list, texts: list, functions: int) -> Iterator[tuple]:
-    for key, text in zip(keys, texts):
+def _sign(keys: list, raws: list, texts: list, functions: int) -> Iterator[tuple]:
+    for key, raw, text in zip(keys, raws, texts):
         words = words_of(text)
         own = shingles(words)
         same = xxhash.xxh3_128_digest(b" ".join(words)) if words else None
-        yield key, same, len(own), signature(own, functions) if len(own) else None
+        yield key, raw, same, len(own), signature(own, functions) if len(own) else None
 
 
 _PAIR = "one long, other long"
 
 
+def _raw() -> Column:
+    """With the doc_id this finds a text again."""
+    return F.xxhash64("text").alias("raw")
+
+
 def _pairs(one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], names=["one", "other"])
 
 
-def _chained(
-    least: int, order: np.ndarray, key: np.ndarray, n: np.ndarray, node: np.ndarray, region: np.ndarray
-) -> pa.RecordBatch:
-    """Neighbours by size within regions; within equal keys where a region is crowded."""
-    change = np.concatenate(([False], (key[1:] != key[:-1]).any(1) | (region[1:] != region[:-1])))
-    crowded = np.bincount(region)[region] > CROWDED
-    part = region.astype(np.int64) * (len(region) + 1) + np.where(crowded, np.cumsum(change), 0)
+def _common(key: np.ndarray, levels: int) -> np.ndarray:
+    """How many levels each key has in common with the one before it."""
+    same = (key[1:] == key[:-1]).reshape(-1, levels, _LEVEL_BYTES).all(2)
+    return np.concatenate(([0], np.cumprod(same, axis=1).sum(1)))
+
+
+def _chained(form: Shape, key: np.ndarray, n: np.ndarray, node: np.ndarray, region: np.ndarray) -> pa.RecordBatch:
+    """Neighbours by size within regions, each as deep as it must be to hold few nodes.
+
+    A node's region are the nodes that share a prefix of the least depth, level by level deeper as long as more
+    than CROWDED nodes share it; at full depth it may hold any number. Regions come from the common prefixes of
+    sorted neighbours.
+    """
+    common = _common(key, form.levels)
+    apart = np.concatenate(([True], region[1:] != region[:-1]))
+    part, open_ = np.zeros(len(region), dtype=np.int64), np.ones(len(region), dtype=bool)
+    for depth in range(form.few, form.levels + 1):
+        inside = np.cumsum(apart | (common < depth)) - 1
+        settled = open_ & ((np.bincount(inside)[inside] <= CROWDED) | (depth == form.levels))
+        part[settled] = depth * (len(region) + 1) + inside[settled]
+        open_ &= ~settled
     by_size = np.lexsort((node, n, part))
     part, n, node = part[by_size], n[by_size], node[by_size]
     # All sizes between those of two that link are closer to each other, so no link crosses a wider step.
-    near = np.minimum(n[1:], n[:-1]) * 100 >= np.maximum(n[1:], n[:-1]) * least
+    near = np.minimum(n[1:], n[:-1]) * 100 >= np.maximum(n[1:], n[:-1]) * form.least
     chosen = (part[1:] == part[:-1]) & near
     return _pairs(node[:-1][chosen], node[1:][chosen])
 
@@ -156,10 +177,12 @@ def _chained(
 def _chains(batches: Iterator[pa.RecordBatch], form: Shape) -> Iterator[pa.RecordBatch]:
     """Chains of one range of the sorted orders: columns order, key, n, node, sorted by them.
 
-    A region that goes on in the next batch waits for it while it has at most HELD nodes. Where a range ends
-    inside a region, its chain is cut; its nodes meet in the other orders as likely as there.
+    A region that goes on in the next batch waits for it while it has at most HELD nodes. A longer one is chained
+    piece by piece: the last nodes of a piece, as many as a region of less than full depth can hold, come again
+    before the next, and nodes with equal keys are sorted by size, so that no neighbours are parted.
+    Where a range ends inside a region, its chain is cut; its nodes meet in the other orders as likely as there.
     """
-    few, held = form.few_key, None
+    few, held = form.few * _LEVEL_BYTES, None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -171,14 +194,14 @@ def _chains(batches: Iterator[pa.RecordBatch], form: Shape) -> Iterator[pa.Recor
         apart = (order[1:] != order[:-1]) | (key[1:, :few] != key[:-1, :few]).any(1)
         region = np.cumsum(np.concatenate(([0], apart)))
         last = int(np.searchsorted(region, region[-1]))
-        if len(region) - last > HELD:
-            last = len(region)
+        done = len(region) if len(region) - last > HELD else last
+        if done:
+            yield _chained(form, key[:done], n[:done], node[:done], region[:done])
+        last = max(last, len(region) - CROWDED) if done > last else last
         held = [c[last:] for c in columns], key[last:]
-        if last:
-            yield _chained(form.least, order[:last], key[:last], n[:last], node[:last], region[:last])
     if held is not None and len(held[1]):
-        order, n, node = held[0]
-        yield _chained(form.least, order, held[1], n, node, np.zeros(len(n), dtype=np.int64))
+        _, n, node = held[0]
+        yield _chained(form, held[1], n, node, np.zeros(len(n), dtype=np.int64))
 
 
 def candidate_groups(nodes: DataFrame, form: Shape) -> DataFrame:
@@ -189,7 +212,7 @@ def candidate_groups(nodes: DataFrame, form: Shape) -> DataFrame:
         "order",
         F.substring("signature", F.col("order") * form.key + 1, F.lit(form.key)).alias("key"),
         F.col("n_shingles").cast("int").alias("n"),
-        F.col("doc_id").alias("node"),
+        "node",
     )
     sort = ("order", "key", "n", "node")
     ranges = rows.repartitionByRange(partitions, *sort).sortWithinPartitions(*sort)
@@ -267,17 +290,17 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, least:
     A group of many shingles is cut into blocks; each block meets each other one in a task of its own.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = groups.join(nodes.select(F.col("doc_id").alias("node"), "same", "n_shingles"), "node")
+    sized = groups.join(nodes.select("node", "doc_id", "raw", "same", "n_shingles"), "node")
     weights = sized.groupBy("component").agg(F.sum("n_shingles").alias("weight"))
     blocks = F.ceil(F.col("weight") / BLOCK).cast("int")
     placed = written(sized.join(weights.select("component", blocks.alias("blocks")), "component"))
     # Members grow with the documents, so they are never sent to every task: one plan at every size.
-    texts = docs.select("doc_id", "text").join(placed.hint("merge"), F.col("doc_id") == F.col("node"))
+    texts = docs.select("doc_id", _raw(), "text").join(placed.hint("merge"), ["doc_id", "raw"])
 
     def rule(tops: list, members: list, wanted: list, counts: list, documents: list) -> Iterator[tuple]:
         for component, node, same, count, text in zip(tops, members, wanted, counts, documents):
             words = words_of(text)
-            # Another text under the same doc_id is another node or none.
+            # Another text with the same short hash under the same doc_id is another node.
             if xxhash.xxh3_128_digest(b" ".join(words)) == same:
                 block = xxhash.xxh3_64_intdigest(node.to_bytes(8, "little", signed=True)) % count
                 yield component, block, count, node, shingles(words).tobytes()
@@ -290,6 +313,33 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, least:
     return map_arrow(met, partial(_compare, least=least), _PAIR)
 
 
+def _resolved(docs: DataFrame, least: int) -> DataFrame:
+    """Every row's doc_id, raw, same and n_shingles, and the first (doc_id, raw) of its component: first_id, first_raw.
+
+    A node is a text, whatever doc_ids it has: it bears a number of its own, and its least doc_id and hash tell
+    where to find it.
+    """
+    form = shape(least)
+    rows = docs.select("doc_id", _raw(), "text")
+    signed = written(map_rows(rows, ("doc_id", "raw", "text"), partial(_sign, functions=form.functions), _SIGNED))
+    named = signed.where("doc_id is not null and same is not null")
+    distinct = named.groupBy("same").agg(
+        F.min(F.struct("doc_id", "raw")).alias("first"),
+        F.min("n_shingles").alias("n_shingles"),
+        F.min("signature").alias("signature"),
+    )
+    numbered = distinct.select("first.*", "same", "n_shingles", "signature", F.monotonically_increasing_id().alias("node"))
+    nodes = written(numbered)
+    groups = written(candidate_groups(nodes, form))
+    links = written(confirmed_links(docs, nodes, groups, least))
+    reached = components(links, "one", "other")
+    first = nodes.select("node", "same", F.struct("doc_id", "raw").alias("own")).join(reached, "node", "left")
+    first = written(first.select("same", F.coalesce("component", "node").alias("component"), "own"))
+    first = with_least(first, "component", "own", first.count())
+    first = first.select("same", F.col("least.doc_id").alias("first_id"), F.col("least.raw").alias("first_raw"))
+    return signed.drop("signature").join(first, "same", "left")
+
+
 def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per document.
 
@@ -299,31 +349,18 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     a null component_id. Rows that repeat a doc_id with the same text are one document; with different texts
     each row goes by its own text.
     """
-    form = shape(least)
-    signed = written(map_rows(docs, ("doc_id", "text"), partial(_sign, functions=form.functions), _SIGNED))
-    named = signed.where("doc_id is not null and same is not null")
-    first = named.groupBy("same").agg(
-        F.min("doc_id").alias("first"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature")
-    )
-    nodes = written(first.select(F.col("first").alias("doc_id"), "same", "n_shingles", "signature"))
-    groups = written(candidate_groups(nodes, form))
-    links = written(confirmed_links(docs, nodes, groups, least))
-    reached = components(links, "one", "other")
-    top = nodes.select("same", F.col("doc_id").alias("first")).join(
-        reached.withColumnRenamed("node", "first"), "first", "left"
-    )
-    top = top.select("same", F.coalesce("component", "first").alias("top"))
-    rows = signed.select("doc_id", "same", "n_shingles").join(top, "same", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id"))
+    rows = _resolved(docs, least)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """One document of each component, with all columns of the input.
-
-    Rows that share a doc_id are one document and stay or go together.
+    """One document of each component, with all columns of the input: that of the least doc_id, and among different
+    texts of this doc_id one of them. Rows of one doc_id with the same text are one document and stay or go together.
     """
-    found = near_duplicates(docs, least).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = written(found.where("not kept").select("doc_id"))
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
+    others = ~(F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("raw").eqNullSafe(F.col("first_raw")))
+    found = _resolved(docs, least).where("doc_id is not null and first_id is not null").where(others)
+    gone = written(found.select(F.col("doc_id").alias("gone_id"), F.col("raw").alias("gone_raw")).distinct())
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_raw"])
+    return docs.join(gone.hint("merge"), same, "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))

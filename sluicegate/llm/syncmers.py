@@ -196,7 +196,9 @@ def _with_next(docs: DataFrame) -> DataFrame:
 
     dealt = rows.withColumn("place", F.explode(places("key"))).select("place.*", "key", "tie", "doc_id", "text")
     order = ("bucket", "tail", "key", "tie")
-    return dealt.repartition(partitions, "bucket").sortWithinPartitions(*order)
+    # Buckets hold about as many rows each, so each task takes as many buckets in a row.
+    task = F.floor(F.col("bucket") * F.lit(partitions) / F.lit(len(bounds) + 1)).cast("int")
+    return dealt.repartitionById(partitions, task).sortWithinPartitions(*order)
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

@@ -138,3 +138,93 @@ def test_the_threshold_is_a_parameter(spark):
     assert {r.component_id for r in near_duplicates(frame, 85).collect()} == {1, 2}
     assert {r.component_id for r in near_duplicates(frame, 80).collect()} == {1}
     assert [r.doc_id for r in near_dup.without_near_duplicates(frame, 80).collect()] == [1]
+
+
+def by_text(rows, least=85):
+    """Group and component of each text by comparing all pairs of sets of word tuples."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    own = {}
+    for doc_id, text in rows:
+        words = tuple(w for w in "".join(" " if c in "\t\n\v\f\r" else c for c in (text or "").translate(lower)).split(" ") if w)
+        own.setdefault(words, set()).add(doc_id)
+    texts = [w for w in own if w]
+    sets = [{w[i : i + 5] for i in range(max(1, len(w) - 4))} for w in texts]
+    top = list(range(len(texts)))
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= least * (len(sets[a]) + len(sets[b]) - both):
+                top[root(a)] = root(b)
+    name = {}
+    for x, words in enumerate(texts):
+        name[root(x)] = min(name.get(root(x), 10**18), *own[words])
+    return {words: root(x) for x, words in enumerate(texts)}, {words: name[root(x)] for x, words in enumerate(texts)}
+
+
+def phrase(start, n=60, changed=()):
+    return " ".join(f"x{i}" if i in changed else f"w{i}" for i in range(start, start + n))
+
+
+def test_texts_that_share_a_doc_id_are_apart(spark):
+    """3 and one text of 5 are near copies, 9 and another text of 5 are: one text of each pair stays."""
+    rows = [(3, phrase(0)), (5, phrase(0, changed=[59])), (5, phrase(500)), (9, phrase(500, changed=[559]))]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, gone_id string, raw string")
+    marks = sorted(tuple(r) for r in near_duplicates(frame).select("doc_id", "component_id", "kept").collect())
+    assert marks == [(3, 3, True), (5, 3, False), (5, 5, True), (9, 5, False)]
+    left = near_dup.without_near_duplicates(frame)
+    assert left.columns == frame.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [rows[0], rows[2]]
+
+
+def test_a_pair_under_one_doc_id_leaves_one_text(spark):
+    rows = [(5, phrase(0)), (5, phrase(0, changed=[59])), (5, phrase(0)), (6, phrase(0, changed=[0]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.component_id, r.kept) for r in near_duplicates(frame).where("doc_id = 5").collect()} == {(5, True)}
+    left = [tuple(r) for r in near_dup.without_near_duplicates(frame).collect()]
+    assert len({t for _, t in left}) == 1 and {d for d, _ in left} == {5}
+
+
+@pytest.mark.parametrize("least", [85, 80])
+def test_repeated_doc_ids_match_a_whole_comparison(spark, least):
+    rows = [(i % 97, text) for i, (_, text) in enumerate(made(4))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    group_of, component = by_text(rows, least)
+    wanted = []
+    for doc_id, text in rows:
+        words = tuple(w for w in (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).split(" ") if w.strip())
+        top = component.get(words, doc_id)
+        wanted.append((doc_id, top, top == doc_id))
+    got = [(r.doc_id, r.component_id, r.kept) for r in near_duplicates(frame, least).collect()]
+    assert sorted(got) == sorted(wanted)
+    # One text of each component stays; texts of components that share their least doc_id are told apart by groups.
+    left = {tuple(w.decode() for w in near_dup.words_of(r.text)) for r in near_dup.without_near_duplicates(frame, least).collect()} - {()}
+    assert sorted(group_of[words] for words in left) == sorted(set(group_of.values()))
+
+
+def test_depth_follows_the_crowd_and_pieces_keep_neighbours(spark, monkeypatch):
+    """Whatever the depths and pieces, the components are those of the whole comparison."""
+    rows = made(7)
+    monkeypatch.setattr(near_dup, "CROWDED", 4)
+    monkeypatch.setattr(near_dup, "HELD", 8)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_common_prefixes():
+    keys = np.array([[1, 2, 3, 4], [1, 2, 3, 5], [1, 2, 3, 5], [1, 9, 3, 5]], dtype=np.uint8)
+    assert near_dup._common(keys, 2).tolist() == [0, 1, 2, 0]
+    assert near_dup._common(keys[:0], 2).tolist() == [0]
+
+
+def test_a_hot_node_is_split(spark):
+    """Chains, stars and a node that half of all links meet in."""
+    chance = random.Random(3)
+    links = [(0, i) for i in range(1, 3000)] + [(i, i + 1) for i in range(5000, 5400)] + [(chance.randrange(6000, 9000), 0) for _ in range(900)]
+    chance.shuffle(links)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(7), "a", "b").collect()}
+    assert got == {n: 0 for link in links for n in link if n and (n < 3000 or n >= 6000)} | {i: 5000 for i in range(5001, 5401)}
