@@ -4,7 +4,8 @@ Vectors are cut in two halves, each quantised by centroids of its own; a pair of
 visits cells in the order of the summed nearness of their two centroids, taken from a heap, until the cells
 hold enough entries; the entries are then ranked by their exact inner product. How many entries are enough is
 calibrated on the sample that the centroids come from: the share of all rows at which the true neighbours of
-sampled queries are found. Every row is in the index; only centroids and the share come from the sample.
+sampled queries are found. Every row is in the index; only centroids and the share come from the sample. Rows of
+another number of coordinates have an index of their own.
 """
 
 from __future__ import annotations
@@ -24,13 +25,15 @@ from pyspark.sql import Window
 from sluicegate.llm.rows import map_arrow, slices
 from sluicegate.scratch import written
 
-CENTROIDS = 32
-# Vectors that centroids and share are fitted on, at most about so many, and queries among them.
-SAMPLE, CALIBRATION = 20_000, 200
-TARGET_RECALL, LEAST_ENTRIES = 0.97, 2000
-# Entries of one share of a first centroid, and queries that meet them at a time.
-CHUNK, TOGETHER = 4096, 256
+# Centroids of a half: as many as this times the root of the rows, so that cells stay small, up to a limit.
+CENTROIDS_OF_ROOT, MOST_CENTROIDS = 0.6, 256
+# Vectors that centroids and share are fitted on: at most about so many, of so many bytes; and queries among them.
+SAMPLE, SAMPLE_BYTES, CALIBRATION = 20_000, 64 << 20, 200
 TOP = 20
+# The share of entries that a query visits finds so much of its neighbours; a few times TOP entries are the least.
+TARGET_RECALL, LEAST_ENTRIES = 0.95, 4 * TOP
+# Entries of one share of a first centroid, and queries that meet them at a time.
+CHUNK = 4096
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,8 @@ class Codebooks:
 
 def _centroids(rows: np.ndarray, count: int, rounds: int = 12) -> np.ndarray:
     """Lloyd's rounds from rows spread over the sample; a centroid without rows stays."""
+    if not rows.shape[1]:
+        return np.zeros((1, 0))
     distinct = np.unique(rows, axis=0)
     centres = distinct[np.linspace(0, len(distinct) - 1, min(count, len(distinct))).astype(int)].copy()
     for _ in range(rounds):
@@ -88,7 +93,17 @@ def visited(one: np.ndarray, other: np.ndarray, counts: np.ndarray, wanted: int)
     return out
 
 
-def fit(sample: np.ndarray, centroids: int = CENTROIDS) -> Codebooks:
+def centroids_for(rows: int) -> int:
+    return max(1, min(MOST_CENTROIDS, round(CENTROIDS_OF_ROOT * math.sqrt(rows))))
+
+
+def single_cell(dim: int) -> Codebooks:
+    """For rows without a sample: all in one cell, all visited."""
+    cut = max(1, dim // 2)
+    return Codebooks(np.zeros((1, cut)), np.zeros((1, dim - cut)), 1.0)
+
+
+def fit(sample: np.ndarray, centroids: int) -> Codebooks:
     """Centroids of both halves, and the share of entries that finds TARGET_RECALL of true neighbours."""
     cut = max(1, sample.shape[1] // 2)
     books = Codebooks(_centroids(sample[:, :cut], centroids), _centroids(sample[:, cut:], centroids), 1.0)
@@ -110,56 +125,82 @@ def fit(sample: np.ndarray, centroids: int = CENTROIDS) -> Codebooks:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and vector (doubles) of rows that take part.
+    """vec_id, vector (doubles) and dim of rows that take part, equal rows once.
 
-    Left out: rows without vec_id, null, empty and zero vectors, those with a null or non-finite component, and
-    those of another length than most (the shorter at a tie). Of rows that share a vec_id the least vector counts.
+    Left out: rows without vec_id, null, empty and zero vectors, and those with a null or non-finite component.
     """
     vector = F.col("embedding").cast("array<double>")
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = vectors.select("vec_id", vector.alias("vector")).where("vec_id is not null and vector is not null")
-    rows = rows.where(fine & F.exists("vector", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    rows = rows.where(F.size("vector") == (sizes["size"] if sizes else 0))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = rows.where(fine & F.exists("vector", lambda x: x != 0)).distinct()
+    return rows.withColumns({"dim": F.size("vector"), "row": F.monotonically_increasing_id()})
 
 
-def search(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
+def _sampled(rows: DataFrame, totals: dict[int, int]) -> dict[int, np.ndarray]:
+    """Rows drawn by a hash, by number of coordinates; they come to the driver as packed doubles."""
+    size = sum(8 * dim * count for dim, count in totals.items())
+    part = min(1.0, SAMPLE / sum(totals.values()), SAMPLE_BYTES / size)
+    drawn = F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1 << 30)) < F.lit(int(part * (1 << 30)))
+    table = rows.where(drawn).orderBy("vec_id", "vector").select("dim", "vector").toArrow()
+    dims, vectors = table.column("dim").to_numpy(), table.column("vector").combine_chunks()
+    values, ends = vectors.values.to_numpy(), vectors.offsets.to_numpy()
+    return {
+        int(dim): np.stack([values[ends[at] : ends[at + 1]] for at in np.flatnonzero(dims == dim).tolist()])
+        for dim in np.unique(dims).tolist()
+    }
+
+
+def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float | None = None) -> DataFrame:
     """The ``top`` nearest rows of each query row among all others: query_id, rank, vec_id, score.
 
     Nearness is the largest inner product in double precision, ties go to the smaller vec_id. A query gets all
-    candidates where there are fewer. A query without other rows gives none.
+    candidates where there are fewer. A query without other rows gives none. ``share`` is the part of the rows that a
+    query visits; without it, it is fitted for a recall of TARGET_RECALL, and 1.0 gives the exact answer.
+
+    Rows with different vectors under one vec_id are each a candidate, and a query; equal rows count once. A query
+    meets the rows of its own number of coordinates only.
     """
     spark = vectors.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = written(usable(vectors))
-    total = rows.count()
-    drawn = F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE / max(1, total)) * (1 << 30)))
-    sample = [r.vector for r in rows.where(drawn).select("vector").collect()] or [r.vector for r in rows.limit(1).collect()]
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], schema)
-    books = spark.sparkContext.broadcast(fit(np.array(sample)))
+    totals = {r.dim: r["count"] for r in rows.groupBy("dim").count().collect()}
+    if not totals:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sample = _sampled(rows, totals) if share is None or share < 1 else {}
+    fitted = {dim: fit(own, centroids_for(totals[dim])) for dim, own in sample.items()}
+    fitted = {dim: fitted.get(dim) or single_cell(dim) for dim in totals}
+    books = spark.sparkContext.broadcast(fitted)
     entries = written(map_arrow(rows, _assign(books), _ENTRY))
-    cells = entries.groupBy("i", "j").count().collect()
-    counts = np.zeros((len(books.value.first), len(books.value.second)), dtype=np.int64)
-    for cell in cells:
-        counts[cell.i, cell.j] = cell["count"]
-    shares = [max(1, math.ceil(n / CHUNK)) for n in counts.sum(1).tolist()]
-    wanted = max(LEAST_ENTRIES, math.ceil(books.value.share * total)) + 1  # the query itself is among them
-    share = F.pmod(F.xxhash64("vec_id"), F.element_at(F.array(*map(F.lit, shares)), F.col("i") + 1)).cast("int")
-    dealt = entries.withColumns({"chunk": share, "kind": F.lit(0), "cells": F.unhex(F.lpad(F.hex("j"), 8, "0"))})
-    probes = map_arrow(entries.where(is_query), _probe(books, counts, shares, wanted), _DEALT)
-    met = dealt.select(*_DEALT.names).unionByName(probes).repartition(partitions, "i", "chunk").sortWithinPartitions("i", "chunk", "kind")
+    counts = {dim: np.zeros((len(b.first), len(b.second)), dtype=np.int64) for dim, b in fitted.items()}
+    for cell in entries.groupBy("dim", "i", "j").count().collect():
+        counts[cell.dim][cell.i, cell.j] = cell["count"]
+    chunks = {
+        (dim, i): max(1, math.ceil(held / CHUNK)) for dim, own in counts.items() for i, held in enumerate(own.sum(1).tolist())
+    }
+    wanted = {
+        dim: max(LEAST_ENTRIES, 4 * top, math.ceil((fitted[dim].share if share is None else share) * total)) + 1
+        for dim, total in totals.items()
+    }  # the query itself is among them
+    plan = spark.createDataFrame([(*at, n) for at, n in chunks.items()], "dim int, i int, chunks int")
+    chunk = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")
+    # At most MOST_CENTROIDS rows for every number of coordinates.
+    dealt = entries.join(F.broadcast(plan), ["dim", "i"])
+    dealt = dealt.withColumns({"chunk": chunk, "kind": F.lit(0), "cells": F.unhex(F.lpad(F.hex("j"), 8, "0"))})
+    index = spark.sparkContext.broadcast((counts, chunks, wanted))
+    probes = map_arrow(entries.where(is_query), _probe(books, index), _DEALT)
+    place = ("dim", "i", "chunk")
+    met = dealt.select(*_DEALT.names).unionByName(probes).repartition(partitions, *place).sortWithinPartitions(*place, "kind")
     found = map_arrow(met, _rank(top), _FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 _ENTRY = T.StructType(
     [
+        T.StructField("row", T.LongType()),
         T.StructField("vec_id", T.LongType()),
+        T.StructField("dim", T.IntegerType()),
         T.StructField("i", T.IntegerType()),
         T.StructField("j", T.IntegerType()),
         T.StructField("vector", T.BinaryType()),
@@ -168,47 +209,60 @@ _ENTRY = T.StructType(
 # kind 0: an entry with its cell; kind 1: a query with the cells it visits in this share.
 _DEALT = T.StructType(
     [
+        T.StructField("dim", T.IntegerType()),
         T.StructField("i", T.IntegerType()),
         T.StructField("chunk", T.IntegerType()),
         T.StructField("kind", T.IntegerType()),
+        T.StructField("row", T.LongType()),
         T.StructField("vec_id", T.LongType()),
         T.StructField("cells", T.BinaryType()),
         T.StructField("vector", T.BinaryType()),
     ]
 )
 _FOUND = T.StructType(
-    [T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())]
+    [
+        T.StructField("row", T.LongType()),
+        T.StructField("query_id", T.LongType()),
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("score", T.DoubleType()),
+    ]
 )
 
 
 def _assign(books):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = books.value.cut
         for batch in batches:
             for piece in slices(batch):
-                held = np.array(piece.column("vector").to_pylist(), dtype=np.float64)
-                i, j = _nearest(held[:, :cut], books.value.first), _nearest(held[:, cut:], books.value.second)
+                held = [np.array(v, dtype=np.float64) for v in piece.column("vector").to_pylist()]
+                i, j = np.zeros(len(held), dtype=np.int32), np.zeros(len(held), dtype=np.int32)
+                dims = piece.column("dim").to_numpy()
+                for dim in np.unique(dims).tolist():
+                    at, own = np.flatnonzero(dims == dim), books.value[dim]
+                    matrix = np.stack([held[n] for n in at.tolist()])
+                    i[at], j[at] = _nearest(matrix[:, : own.cut], own.first), _nearest(matrix[:, own.cut :], own.second)
                 vectors = pa.array([row.tobytes() for row in held], pa.binary())
-                columns = [piece.column("vec_id"), pa.array(i, pa.int32()), pa.array(j, pa.int32()), vectors]
+                columns = [piece.column("row"), piece.column("vec_id"), piece.column("dim"), pa.array(i), pa.array(j), vectors]
                 yield pa.RecordBatch.from_arrays(columns, names=_ENTRY.names)
 
     return task
 
 
-def _probe(books, counts: np.ndarray, shares: list[int], wanted: int):
+def _probe(books, index):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, chunks, wanted = index.value
         for batch in batches:
             for piece in slices(batch):
                 made = []
-                for key, vector in zip(piece.column("vec_id").to_pylist(), piece.column("vector").to_pylist()):
+                for row, key, dim, vector in zip(*(piece.column(n).to_pylist() for n in ("row", "vec_id", "dim", "vector"))):
                     cells: dict[int, list[int]] = {}
-                    for i, j in visited(*books.value.nearness(np.frombuffer(vector)), counts, wanted):
+                    near = books.value[dim].nearness(np.frombuffer(vector))
+                    for i, j in visited(*near, counts[dim], wanted[dim]):
                         cells.setdefault(i, []).append(j)
                     for i, js in cells.items():
                         packed = np.array(js, dtype=np.int32).tobytes()
-                        made.extend((i, chunk, 1, key, packed, vector) for chunk in range(shares[i]))
+                        made.extend((dim, i, chunk, 1, row, key, packed, vector) for chunk in range(chunks[dim, i]))
                 if made:
-                    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                    kinds = (*[pa.int32()] * 4, pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
                     yield pa.RecordBatch.from_arrays(columns, names=_DEALT.names)
 
@@ -218,29 +272,33 @@ def _probe(books, counts: np.ndarray, shares: list[int], wanted: int):
 class _Share:
     """The entries of one share, by cell, and the ranking of queries against them."""
 
-    def __init__(self, place: tuple[int, int]):
-        self.place, self.ids, self.cells, self.vectors = place, [], [], []
+    def __init__(self, place: tuple[int, ...]):
+        self.place, self.rows, self.ids, self.cells, self.vectors = place, [], [], [], []
+        self.place_of: dict[int, int] = {}
         self.ready = False
 
     def settle(self) -> None:
+        self.place_of = {row: n for n, row in enumerate(self.rows)}
         self.ids = np.array(self.ids, dtype=np.int64)
         self.cells = np.array(self.cells, dtype=np.int64)
         self.vectors = np.array(self.vectors).reshape(len(self.ids), -1)
         self.ready = True
 
-    def rank(self, keys: list[int], cells: list[np.ndarray], vectors: np.ndarray, top: int) -> list[np.ndarray]:
+    def rank(self, rows: list[int], keys: list[int], cells: list[np.ndarray], vectors: np.ndarray, top: int) -> list[tuple]:
+        """(row, query_id, vec_ids, scores) of each query that finds something here."""
         if not self.ready:
             self.settle()
         if not len(self.ids):
             return []
         visits = np.zeros((len(keys), int(self.cells.max()) + 2), dtype=bool)
-        for row, own in enumerate(cells):
-            visits[row, own[own < visits.shape[1]]] = True
+        for n, own in enumerate(cells):
+            visits[n, own[own < visits.shape[1]]] = True
         scores = vectors @ self.vectors.T
         scores[~visits[:, self.cells]] = -np.inf
         out = []
-        for key, vector, row in zip(keys, vectors, scores):
-            row[self.ids == key] = -np.inf
+        for own_row, key, vector, row in zip(rows, keys, vectors, scores):
+            if own_row in self.place_of:
+                row[self.place_of[own_row]] = -np.inf
             bound = -np.inf
             if len(row) > top:
                 last = np.partition(row, len(row) - top)[len(row) - top]
@@ -251,7 +309,8 @@ class _Share:
             for d in range(len(vector)):
                 exact += vector[d] * self.vectors[chosen, d]
             best = np.lexsort((self.ids[chosen], -exact))[:top]
-            out.append(np.rec.fromarrays((np.full(len(best), key), self.ids[chosen][best], exact[best])))
+            if len(best):
+                out.append((own_row, key, self.ids[chosen][best], exact[best]))
         return out
 
 
@@ -260,23 +319,30 @@ def _rank(top: int):
         share: _Share | None = None
         for batch in batches:
             for piece in slices(batch):
-                place = [piece.column(n).to_numpy() for n in ("i", "chunk", "kind")]
-                keys, cells, vectors = (piece.column(n).to_pylist() for n in ("vec_id", "cells", "vector"))
+                place = [piece.column(n).to_numpy() for n in ("dim", "i", "chunk", "kind")]
+                rows, keys, cells, vectors = (piece.column(n).to_pylist() for n in ("row", "vec_id", "cells", "vector"))
                 turns = np.flatnonzero(np.any([np.diff(p) != 0 for p in place], axis=0)) + 1
                 for a, b in zip([0, *turns.tolist()], [*turns.tolist(), len(keys)]):
-                    where, kind = (int(place[0][a]), int(place[1][a])), int(place[2][a])
+                    where, kind = tuple(int(p[a]) for p in place[:3]), int(place[3][a])
                     if share is None or share.place != where:
                         share = _Share(where)
                     own = np.frombuffer(b"".join(vectors[a:b])).reshape(b - a, -1)
                     if kind == 0:
+                        share.rows.extend(rows[a:b])
                         share.ids.extend(keys[a:b])
                         share.cells.extend(int.from_bytes(c, "big") for c in cells[a:b])
                         share.vectors.extend(own)
                         continue
                     visits = [np.frombuffer(c, dtype=np.int32) for c in cells[a:b]]
-                    found = share.rank(keys[a:b], visits, own, top)
+                    found = share.rank(rows[a:b], keys[a:b], visits, own, top)
                     if found:
-                        columns = [np.concatenate([f[name] for f in found]) for name in ("f0", "f1", "f2")]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_FOUND.names)
+                        many = [len(ids) for _, _, ids, _ in found]
+                        columns = [
+                            pa.array(np.repeat([f[0] for f in found], many)),
+                            pa.array(np.repeat([f[1] for f in found], many)),
+                            pa.array(np.concatenate([f[2] for f in found])),
+                            pa.array(np.concatenate([f[3] for f in found])),
+                        ]
+                        yield pa.RecordBatch.from_arrays(columns, names=_FOUND.names)
 
     return task

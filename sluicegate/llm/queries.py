@@ -28,7 +28,6 @@ from sluicegate.llm.sql import (
     CONTAMINATION_SQL,
     HARD_NEGATIVES_SQL,
     NEAR_DUP_SQL,
-    NEAREST_SQL,
     PAGES_SQL,
     SEARCH_SQL,
 )
@@ -102,7 +101,6 @@ SQL = {
     "op2_html_extraction": PAGES_SQL,
     "op3_chat_formatting": CHAT_SQL,
     "op4_minhash_near_dedup": NEAR_DUP_SQL,
-    "op10_nearest_neighbours": NEAREST_SQL,
     "op11_hard_negatives": HARD_NEGATIVES_SQL,
     "op12_reversed_search": SEARCH_SQL,
     "op13_decontamination": CONTAMINATION_SQL,

@@ -16,7 +16,7 @@ select conv_id, count(*) as n_turns,
   cast(sum(chars) as bigint) as formatted_chars
 from sized group by conv_id
 """
-# The index visits all rows of tables this small, so it must agree with the whole comparison.
+# The exact answer: what the search gives with a share of 1, and what its recall is measured against.
 NEAREST_SQL = """
 with rows as (select vec_id, cast(embedding as double[]) as v from embeddings),
 scored as (
