@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
+from decimal import ROUND_CEILING, Decimal, localcontext
 from functools import reduce
 from typing import Any
 
@@ -50,15 +51,15 @@ def required(x: Operand, args: Args) -> Column:
 
 
 def minimum(x: Operand, args: Args) -> Column | None:
-    return _compared(x, args, lambda number, limit: number < limit, math.ceil)
+    return _compared(x, args, lambda number, limit: number < limit, math.ceil, from_=False)
 
 
 def maximum(x: Operand, args: Args) -> Column | None:
-    return _compared(x, args, lambda number, limit: number > limit, math.floor)
+    return _compared(x, args, lambda number, limit: number > limit, math.floor, above=True)
 
 
 def greater_than(x: Operand, args: Args) -> Column | None:
-    return _compared(x, args, lambda number, limit: number <= limit, math.floor)
+    return _compared(x, args, lambda number, limit: number <= limit, math.floor, above=True, from_=False)
 
 
 def max_length(x: Operand, args: Args) -> Column | None:
@@ -133,18 +134,44 @@ def document_by_type(args: Args, scope: Scope, asked_by: str) -> Column:
 
 
 def _compared(
-    x: Operand, args: Args, broken: Callable[[Column, Column], Column], whole: Callable[[float], int]
+    x: Operand,
+    args: Args,
+    broken: Callable[[Column, Column], Column],
+    whole: Callable[[float], int],
+    above: bool = False,
+    from_: bool = True,
 ) -> Column | None:
-    """Numbers are compared as doubles. For a bigint and a limit that doubles hold exactly, the whole number
-    that ``whole`` makes of the limit gives the same answer, and the comparison reaches the scan."""
+    """Numbers are compared as doubles. Where that can be told from the number itself, it is, and the comparison
+    reaches the scan: a bigint against the whole number that ``whole`` makes of a limit that doubles hold exactly, and
+    a decimal against the least one that as a double is at the limit (``above``: above it), which it must be
+    from (or else below) to break the rule."""
     if args.get("value") is None:
         return None
     limit = float(args["value"])
     if x.is_a(T.LongType) and abs(limit) < EXACT_IN_DOUBLES:
         return broken(x.col, F.lit(whole(limit)).cast("long"))
+    if x.is_a(T.DecimalType) and math.isfinite(limit):
+        bound = least_decimal(math.nextafter(limit, math.inf) if above else limit, x.dtype.scale)
+        most = Decimal(10) ** (x.dtype.precision - x.dtype.scale)
+        if not -most < bound < most:
+            return x.col.isNotNull() if (bound < 0) == from_ else F.lit(False)
+        literal = F.lit(str(bound)).cast(x.dtype)
+        return x.col >= literal if from_ else x.col < literal
     return broken(to_number(x, T.DoubleType()), F.lit(limit))
 
 
+def least_decimal(limit: float, scale: int) -> Decimal:
+    """The least decimal of so many places that is at least ``limit`` when it is made a double, which rounds it to the
+    nearest one: all from the middle between the limit and the double below, or the next place after it."""
+    if math.isinf(limit):
+        return Decimal(limit)
+    with localcontext() as context:
+        context.prec, step = 1200, Decimal(1).scaleb(-scale)
+        middle = (Decimal(math.nextafter(limit, -math.inf)) + Decimal(limit)) / 2
+        bound = middle.quantize(step, rounding=ROUND_CEILING)
+        return bound if float(bound) >= limit else bound + step
+
+
 def _day(args: Args) -> date | None:
     value = text_arg(args, "value")
     return None if value is None else datetime.fromisoformat(value).date()

@@ -10,6 +10,7 @@ import re
 from dataclasses import dataclass
 
 from sluicegate.errors import ContractError
+from sluicegate.functions.ambiguity import exponential
 
 # d: only \n ends a line; U: \d \w \s \b cover Unicode.
 JAVA_FLAGS = "(?dU)"
@@ -102,8 +103,9 @@ _NESTED_REPEAT = re.compile(
 
 
 def java_regex(pattern: str) -> str:
-    """Translate a contract expression; raise on what linear-time engines reject, and on a repeat directly over
-    a repeat, which those take in their stride but Java may need hours for."""
+    """Translate a contract expression; raise on what linear-time engines reject, and on expressions that those take
+    in their stride but Java may need hours for: a repeat directly over a repeat, and whatever can match the same
+    characters in a number of ways that grows exponentially before something that may fail."""
     if _NESTED_REPEAT.search(pattern):
         raise ContractError(f"regular expression {pattern!r}: an unbounded repeat of an unbounded repeat")
     out: list[str] = []
@@ -152,6 +154,8 @@ def java_regex(pattern: str) -> str:
             continue
         out.append(char)
         at += 1
+    if exponential(pattern):
+        raise ContractError(f"regular expression {pattern!r}: a repeat can match the same text in many ways")
     return JAVA_FLAGS + "".join(out)
 
 

@@ -1,10 +1,15 @@
 import datetime as dt
+import decimal
 from decimal import Decimal
 
 import pytest
 from frames import broken, broken_in, frame
 
+from pyspark.sql import functions as F
+
 from sluicegate.errors import ContractError
+from sluicegate.functions.checks import FIELD_CHECKS
+from sluicegate.functions.operand import Operand
 from sluicegate.operators.check import check
 from sluicegate.rules import parse_rules
 
@@ -170,3 +175,30 @@ def test_limits_on_whole_numbers(spark):
     assert broken(spark, "bigint", given, {"rule": "gt", "value": "5"}) == [YES, YES, NO, NO, NO, YES]
     assert broken(spark, "bigint", given, {"rule": "max", "value": 1e300}) == [NO] * 6
     assert broken(spark, "bigint", given, {"rule": "min", "value": "-inf"}) == [NO] * 6
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "decimal(38,18)", "decimal(38,0)", "decimal(5,5)", "decimal(20,3)"])
+def test_decimal_limits_are_those_of_doubles(spark, kind):
+    """Limits and values around the places where decimals and doubles part."""
+    import random
+
+    scale, most = int(kind[:-1].split(",")[1]), int(kind[8:].split(",")[0])
+    chance = random.Random(kind)
+    limits = [0, 0.1, -0.1, 0.3, 100.5, 1e15 + 0.3, 2.0**53, 2.0**53 + 2, -(2.0**60), 1e25, -1e40, 1e300, 5e-324, 0.99999, 1 / 3]
+    with decimal.localcontext() as context:
+        context.prec, step = 60, Decimal(1).scaleb(-scale)
+        given = [Decimal(0), None]
+        for limit in limits:
+            near = Decimal(limit) if abs(limit) < 10 ** (most - scale) else Decimal(chance.randint(-9, 9))
+            at = near.quantize(step)
+            given += [at + k * step for k in (-2, -1, 0, 1, 2, chance.randint(-(10**6), 10**6))]
+        given = [v for v in given if v is None or abs(v) < Decimal(10) ** (most - scale)]
+    tests = [(rule, limit, bad) for limit in limits for rule, bad in (("min", float.__lt__), ("max", float.__gt__), ("gt", float.__le__))]
+    df = frame(spark, kind, given)
+    x = Operand(F.col("v"), df.schema["v"].dataType)
+    columns = [F.coalesce(FIELD_CHECKS[rule](x, {"value": limit}), F.lit(False)) for rule, limit, _ in tests]
+    got = df.orderBy("k").select(*columns, F.coalesce(FIELD_CHECKS["max"](x, {"value": "nan"}), F.lit(False))).collect()
+    for n, (rule, limit, bad) in enumerate(tests):
+        wanted = [v is not None and bad(float(v), float(limit)) for v in given]
+        assert [row[n] for row in got] == wanted, (rule, limit)
+    assert not any(row[-1] for row in got)

@@ -65,3 +65,20 @@ def test_flags_stay_in_generated_code(spark):
 def test_whole_number_limits_reach_the_scan(spark, value, pushed):
     done = checked(table(spark, SMALL, "orders"), {"o_orderkey": [{"rule": "max", "value": value}]})
     assert pushed in plan(done.bad_rows("error"))
+
+
+@pytest.mark.parametrize(
+    ("rule", "value", "pushed"),
+    [
+        ("max", 100.5, "GreaterThanOrEqual(amount,100.51)"),
+        ("max", 100, "GreaterThanOrEqual(amount,100.01)"),
+        ("min", -3, "LessThan(amount,-3.00)"),
+        ("gt", 0, "LessThan(amount,0.01)"),
+    ],
+)
+def test_decimal_limits_reach_the_scan(spark, tmp_path, rule, value, pushed):
+    orders = table(spark, SMALL, "orders").selectExpr("cast(o_totalprice as decimal(18,2)) as amount")
+    orders.write.parquet(str(tmp_path / "decimals"))
+    done = checked(spark.read.parquet(str(tmp_path / "decimals")), {"amount": [{"rule": rule, "value": value}]})
+    assert pushed in plan(done.bad_rows("error"))
+    assert "cast(amount" not in plan(done.bad_rows("error"))
