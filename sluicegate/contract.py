@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -69,12 +69,12 @@ class Contract:
         return PartitionSpec.parse(self.rules.get("partitioning"))
 
     def check(self) -> list[Issue]:
+        """What is wrong with the documents: every place in them against the preconditions for its kind."""
         return [
-            *_identity(self),
-            *_fields(self),
-            *_nullability(self),
-            *_row_checks(self),
-            *_partitioning(self.rules.get("partitioning")),
+            Issue(p.level, f"{place.where}{p.at}", told)
+            for place in _places(self)
+            for p in PRECONDITIONS
+            if p.kind == place.kind and (told := p.fault(place, self))
         ]
 
     def require_sound(self) -> Contract:
@@ -102,91 +102,134 @@ def _read_json(spark: SparkSession, path: str) -> Any:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def _identity(contract: Contract) -> Iterator[Issue]:
-    for document, content in ((SCHEMA_FILE, contract.schema), (RULES_FILE, contract.rules)):
-        for name in ("dataset", "version"):
-            found, expected = str(content.get(name) or "").strip(), getattr(contract, name)
-            if found and found != expected:
-                yield Issue("ERROR", f"{document}.{name}", f"'{found}' is not '{expected}'")
-    if not contract.fields:
-        yield Issue("ERROR", f"{SCHEMA_FILE}.fields", "missing or empty")
-
-
-def _fields(contract: Contract) -> Iterator[Issue]:
-    fields = contract.rules.get("fields")
-    where = f"{RULES_FILE}.fields"
-    if not isinstance(fields, Mapping) or not fields:
-        yield Issue("ERROR", where, "must be a non-empty object")
-        return
-    known = set(contract.field_names)
-    for name, block in fields.items():
-        if name not in known:
-            yield Issue("ERROR", f"{where}.{name}", "not in the schema")
-        if not isinstance(block, Mapping):
-            yield Issue("ERROR", f"{where}.{name}", "must be an object")
-            continue
-        yield from _items(block.get("normalize"), f"{where}.{name}.normalize", "op", set(OPERATIONS))
-        yield from _items(block.get("validate"), f"{where}.{name}.validate", "rule", KNOWN_CHECKS)
-
-
-def _items(items: Any, where: str, name_key: str, supported: set[str]) -> Iterator[Issue]:
-    if items is None:
-        return
-    if not isinstance(items, list):
-        yield Issue("ERROR", where, "must be a list")
-        return
-    for at, item in enumerate(items):
-        if not isinstance(item, Mapping):
-            yield Issue("ERROR", f"{where}[{at}]", "must be an object")
-            continue
-        name = rule_name(item, name_key)
-        if name and name not in supported:
-            yield Issue("WARNING", f"{where}[{at}]", f"'{name}' is not supported")
-        level = str(item.get("level") or ERROR).strip().lower()
-        if level not in (ERROR, WARNING):
-            yield Issue("ERROR", f"{where}[{at}].level", f"'{level}' is not a level")
-
-
-def _nullability(contract: Contract) -> Iterator[Issue]:
+@dataclass(frozen=True)
+class Place:
+    """One place in the documents: what it is, where it is, and what stands there."""
+
+    kind: str
+    where: str
+    value: Any
+
+
+# Lists of rules in a field's block, with the key that names a rule there and the names that are known.
+FIELD_LISTS = {"normalize": ("op", frozenset(OPERATIONS)), "validate": ("rule", frozenset(KNOWN_CHECKS))}
+
+
+def _places(contract: Contract) -> Iterator[Place]:
+    """All places that preconditions are about; nothing below a place that is not what it must be."""
+    for file, document in ((SCHEMA_FILE, contract.schema), (RULES_FILE, contract.rules)):
+        yield Place("dataset", f"{file}.dataset", document.get("dataset"))
+        yield Place("version", f"{file}.version", document.get("version"))
+    yield Place("columns", f"{SCHEMA_FILE}.fields", contract.fields)
     blocks = contract.rules.get("fields")
-    if not isinstance(blocks, Mapping):
-        return
+    yield Place("blocks", f"{RULES_FILE}.fields", blocks)
+    blocks = blocks if isinstance(blocks, Mapping) else {}
+    for name, block in blocks.items():
+        yield Place("block", f"{RULES_FILE}.fields.{name}", (name, block))
+        for key in FIELD_LISTS if isinstance(block, Mapping) else ():
+            yield from _rule_places(block.get(key), f"{RULES_FILE}.fields.{name}.{key}", key)
     for field in contract.fields:
-        name = field["name"]
-        block = blocks.get(name)
-        items = block.get("validate") if isinstance(block, Mapping) else None
-        has_rule = isinstance(items, list) and any(
-            isinstance(item, Mapping)
-            and item.get("enabled", True)
-            and rule_name(item, "rule") in ("required", "notnull")
-            for item in items
-        )
-        if field.get("nullable", True) is False and not has_rule:
-            yield Issue(
-                "WARNING",
-                f"{SCHEMA_FILE}.fields.{name}.nullable",
-                "is not nullable, but no required rule checks it",
-            )
-
-
-def _row_checks(contract: Contract) -> Iterator[Issue]:
-    items, where = contract.rules.get("validations"), f"{RULES_FILE}.validations"
-    yield from _items(items, where, "rule", KNOWN_CHECKS)
-    known = set(contract.field_names)
-    for at, item in enumerate(items if isinstance(items, list) else []):
-        field = str(item.get("field") or "").strip() if isinstance(item, Mapping) else ""
-        if field and field != "*" and field not in known:
-            yield Issue("ERROR", f"{where}[{at}].field", f"'{field}' is not in the schema")
-
-
-def _partitioning(document: Any) -> Iterator[Issue]:
-    where = f"{RULES_FILE}.partitioning"
-    if not isinstance(document, Mapping):
-        yield Issue("ERROR", where, "is missing")
-        return
-    if not str(document.get("style") or "").strip():
-        yield Issue("ERROR", f"{where}.style", "is missing")
+        yield Place("column", f"{SCHEMA_FILE}.fields.{field['name']}", (field, blocks.get(field["name"])))
+    rules = contract.rules.get("validations")
+    yield from _rule_places(rules, f"{RULES_FILE}.validations", "row")
+    for at, rule in enumerate(rules if isinstance(rules, list) else []):
+        yield Place("target", f"{RULES_FILE}.validations[{at}]", rule if isinstance(rule, Mapping) else {})
+    yield Place("partitioning", f"{RULES_FILE}.partitioning", contract.rules.get("partitioning"))
+
+
+def _rule_places(rules: Any, where: str, kind: str) -> Iterator[Place]:
+    yield Place("list", where, rules)
+    for at, rule in enumerate(rules if isinstance(rules, list) else []):
+        place = Place("rule", f"{where}[{at}]", rule)
+        yield place
+        if isinstance(rule, Mapping):
+            yield replace(place, kind=f"{kind} rule")
+
+
+@dataclass(frozen=True)
+class Precondition:
+    """What must hold at places of one kind: ``fault`` says what is wrong, or gives nothing."""
+
+    kind: str
+    level: str
+    fault: Callable[[Place, Contract], str | None]
+    at: str = ""  # the part of the place that is at fault
+
+
+def _text(value: Any) -> str:
+    return str(value or "").strip()
+
+
+def _is(kind: type, told: str) -> Callable[[Place, Contract], str | None]:
+    return lambda place, contract: None if isinstance(place.value, kind) else told
+
+
+def _same_as(name: str) -> Callable[[Place, Contract], str | None]:
+    def fault(place: Place, contract: Contract) -> str | None:
+        given, wanted = _text(place.value), getattr(contract, name)
+        return f"'{given}' is not '{wanted}'" if given not in ("", wanted) else None
+
+    return fault
+
+
+def _named_among(key: str, known: frozenset[str]) -> Callable[[Place, Contract], str | None]:
+    def fault(place: Place, contract: Contract) -> str | None:
+        name = rule_name(place.value, key)
+        return f"'{name}' is not supported" if name and name not in known else None
+
+    return fault
+
+
+def _level(place: Place, contract: Contract) -> str | None:
+    level = _text(place.value.get("level") or ERROR).lower()
+    return f"'{level}' is not a level" if level not in (ERROR, WARNING) else None
+
+
+def _own_column(place: Place, contract: Contract) -> str | None:
+    field = _text(place.value.get("field"))
+    return f"'{field}' is not in the schema" if field not in ("", "*", *contract.field_names) else None
+
+
+def _requires(rule: Any) -> bool:
+    return isinstance(rule, Mapping) and bool(rule.get("enabled", True)) and rule_name(rule, "rule") in REQUIRING
+
+
+def _checked_for_null(place: Place, contract: Contract) -> str | None:
+    field, block = place.value
+    rules = block.get("validate") if isinstance(block, Mapping) else None
+    if field.get("nullable", True) is not False or any(map(_requires, rules if isinstance(rules, list) else [])):
+        return None
+    return "is not nullable, but no required rule checks it"
+
+
+def _partitions(place: Place, contract: Contract) -> str | None:
+    if not isinstance(place.value, Mapping):
+        return None
     try:
-        PartitionSpec.parse(document)
+        PartitionSpec.parse(place.value)
     except ContractError as error:
-        yield Issue("ERROR", f"{where}.fields", str(error))
+        return str(error)
+    return None
+
+
+# The rules that a column which is not nullable must have one of.
+REQUIRING = ("required", "notnull")
+
+PRECONDITIONS = (
+    Precondition("dataset", "ERROR", _same_as("dataset")),
+    Precondition("version", "ERROR", _same_as("version")),
+    Precondition("columns", "ERROR", lambda place, _: None if place.value else "missing or empty"),
+    Precondition("blocks", "ERROR", lambda p, _: None if isinstance(p.value, Mapping) and p.value else "must be a non-empty object"),
+    Precondition("block", "ERROR", lambda place, contract: None if place.value[0] in contract.field_names else "not in the schema"),
+    Precondition("block", "ERROR", lambda place, _: None if isinstance(place.value[1], Mapping) else "must be an object"),
+    Precondition("list", "ERROR", _is((list, type(None)), "must be a list")),
+    Precondition("rule", "ERROR", _is(Mapping, "must be an object")),
+    *(Precondition(f"{kind} rule", "WARNING", _named_among(*known)) for kind, known in FIELD_LISTS.items()),
+    Precondition("row rule", "WARNING", _named_among(*FIELD_LISTS["validate"])),
+    *(Precondition(f"{kind} rule", "ERROR", _level, ".level") for kind in (*FIELD_LISTS, "row")),
+    Precondition("target", "ERROR", _own_column, ".field"),
+    Precondition("column", "WARNING", _checked_for_null, ".nullable"),
+    Precondition("partitioning", "ERROR", _is(Mapping, "is missing")),
+    Precondition("partitioning", "ERROR", lambda p, _: None if not isinstance(p.value, Mapping) or _text(p.value.get("style")) else "is missing", ".style"),
+    Precondition("partitioning", "ERROR", _partitions, ".fields"),
+)

@@ -187,9 +187,13 @@ def _first(df: DataFrame, keys: Sequence[Column], count: int) -> DataFrame:
     """The first rows in order, merged in two levels.
 
     Each task keeps its own first rows. Sent to one task directly, those of a million
-    tasks would be far more than the result; groups of tasks merge theirs first.
+    tasks would be far more than the result; groups of tasks merge theirs first. More rows than Spark ranks
+    within tasks are sorted there, and cut by their place.
     """
     group, rank = "__merge_group__", "__rank__"
+    if count > int(df.sparkSession.conf.get(RANKED_ROWS)):
+        own = _first_of_task(df.withColumn(group, F.spark_partition_id() % MERGE_GROUPS), keys, count)
+        return _first_of_task(own.repartition(group).drop(group), keys, count).orderBy(*keys).limit(count)
     in_group = Window.partitionBy(group).orderBy(*keys)
     merged = (
         df.withColumn(group, F.spark_partition_id() % MERGE_GROUPS)
@@ -200,6 +204,13 @@ def _first(df: DataFrame, keys: Sequence[Column], count: int) -> DataFrame:
     return merged.orderBy(*keys).limit(count)
 
 
+def _first_of_task(df: DataFrame, keys: Sequence[Column], count: int) -> DataFrame:
+    """The first rows of each task. The numbers that Spark gives to rows count up within a task from its lowest bits."""
+    place = "__place__"
+    numbered = df.sortWithinPartitions(*keys).withColumn(place, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return numbered.where(F.col(place) < count).drop(place)
+
+
 def invalid_samples(
     checked: CheckedFrame, max_samples: int = DEFAULT_MAX_SAMPLES, order_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -29,21 +29,22 @@ def render_year(sql: str, params: Params) -> tuple[str, bool]:
 
     The year is forced to an integer, so no text from outside reaches the statement.
     """
-    if YEAR_PLACEHOLDER not in sql:
+    pieces = sql.split(YEAR_PLACEHOLDER)
+    if len(pieces) == 1:
         return sql, False
-    year = _year(params)
-    if year is None:
-        raise ContractError(f"the SQL has {YEAR_PLACEHOLDER}, but no year was given")
-    return sql.replace(YEAR_PLACEHOLDER, str(year)), True
+    try:
+        year = int(_by_name(params)[YEAR_PARAM])
+    except KeyError:
+        raise ContractError(f"the SQL has {YEAR_PLACEHOLDER}, but no year was given") from None
+    return str(year).join(pieces), True
 
 
 def extract(spark: SparkSession, sql: str, params: Params = None) -> DataFrame:
     """Run one statement on catalog tables, with the year rendered or parameters bound."""
     text, rendered = render_year(sql, params)
-    text = _one_statement(text)
-    if rendered or params is None:
-        return spark.sql(text)
-    return spark.sql(text, args=dict(params) if isinstance(params, Mapping) else list(params))
+    kind = dict if isinstance(params, Mapping) else list
+    bound = {} if rendered or params is None else {"args": kind(params)}
+    return spark.sql(_one_statement(text), **bound)
 
 
 @dataclass(frozen=True)
@@ -104,12 +105,13 @@ def extract_jdbc(
     return bytes_to_text(rows) if bytes_as_text else rows
 
 
-def _year(params: Params) -> int | None:
+def _by_name(params: Params) -> dict[Any, Any]:
+    """Parameters under their names; of those without names the first is the year."""
+    if params is None or isinstance(params, (str, bytes)):
+        return {}
     if isinstance(params, Mapping):
-        return int(params[YEAR_PARAM]) if YEAR_PARAM in params else None
-    if isinstance(params, Sequence) and not isinstance(params, (str, bytes)) and params:
-        return int(params[0])
-    return None
+        return dict(params)
+    return dict(zip((YEAR_PARAM, *range(1, len(params))), params))
 
 
 def _one_statement(sql: str) -> str:

@@ -133,3 +133,23 @@ def test_only_casts_that_can_lose_are_marked(spark):
     fields = [{"name": "i", "type": "int64"}, {"name": "d", "type": "int32"}, {"name": "s", "type": "string"}, {"name": "b", "type": "string"}]
     assert sorted(map(tuple, schema.cast_losses(df, fields).collect())) == [("b", 1), ("d", 0)]
     assert schema.cast_losses(df, fields[:1]).collect() == []
+
+
+def test_a_slice_is_listed_once(spark, tmp_path, load, source):
+    """Beside one file whose schema is read, every file of the slice is met once."""
+    load(source([(n, str(n), "2024-01-01", 7, f"c{n % 7}") for n in range(50)]))
+    held = list((tmp_path / "store/sales/v1/data").rglob("*.parquet"))
+    counter = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED()
+    before = counter.getCount()
+    slices.read_slice(spark, str(tmp_path / "store"), CONTRACT, tc="ab", ano=2024)
+    assert len(held) == 7 and counter.getCount() - before == 7 + 1
+
+
+def test_a_partition_column_in_another_case_is_the_same_to_the_session(spark, tmp_path):
+    fields = [{"name": "k", "type": "int64"}, {"name": "Code", "type": "string"}]
+    contract = Contract.from_dicts("s", "v1", {"fields": fields}, {"fields": {"k": {}}, "partitioning": {"style": "hive", "fields": PARTITIONS}})
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "k int, Code string")
+    result = run_load(rows, contract, LoadContext.of(contract, 2024, "ab"), str(tmp_path), str(tmp_path / "s"))
+    assert result.status == report.PUBLISHED
+    held = slices.read_slice(spark, str(tmp_path / "s"), contract, tc="ab", ano=2024)
+    assert sorted((r.k, r.code) for r in held.collect()) == [(1, "x"), (2, "y")]

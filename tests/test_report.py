@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from sluicegate.operators import report
 from sluicegate.operators.check import check
@@ -99,3 +100,14 @@ def test_messages():
 
 def test_sample_limits():
     assert [report.max_samples_from(v) for v in (None, "x", "7", -1, 0)] == [100, 100, 7, 0, 0]
+
+
+def test_more_samples_than_spark_ranks_are_cut_in_their_tasks_too(spark):
+    """Without touching the session, which other loads share."""
+    df = spark.range(0, 9000, numPartitions=6).select((F.lit(9000) - F.col("id")).alias("id"), F.lit(-1).alias("v"))
+    done = check(df, parse_rules({"fields": {"v": {"validate": [{"rule": "min", "value": 0}]}}}).checks)
+    rows = report.choose_samples(done, "error", 2500, ["id"])
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and text.count("__place__") >= 2
+    assert [r.id for r in rows.collect()] == list(range(1, 2501))
+    assert spark.conf.get(report.RANKED_ROWS) == "1000"
