@@ -48,7 +48,6 @@ class LibraryEncoder:
         if special_tokens:
             named = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
             self.special = re.compile("|".join(map(re.escape, named))) if named else None
-            self.whole = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.first = ChunkCache(self._chunk)
@@ -79,7 +78,12 @@ class LibraryEncoder:
         if not text:
             return b""
         if self.special is not None and self.special.search(text):
-            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+            # One vocabulary serves both ways; a second one would cost each worker a hundred megabytes.
+            self.tokenizer.encode_special_tokens = False
+            try:
+                return self._ids(text)
+            finally:
+                self.tokenizer.encode_special_tokens = True
         if self.spaced:
             first, *others = cut(text)
             return self.first[first] + b"".join(map(self.others.__getitem__, others))
