@@ -4,11 +4,15 @@ A page is a stream of tokens: containers that open and close, and text slots. Ne
 folded into repeated groups. The streams of a host are aligned one after another with what was inferred so
 far: equal tokens stay, a group meets further rounds of itself, and what only one side has becomes optional.
 The result is a regular expression without unions, the host's wrapper. Each page is then matched against its
-host's expression, which deals its blocks of text to the expression's text slots; a slot knows on how many pages
-it occurs and which of its texts all of them have. Wrappers and what their slots hold are merged within tasks,
-then over shares of a host, then per host, so that no task holds the pages of a host. A block is main text when
-it lies in an article or main element or, on pages without one, when its slot doesn't have it on all of several
-different pages; blocks in menus, headers, footers and the like never are.
+host's expression, which deals its blocks of text to the expression's text slots. Over all pages of the host a slot
+gathers evidence: how much text it holds on a page, how much of it is linked, and which texts all of its pages have.
+Wrappers are merged within tasks, then over shares of a host, then per host, and the evidence is summed before it
+is shuffled, so that no task holds the pages of a host.
+
+On each page the evidence of its slots then decides. Text that all of several different pages have in a slot is
+left out. What the slots usually hold, linked text against it, is their weight, and the main text is the least
+element that has most of the page's weight. Elements named article or main have one vote: together they are the main
+text already with a smaller share. Menus, headers, footers and the like are left out by their elements and names.
 """
 
 from __future__ import annotations
@@ -16,8 +20,10 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 from typing import Any
 
 import pyarrow as pa
@@ -35,9 +41,9 @@ INLINE = frozenset(
     " strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript iframe xmp noembed noframes template".split())
+RAW = frozenset("title script style textarea noscript iframe xmp noembed noframes template".split())
 DROPPED = frozenset(
-    "head script style nav footer aside form noscript iframe select button menu svg template textarea object dialog"
+    "head title script style nav footer aside form noscript iframe select button menu svg template textarea object dialog"
     " canvas video audio map xmp noembed noframes".split()
 )
 MAIN = frozenset(("article", "main"))
@@ -48,9 +54,9 @@ LAYOUT_WORDS = frozenset(
     "banner header notice social share sharing cookie cookies popup modal subscribe newsletter toolbar masthead"
     " disclaimer".split()
 )
-REPLY_WORDS = frozenset(("comment", "comments"))
+REPLY_WORDS = frozenset(("comment", "comments", "disqus"))
 BESIDE_WORDS = REPLY_WORDS | frozenset(
-    "ad ads advert advertisement sidebar nav navbar navigation menu footer promo sponsored sponsor related breadcrumb"
+    "ad ads advert advertisement sidebar nav navbar topnav navigation menu footer promo sponsored sponsor related breadcrumb"
     " breadcrumbs widget".split()
 )
 BOILERPLATE_WORDS = LAYOUT_WORDS | BESIDE_WORDS
@@ -58,8 +64,10 @@ PART_WORDS = frozenset(
     "the top bottom left right main primary secondary global site page mobile desktop sticky fixed inner outer small"
     " list lists area section box block bar item items link links button buttons icon icons form group panel row"
     " container wrapper wrap holder slot unit posts post articles stories media user reader thread body title text"
-    " div id js".split()
+    " div id js consent v x px".split()
 )
+# What stands beside main text may also be named after it.
+OWNER_WORDS = frozenset("article blog content entry story".split())
 # How strongly text is dropped: by layout names, by names of what stands beside, by elements that never hold any.
 KEPT, LAYOUT, BESIDE, NEVER = range(4)
 _TOKEN = re.compile(
@@ -68,13 +76,16 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
 )
-_NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
+_NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|href)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _WORDS = re.compile(r"[a-z]+")
-# Containers deeper than this are not told apart, and streams whose alignment would need more cells than this
-# are taken as optional wholes between the tokens that both have just once.
-DEPTH, CELLS = 32, 1 << 20
+# Streams whose alignment would need more cells than this are taken as optional wholes between the tokens that both
+# have just once.
+CELLS = 1 << 20
 # Different pages that show that a text stays the same.
 SEVERAL = 3
+# The share of a page's weight that its main text has at least, and the one that suffices where it is named so.
+MOST, NAMED_SO = 0.65, 0.3
 
 
 @dataclass
@@ -84,18 +95,27 @@ class Element:
     dropped: int
     main: bool
     reply: bool
-    path: str
+    first: int = 0  # the first of its blocks
 
 
 @dataclass
 class Page:
-    """Tokens of a page's structure, and its blocks of text with the path and standing of their slots."""
+    """Tokens of a page's structure; its blocks of text: dropped, main, characters in links, text; and the ranges of
+    blocks that its elements hold, if two or more."""
 
     tokens: list[str] = field(default_factory=list)
-    blocks: list[tuple[str, bool, bool, str]] = field(default_factory=list)  # path, dropped, main, text
+    blocks: list[tuple[bool, bool, int, str]] = field(default_factory=list)
+    spans: list[tuple[int, int]] = field(default_factory=list)
 
     def has_main(self) -> bool:
-        return any(main and not dropped for _, dropped, main, _ in self.blocks)
+        return any(main and not dropped for dropped, main, _, _ in self.blocks)
+
+    def dumps(self) -> str:
+        return json.dumps([self.tokens, self.blocks, self.spans], ensure_ascii=False)
+
+    @classmethod
+    def loads(cls, text: str) -> Page:
+        return cls(*json.loads(text))
 
 
 def _named(values: str) -> frozenset[str]:
@@ -103,18 +123,31 @@ def _named(values: str) -> frozenset[str]:
     found: set[str] = set()
     for value in values.split():
         words = set(_WORDS.findall(value))
-        if words <= BOILERPLATE_WORDS | PART_WORDS:
-            found |= words & BOILERPLATE_WORDS
+        own = words & BOILERPLATE_WORDS
+        if words <= BOILERPLATE_WORDS | PART_WORDS or own and own <= BESIDE_WORDS and words <= own | PART_WORDS | OWNER_WORDS:
+            found |= own
     return frozenset(found)
 
 
+def _attributes(text: str) -> dict[str, str]:
+    return {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in _NAMED.finditer(text)}
+
+
+def _names(attributes: dict[str, str]) -> str:
+    return " ".join(attributes.get(key, "") for key in ("class", "id", "role"))
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or _HIDING.search(attributes.get("style", "")) is not None
+
+
 def _element(name: str, attributes: str, above: Element | None) -> Element:
-    named = {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in _NAMED.finditer(attributes)}
-    values = " ".join(named.get(key, "") for key in ("class", "id", "role"))
+    named = _attributes(attributes)
+    values = _names(named)
     main = name in MAIN or named.get("role") == "main"
     boilerplate = _named(values) if values.strip() else frozenset()
     dropped, inherited = KEPT, above.dropped if above else KEPT
-    if "hidden" in named or name in DROPPED and name != "form":
+    if _hidden(named) or name in DROPPED and name != "form":
         dropped = NEVER
     elif name == "form":
         dropped = LAYOUT
@@ -130,47 +163,86 @@ def _element(name: str, attributes: str, above: Element | None) -> Element:
     reply = name == "article" and not boilerplate.isdisjoint(REPLY_WORDS)
     label = name + "".join(f".{word}" for word in _WORDS.findall(values))
     if above is None:
-        return Element(name, label, dropped, main, reply, label)
-    path = above.path if above.path.count("/") >= DEPTH else f"{above.path}/{label}"
-    return Element(name, label, max(dropped, inherited), main or above.main, reply or above.reply, path)
+        return Element(name, label, dropped, main, reply)
+    return Element(name, label, max(dropped, inherited), main or above.main, reply or above.reply)
 
 
 def read_page(html: str | None) -> Page:
     """Broken markup is read as browsers do: unclosed elements end with what holds them.
 
-    Articles that are named comments are dropped, unless the page has no other main text.
+    Articles that are named comments are dropped, unless the page has no other main text. Inline elements that are
+    hidden or named as boilerplate are dropped with what they hold, at most to the end of the element around them.
     """
     html, page, stack, held, at = html or "", Page(), [], [], 0
     replies: list[int] = []
+    linked = 0  # characters in links since the last block
+    link: int | None = None  # depth of the element that holds an open link
+    silent: list[str] = []  # open inline elements from a dropped one on
+    silent_at = 0
+
+    def say(text: str) -> None:
+        nonlocal linked
+        if not silent:
+            held.append(text)
+            if link is not None:
+                linked += len(" ".join(text.split()))
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            top = stack[-1] if stack else Element("", "", KEPT, False, False, "")
+            top = stack[-1] if stack else Element("", "", KEPT, False, False)
             page.tokens.append("#")
             if top.reply and not top.dropped:
                 replies.append(len(page.blocks))
-            page.blocks.append((top.path, top.dropped > KEPT or top.reply, top.main, text))
+            page.blocks.append((top.dropped > KEPT or top.reply, top.main, min(linked, len(text)), text))
+        linked = 0
 
     def close(count: int) -> None:
+        nonlocal link
         for _ in range(count):
-            page.tokens.append("/" + stack.pop().label)
+            element = stack.pop()
+            page.tokens.append("/" + element.label)
+            span = (element.first, len(page.blocks))
+            if span[1] - span[0] > 1 and (not page.spans or page.spans[-1] != span):
+                page.spans.append(span)
+        if link is not None and len(stack) < link:
+            link = None
+        if len(stack) < silent_at:
+            silent.clear()
 
     while at < len(html):
         token = _TOKEN.search(html, at)
-        held.append(entities.unescape(html[at : token.start() if token else len(html)]))
+        say(entities.unescape(html[at : token.start() if token else len(html)]))
         if token is None:
             break
         at = token.end()
         name = (token[2] or token[5] or "").lower()
-        if not name or name in INLINE:
+        if not name:
+            continue
+        closing, attributes = token[1] or token[4], token[3] if token[2] else token[6]
+        if name in INLINE:
+            if closing:
+                if name in silent:
+                    del silent[len(silent) - 1 - silent[::-1].index(name) :]
+                elif name == "a":
+                    link = None
+            elif silent:
+                silent.append(name)
+            elif attributes:
+                named = _attributes(attributes)
+                if named and name not in VOID and (_hidden(named) or _named(_names(named))):
+                    silent.append(name)
+                    silent_at = len(stack)
+                elif name == "a" and "href" in named:
+                    link = len(stack)
             continue
         if name == "br":
-            held.append(" ")
+            say(" ")
             continue
         flush()
-        if token[1] or token[4]:
+        if closing:
             depth = next((i for i, e in enumerate(reversed(stack), 1) if e.name == name), 0)
             close(depth)
             continue
@@ -178,19 +250,20 @@ def read_page(html: str | None) -> Page:
             continue
         if stack and stack[-1].name in CLOSES_ITSELF and (stack[-1].name == name or stack[-1].name == "p"):
             close(1)
-        element = _element(name, token[3] if token[2] else token[6], stack[-1] if stack else None)
+        element = _element(name, attributes, stack[-1] if stack else None)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
+        element.first = len(page.blocks)
         stack.append(element)
         page.tokens.append(element.label)
     flush()
     close(len(stack))
     if replies and not page.has_main():
         for place in replies:
-            path, _, main, text = page.blocks[place]
-            page.blocks[place] = path, False, main, text
+            _, *rest = page.blocks[place]
+            page.blocks[place] = (False, *rest)
     return page
 
 
@@ -232,12 +305,12 @@ def _optional(items: Expression) -> Expression:
 
 def _anchors(one: list[str], other: list[str]) -> list[tuple[int, int]]:
     """Places of tokens that both have exactly once, in common order."""
-    places = {key: i for i, key in enumerate(one) if one.count(key) == 1} if len(one) < 4096 else {}
-    pairs = [(places[key], j) for j, key in enumerate(other) if key in places and other.count(key) == 1] if places else []
+    counts = Counter(one), Counter(other)
+    places = {key: i for i, key in enumerate(one) if counts[0][key] == counts[1][key] == 1}
     chosen: list[tuple[int, int]] = []
-    for i, j in sorted(pairs, key=lambda p: p[1]):
-        if not chosen or i > chosen[-1][0]:
-            chosen.append((i, j))
+    for j, key in enumerate(other):
+        if key in places and (not chosen or places[key] > chosen[-1][0]):
+            chosen.append((places[key], j))
     return chosen
 
 
@@ -434,49 +507,46 @@ class Matcher:
 
 
 @dataclass
-class Slots:
-    """By text slot of an expression: digests of some pages that have it, and of the texts that all of them have.
+class Evidence:
+    """What the slots of an expression hold over the pages of a host: the weight of each, which is the mean number of
+    its characters on pages that have it, linked ones against them; and digests of texts that all of several have."""
 
-    Copies of a page are one page. At most SEVERAL pages are listed.
-    """
+    weights: dict[int, float]
+    fixed: dict[int, set[int]]
 
-    held: dict[str, list[Any]]
 
-    @classmethod
-    def of_page(cls, page: Page, matcher: Matcher) -> Slots:
-        texts: dict[str, set[int]] = {}
-        for slot, (_, dropped, _, text) in zip(matcher.slots(page.tokens) or (), page.blocks):
-            if not dropped:
-                texts.setdefault(str(slot), set()).add(_digest(text))
-        body = _digest("\n".join(text for _, dropped, _, text in page.blocks if not dropped)) if texts else 0
-        return cls({slot: [[body], sorted(own)] for slot, own in texts.items()})
-
-    def merge(self, other: Slots) -> Slots:
-        held = dict(self.held)
-        for slot, (pages, texts) in other.held.items():
-            if slot in held:
-                pages = sorted({*pages, *held[slot][0]})[:SEVERAL]
-                texts = sorted(set(texts) & set(held[slot][1]))
-            held[slot] = [pages, texts]
-        return Slots(held)
+def _spread(page: Page, slots: Sequence[int], evidence: Evidence | None, fixed: set[int]) -> list[float]:
+    """The weight of each block: its slot's, shared among the slot's blocks on the page; none for what is left out."""
+    left_out = [place in fixed or block[0] for place, block in enumerate(page.blocks)]
+    many = Counter(slot for slot, out in zip(slots, left_out) if not out)
 
-    def dumps(self) -> str:
-        return json.dumps(self.held)
+    def weight(place: int, slot: int) -> float:
+        _, _, linked, text = page.blocks[place]
+        return max(0, len(text) - 2 * linked) if evidence is None else evidence.weights.get(slot, 0.0) / many[slot]
+
+    return [0.0 if out else weight(place, slot) for place, (slot, out) in enumerate(zip(slots, left_out))]
 
-    @classmethod
-    def loads(cls, text: str) -> Slots:
-        return cls(json.loads(text))
 
-    def fixed(self, page: Page, matcher: Matcher) -> set[int]:
-        """Places of the page's blocks whose slots have their text on all of several different pages."""
-        same = {slot: set(texts) for slot, (pages, texts) in self.held.items() if len(pages) >= SEVERAL and texts}
-        slots = matcher.slots(page.tokens) if same else None
-        return {i for i, slot in enumerate(slots or ()) if _digest(page.blocks[i][3]) in same.get(str(slot), ())}
+def decide(page: Page, slots: Sequence[int] | None = None, evidence: Evidence | None = None) -> str:
+    """The main text, by the evidence of the page's slots; a page without a wrapper has only its own."""
+    fixed: set[int] = set()
+    if slots is None or evidence is None:
+        slots, evidence = range(len(page.blocks)), None
+    else:
+        fixed = {n for n, slot in enumerate(slots) if _digest(page.blocks[n][3]) in evidence.fixed.get(slot, ())}
+    weights = _spread(page, slots, evidence, fixed)
+    total = sum(weights)
+    if page.has_main() and sum(w for w, block in zip(weights, page.blocks) if block[1]) >= NAMED_SO * total:
+        return main_text(page, True, set())
+    before = [0.0, *accumulate(weights)]
+    most = [(end - start, start, end) for start, end in page.spans if before[end] - before[start] >= MOST * total]
+    _, start, end = min(most) if most and total else (0, 0, len(page.blocks))
+    return main_text(page, False, {n for n in range(len(page.blocks)) if n in fixed or not start <= n < end})
 
 
 def main_text(page: Page, has_main: bool, fixed: set[int]) -> str:
     texts = []
-    for place, (_, dropped, main, text) in enumerate(page.blocks):
+    for place, (dropped, main, _, text) in enumerate(page.blocks):
         if not dropped and (main if has_main else place not in fixed):
             texts.append(text)
     return " ".join(texts)
@@ -488,78 +558,122 @@ def host_of(url: Column) -> Column:
     return F.lower(found)
 
 
+READ = T.StructType(
+    [
+        T.StructField("page_id", T.LongType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("host", T.StringType()),
+        T.StructField("page", T.StringType()),
+    ]
+)
 INFERRED = T.StructType([T.StructField("host", T.StringType()), T.StructField("wrapper", T.StringType())])
-SLOTTED = T.StructType([T.StructField("host", T.StringType()), T.StructField("slots", T.StringType())])
+# A block of text in its slot; ``first`` is 1 for the first of the slot on its page, ``body`` stands for the page's whole text.
+SLOTTED = T.StructType(
+    [
+        T.StructField("host", T.StringType()),
+        *(T.StructField(name, T.LongType()) for name in ("slot", "size", "linked", "first", "digest", "body")),
+    ]
+)
 # Shares of a host whose wrappers are merged apart before they meet.
 SHARES = 64
 
 
-def _merge_stream(kind: type[Wrapper] | type[Slots], schema: T.StructType) -> Callable:
-    """Merge neighbouring rows of a host. Holds one at a time; equal expressions align at once."""
-    made = pa.schema([(name, pa.string()) for name in schema.names])
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, merged = None, None
-        for batch in batches:
-            for piece in slices(batch):
-                done = []
-                for own, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    found = kind.loads(text)
-                    if merged is not None and own == host:
-                        merged = merged.merge(found)
-                    else:
-                        if merged is not None:
-                            done.append(dict(zip(schema.names, (host, merged.dumps()))))
-                        host, merged = own, found
-                if done:
-                    yield pa.RecordBatch.from_pylist(done, schema=made)
-        if merged is not None:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (host, merged.dumps())))], schema=made)
-
-    return task
-
-
-def _merged(found: DataFrame, kind: type[Wrapper] | type[Slots], schema: T.StructType) -> DataFrame:
-    """One row per host: over shares of a host first, then per host."""
-    partitions = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    value = schema.names[1]
-    share = F.pmod(F.xxhash64(value), F.lit(SHARES))
-    shares = found.repartition(partitions, "host", share).sortWithinPartitions("host", value)
-    merged = map_arrow(shares, _merge_stream(kind, schema), schema)
-    whole = merged.repartition(partitions, "host").sortWithinPartitions("host", value)
-    return map_arrow(whole, _merge_stream(kind, schema), schema)
+def _merge_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merge neighbouring wrappers of a host. Holds one at a time; equal expressions align at once."""
+    made = pa.schema([(name, pa.string()) for name in INFERRED.names])
+    host, merged = None, None
+    for batch in batches:
+        for piece in slices(batch):
+            done = []
+            for own, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                found = Wrapper.loads(text)
+                if merged is not None and own == host:
+                    merged = merged.merge(found)
+                else:
+                    if merged is not None:
+                        done.append(dict(zip(INFERRED.names, (host, merged.dumps()))))
+                    host, merged = own, found
+            if done:
+                yield pa.RecordBatch.from_pylist(done, schema=made)
+    if merged is not None:
+        yield pa.RecordBatch.from_pylist([dict(zip(INFERRED.names, (host, merged.dumps())))], schema=made)
+
+
+def read_pages(pages: DataFrame) -> DataFrame:
+    """page_id, url, host (empty where the URL has none) and the page as read, once."""
+
+    def rule(keys: list, urls: list, hosts: list, documents: list) -> Iterator[tuple]:
+        for key, url, host, document in zip(keys, urls, hosts, documents):
+            yield key, url, host, read_page(document).dumps()
+
+    hosted = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
+    return map_rows(hosted, ("page_id", "url", "host", "html"), rule, READ)
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """One wrapper per host from all its pages. Pages without host have nothing in common and get none."""
+    return wrappers_of(read_pages(pages))
+
+
+def wrappers_of(read: DataFrame) -> DataFrame:
+    """One row per host: merged within tasks, over shares of a host, then per host."""
 
-    def rule(hosts: list, documents: list) -> Iterator[tuple]:
+    def rule(hosts: list, held: list) -> Iterator[tuple]:
         wrappers: dict[str, Wrapper] = {}
-        for host, document in zip(hosts, documents):
-            wrapper = Wrapper.of_page(read_page(document))
+        for host, page in zip(hosts, held):
+            wrapper = Wrapper.of_page(Page.loads(page))
             wrappers[host] = wrappers[host].merge(wrapper) if host in wrappers else wrapper
         return ((host, wrapper.dumps()) for host, wrapper in wrappers.items())
 
-    hosted = pages.select(host_of(F.col("url")).alias("host"), "html")
-    return _merged(map_rows(hosted.where("host <> ''"), ("host", "html"), rule, INFERRED), Wrapper, INFERRED)
+    found = map_rows(read.where("host <> ''"), ("host", "page"), rule, INFERRED)
+    partitions = int(read.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("wrapper"), F.lit(SHARES))
+    shares = found.repartition(partitions, "host", share).sortWithinPartitions("host", "wrapper")
+    merged = map_arrow(shares, _merge_stream, INFERRED)
+    whole = merged.repartition(partitions, "host").sortWithinPartitions("host", "wrapper")
+    return map_arrow(whole, _merge_stream, INFERRED)
+
+
+def _matcher(held: dict[str, Matcher], wrapper: str) -> Matcher:
+    if wrapper not in held:
+        held[wrapper] = Matcher(Wrapper.loads(wrapper).expression)
+    return held[wrapper]
 
 
-def infer_slots(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """What the slots of each given wrapper hold on all pages of its host."""
+def slotted(read: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """Every block that isn't dropped, in the slot that its host's wrapper deals it to."""
 
-    def rule(hosts: list, documents: list, texts: list) -> Iterator[tuple]:
+    def rule(hosts: list, held: list, texts: list) -> Iterator[tuple]:
         matchers: dict[str, Matcher] = {}
-        found: dict[str, Slots] = {}
-        for host, document, text in zip(hosts, documents, texts):
-            if host not in matchers:
-                matchers[host] = Matcher(Wrapper.loads(text).expression)
-            own = Slots.of_page(read_page(document), matchers[host])
-            found[host] = found[host].merge(own) if host in found else own
-        return ((host, slots.dumps()) for host, slots in found.items())
+        for host, own, wrapper in zip(hosts, held, texts):
+            page = Page.loads(own)
+            slots = _matcher(matchers, wrapper).slots(page.tokens)
+            kept = [(slot, block) for slot, block in zip(slots or (), page.blocks) if not block[0]]
+            body, met = _signed(_digest("\n".join(text for _, (*_, text) in kept))), set()
+            for slot, (_, _, linked, text) in kept:
+                yield host, slot, len(text), linked, int(slot not in met), _signed(_digest(text)), body
+                met.add(slot)
 
-    hosted = pages.select(host_of(F.col("url")).alias("_host"), "html")
-    joined = hosted.join(wrappers, hosted["_host"] == wrappers["host"])
-    return _merged(map_rows(joined, ("host", "html", "wrapper"), rule, SLOTTED), Slots, SLOTTED)
+    return map_rows(read.join(wrappers, "host"), ("host", "page", "wrapper"), rule, SLOTTED)
+
+
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def evidence_of(blocks: DataFrame) -> DataFrame:
+    """host, weights (slot, weight) and fixed (slot, digest): sums, and two counts of different pages.
+
+    A host's row is as long as its wrapper has slots, and as any page of it has blocks.
+    """
+    own = F.greatest(F.col("size") - 2 * F.col("linked"), F.lit(0))
+    weights = blocks.groupBy("host", "slot").agg((F.sum(own) / F.sum("first")).alias("weight"))
+    weights = weights.groupBy("host").agg(F.collect_list(F.struct("slot", "weight")).alias("weights"))
+    texts = blocks.select("host", "slot", "digest", "body").distinct().groupBy("host", "slot", "digest").agg(F.count("*").alias("having"))
+    pages = blocks.select("host", "slot", "body").distinct().groupBy("host", "slot").agg(F.count("*").alias("pages"))
+    same = texts.where(F.col("having") >= SEVERAL).join(pages, ["host", "slot"]).where("having = pages")
+    fixed = same.groupBy("host").agg(F.collect_list(F.struct("slot", "digest")).alias("fixed"))
+    return weights.join(fixed, "host", "left")
 
 
 TEXTS = T.StructType(
@@ -576,27 +690,33 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, main text and its number of characters.
 
     A null or empty page has the empty text; a page whose URL has no host stands alone. Repeated rows are extracted
-    each. Wrappers of hosts with pages that lack main text of their own are written first, so that the joins know
+    each. Pages are read once and written as read; wrappers and evidence are written too, so that the joins know
     their size: these send them to the tasks when they are small and otherwise split hosts with many pages.
     """
-    counts = [F.regexp_extract("wrapper", r"^\[(\d+), (\d+)", i) for i in (1, 2)]
-    wrappers = written(infer_wrappers(pages).where(counts[0] != counts[1]))
-    known = written(infer_slots(pages, wrappers).join(wrappers, "host"))
-    hosted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host"))
-    joined = hosted.join(known, hosted["_host"] == known["host"], "left")
-
-    def rule(keys: list, urls: list, documents: list, texts: list, held: list) -> Iterator[tuple]:
-        matchers: dict[str, tuple[Matcher, Slots]] = {}
-        for key, url, document, text, slots in zip(keys, urls, documents, texts, held):
-            page = read_page(document)
-            fixed: set[int] = set()
-            has_main = page.has_main()
-            if text is not None and not has_main:
-                if text not in matchers:
-                    matchers[text] = Matcher(Wrapper.loads(text).expression), Slots.loads(slots)
-                matcher, own = matchers[text]
-                fixed = own.fixed(page, matcher)
-            found = main_text(page, has_main, fixed)
+    read = written(read_pages(pages))
+    wrappers = written(wrappers_of(read))
+    evidence = evidence_of(written(slotted(read, wrappers)))
+    known = written(wrappers.join(evidence.select("host", F.to_json(F.struct("weights", "fixed")).alias("evidence")), "host", "left"))
+    joined = read.join(known, "host", "left")
+
+    def rule(keys: list, urls: list, held: list, texts: list, told: list) -> Iterator[tuple]:
+        matchers: dict[str, Matcher] = {}
+        evidences: dict[str, Evidence] = {}
+        for key, url, own, wrapper, evidence in zip(keys, urls, held, texts, told):
+            page = Page.loads(own)
+            if wrapper is None or evidence is None:
+                found = decide(page)
+            else:
+                if evidence not in evidences:
+                    evidences[evidence] = _evidence(evidence)
+                found = decide(page, _matcher(matchers, wrapper).slots(page.tokens), evidences[evidence])
             yield key, url, found, len(found)
 
-    return map_rows(joined, ("page_id", "url", "html", "wrapper", "slots"), rule, TEXTS)
+    return map_rows(joined, ("page_id", "url", "page", "wrapper", "evidence"), rule, TEXTS)
+
+
+def _evidence(text: str) -> Evidence:
+    told, fixed = json.loads(text), {}
+    for same in told.get("fixed") or ():
+        fixed.setdefault(same["slot"], set()).add(same["digest"] % (1 << 64))
+    return Evidence({w["slot"]: w["weight"] for w in told["weights"]}, fixed)
