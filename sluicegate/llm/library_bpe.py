@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 from array import array
 
 from tokenizers import Tokenizer
@@ -44,10 +43,8 @@ class LibraryEncoder:
 
     def __init__(self, path: str, spaced: bool, special_tokens: bool = False):
         self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
-        self.special: re.Pattern | None = None
-        if special_tokens:
-            named = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-            self.special = re.compile("|".join(map(re.escape, named))) if named else None
+        added = self.tokenizer.get_added_tokens_decoder().values() if special_tokens else ()
+        self.special = [token.content for token in added]
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.first = ChunkCache(self._chunk)
@@ -77,7 +74,7 @@ class LibraryEncoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self.special is not None and self.special.search(text):
+        if any(name in text for name in self.special):
             # One vocabulary serves both ways; a second one would cost each worker a hundred megabytes.
             self.tokenizer.encode_special_tokens = False
             try:
