@@ -42,6 +42,9 @@ def words_of(text: str) -> list[str]:
 
 
 def grams(word: str, size: int) -> list[str]:
+    """The word's n-grams, with a blank on both sides; a blank alone is none, since every word has it."""
+    if size == 1:
+        return list(word)
     padded = f" {word} "
     return [padded[i : i + size] for i in range(len(padded) - size + 1)]
 
@@ -152,9 +155,13 @@ class Scorer(dict):
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and how sure it is: the softmax of the mean scores. Ties go to the first language."""
+        return self.assess(text)[:2]
+
+    def assess(self, text: str | None) -> tuple[str, float, float]:
+        """The language, how sure it is, and the share of the words that the model has any evidence for."""
         counts = Counter(_WORD.findall((text or "").lower()))
         if not counts or not self.model.languages:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0.0
         total, weight = np.zeros(len(self.model.languages)), 0
         words, times = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
         step = min(REMEMBERED, 1 << 14)
@@ -167,14 +174,30 @@ class Scorer(dict):
             total += n @ self.matrix[rows]
             weight += int(n.sum())
         if not weight:
-            return (self.model.usual if any(map(str.isalpha, text)) else UNDETERMINED), 0.0
+            return (self.model.usual if any(map(str.isalpha, text)) else UNDETERMINED), 0.0, 0.0
         mean = total / weight
         best = int(mean.argmin())
-        return self.model.languages[best], float(1 / np.exp((mean[best] - mean) * np.log(10)).sum())
+        score = float(1 / np.exp((mean[best] - mean) * np.log(10)).sum())
+        return self.model.languages[best], score, weight / sum(counts.values())
+
+    def knows(self, text: str | None) -> bool:
+        """Whether a text is in a language that was learned: its language leads by more than chance would have it,
+        however many were learned, and most of its words are made of letters that any of them has."""
+        lang, score, share = self.assess(text)
+        learned = len(self.model.languages)
+        return lang != UNDETERMINED and share >= LEAST_SHARE and score >= (least_score(learned) if learned > 1 else 0)
+
+
+# Times the score that chance gives to a language, and the share of words with evidence, below which a text is in none of
+# the languages that were learned; and that score for four languages.
+ABOVE_CHANCE, LEAST_SHARE = 1.2, 0.5
+
+
+def least_score(languages: int) -> float:
+    return ABOVE_CHANCE / languages
 
 
-# Below this a text is in none of the languages that were learned.
-LEAST_SCORE = 0.3
+LEAST_SCORE = least_score(4)
 
 
 def _scorer(name: str, model: Broadcast) -> Scorer:
@@ -218,7 +241,6 @@ def in_known_languages(docs: DataFrame) -> DataFrame:
 
     def change(batch: pa.RecordBatch) -> pa.RecordBatch:
         scorer = _scorer(name, shared)
-        found = [scorer.predict(text) for text in batch.column("text").to_pylist()]
-        return batch.filter(pa.array([lang != UNDETERMINED and score >= LEAST_SCORE for lang, score in found], pa.bool_()))
+        return batch.filter(pa.array(map(scorer.knows, batch.column("text").to_pylist()), pa.bool_()))
 
     return map_batches(docs, change)
