@@ -12,7 +12,7 @@ from sluicegate.llm.library_bpe import library_encoder
 from sluicegate.scratch import written
 
 # Hundredths of similarity from which documents are near-duplicates.
-LEAST_SIMILARITY = 85
+LEAST_SIMILARITY = 80
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
