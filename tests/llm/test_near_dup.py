@@ -8,7 +8,7 @@ from sluicegate.llm.components import components
 from sluicegate.llm.near_dup import near_duplicates, shingles, words_of
 
 
-def brute(rows):
+def brute(rows, least=85):
     """Component of each doc_id by comparing all pairs of sets of word tuples."""
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
@@ -25,10 +25,10 @@ def brute(rows):
     ids = sorted(sets, key=lambda d: len(sets[d]))
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
-            if len(sets[b]) * 85 > len(sets[a]) * 100:
+            if len(sets[b]) * least > len(sets[a]) * 100:
                 break
             both = len(sets[a] & sets[b])
-            if sets[a] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if sets[a] and 100 * both >= least * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((root(a), root(b)))
                 top[y] = x
     return {d: (len(sets[d]), root(d), root(d) == d) for d in sets}

@@ -18,10 +18,11 @@ def test_stages_match_a_plain_version(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     rows = [tuple(r) for r in docs.collect()]
 
+    assert corpus_pipeline.LEAST_SIMILARITY == 80
     scorer = language.Scorer(language.fit(docs))
     known = [r for r in rows if scorer.predict(r[1])[0] != "und" and scorer.predict(r[1])[1] >= language.LEAST_SCORE]
     assert len(known) == given.count()
-    kept = {d for d, (_, _, keep) in brute([r[:2] for r in known]).items() if keep}
+    kept = {d for d, (_, _, keep) in brute([r[:2] for r in known], corpus_pipeline.LEAST_SIMILARITY).items() if keep}
     assert len(kept) < len(known)
     plain = [(r[0], pii.masked(r[1])) for r in known if r[0] in kept]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
