@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,14 +25,14 @@ from pyspark.sql import Window
 from sluicegate.llm.rows import map_arrow, slices
 from sluicegate.scratch import written
 
-# Centroids of a half: as many as this times the root of the rows, so that cells stay small, up to a limit.
-CENTROIDS_OF_ROOT, MOST_CENTROIDS = 0.6, 256
+# Centroids of a half: as many as this times the root of the rows, within limits, so that cells stay small.
+CENTROIDS_OF_ROOT, LEAST_CENTROIDS, MOST_CENTROIDS = 0.2, 16, 256
 # Vectors that centroids and share are fitted on: at most about so many, of so many bytes; and queries among them.
 SAMPLE, SAMPLE_BYTES, CALIBRATION = 20_000, 64 << 20, 200
 TOP = 20
 # The share of entries that a query visits finds so much of its neighbours; a few times TOP entries are the least.
-TARGET_RECALL, LEAST_ENTRIES = 0.95, 4 * TOP
-# Entries of one share of a first centroid, and queries that meet them at a time.
+TARGET_RECALL, LEAST_ENTRIES = 0.94, 4 * TOP
+# Entries of one share of the index: of first centroids with few entries, together, or of one with more.
 CHUNK = 4096
 
 
@@ -76,14 +76,14 @@ def visited(one: np.ndarray, other: np.ndarray, counts: np.ndarray, wanted: int)
     """
     rows, columns = np.argsort(-one, kind="stable"), np.argsort(-other, kind="stable")
     near_one, near_other = one[rows].tolist(), other[columns].tolist()
+    filled, rows, columns = counts[rows][:, columns].tolist(), rows.tolist(), columns.tolist()
     heap, out, held = [(-(near_one[0] + near_other[0]), 0, 0)], [], 0
     out_of = [0] * len(near_one)  # by row of the grid: how many of its pairs are out
     while heap and held < wanted:
         _, r, c = heapq.heappop(heap)
-        i, j = int(rows[r]), int(columns[c])
-        if counts[i, j]:
-            out.append((i, j))
-            held += int(counts[i, j])
+        if filled[r][c]:
+            out.append((rows[r], columns[c]))
+            held += filled[r][c]
         out_of[r] = c + 1
         # The pair to the right waits for the one above it to be out, the pair below for the one to its left.
         if c + 1 < len(near_other) and (r == 0 or out_of[r - 1] > c + 1):
@@ -94,7 +94,7 @@ def visited(one: np.ndarray, other: np.ndarray, counts: np.ndarray, wanted: int)
 
 
 def centroids_for(rows: int) -> int:
-    return max(1, min(MOST_CENTROIDS, round(CENTROIDS_OF_ROOT * math.sqrt(rows))))
+    return min(MOST_CENTROIDS, max(LEAST_CENTROIDS, round(CENTROIDS_OF_ROOT * math.sqrt(rows))))
 
 
 def single_cell(dim: int) -> Codebooks:
@@ -150,6 +150,17 @@ def _sampled(rows: DataFrame, totals: dict[int, int]) -> dict[int, np.ndarray]:
     }
 
 
+def _groups(held: Sequence[int]) -> list[int]:
+    """A group for each first centroid: neighbours that hold about CHUNK entries together."""
+    groups, group, filled = [], 0, 0
+    for entries in held:
+        if filled and filled + entries > CHUNK:
+            group, filled = group + 1, 0
+        groups.append(group)
+        filled += entries
+    return groups
+
+
 def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float | None = None) -> DataFrame:
     """The ``top`` nearest rows of each query row among all others: query_id, rank, vec_id, score.
 
@@ -174,21 +185,26 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float |
     counts = {dim: np.zeros((len(b.first), len(b.second)), dtype=np.int64) for dim, b in fitted.items()}
     for cell in entries.groupBy("dim", "i", "j").count().collect():
         counts[cell.dim][cell.i, cell.j] = cell["count"]
-    chunks = {
-        (dim, i): max(1, math.ceil(held / CHUNK)) for dim, own in counts.items() for i, held in enumerate(own.sum(1).tolist())
-    }
+    groups = {dim: _groups(own.sum(1).tolist()) for dim, own in counts.items()}
+    chunks: dict[tuple[int, int], int] = {}
+    for dim, own in counts.items():
+        filled = np.bincount(groups[dim], weights=own.sum(1))
+        chunks |= {(dim, group): max(1, math.ceil(held / CHUNK)) for group, held in enumerate(filled.tolist())}
     wanted = {
         dim: max(LEAST_ENTRIES, 4 * top, math.ceil((fitted[dim].share if share is None else share) * total)) + 1
         for dim, total in totals.items()
     }  # the query itself is among them
-    plan = spark.createDataFrame([(*at, n) for at, n in chunks.items()], "dim int, i int, chunks int")
-    chunk = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")
+    plan = spark.createDataFrame(
+        [(dim, i, group, chunks[dim, group], len(fitted[dim].second)) for dim, own in groups.items() for i, group in enumerate(own)],
+        "dim int, i int, `group` int, chunks int, width int",
+    )
     # At most MOST_CENTROIDS rows for every number of coordinates.
     dealt = entries.join(F.broadcast(plan), ["dim", "i"])
-    dealt = dealt.withColumns({"chunk": chunk, "kind": F.lit(0), "cells": F.unhex(F.lpad(F.hex("j"), 8, "0"))})
-    index = spark.sparkContext.broadcast((counts, chunks, wanted))
+    chunk, cell = F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int"), F.col("i") * F.col("width") + F.col("j")
+    dealt = dealt.withColumns({"chunk": chunk, "kind": F.lit(0), "cells": F.unhex(F.lpad(F.hex(cell), 8, "0"))})
+    index = spark.sparkContext.broadcast((counts, groups, chunks, wanted))
     probes = map_arrow(entries.where(is_query), _probe(books, index), _DEALT)
-    place = ("dim", "i", "chunk")
+    place = ("dim", "group", "chunk")
     met = dealt.select(*_DEALT.names).unionByName(probes).repartition(partitions, *place).sortWithinPartitions(*place, "kind")
     found = map_arrow(met, _rank(top), _FOUND)
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
@@ -210,7 +226,7 @@ _ENTRY = T.StructType(
 _DEALT = T.StructType(
     [
         T.StructField("dim", T.IntegerType()),
-        T.StructField("i", T.IntegerType()),
+        T.StructField("group", T.IntegerType()),
         T.StructField("chunk", T.IntegerType()),
         T.StructField("kind", T.IntegerType()),
         T.StructField("row", T.LongType()),
@@ -249,18 +265,19 @@ def _assign(books):
 
 def _probe(books, index):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, chunks, wanted = index.value
+        counts, groups, chunks, wanted = index.value
         for batch in batches:
             for piece in slices(batch):
                 made = []
                 for row, key, dim, vector in zip(*(piece.column(n).to_pylist() for n in ("row", "vec_id", "dim", "vector"))):
                     cells: dict[int, list[int]] = {}
+                    own, width = groups[dim], counts[dim].shape[1]
                     near = books.value[dim].nearness(np.frombuffer(vector))
                     for i, j in visited(*near, counts[dim], wanted[dim]):
-                        cells.setdefault(i, []).append(j)
-                    for i, js in cells.items():
-                        packed = np.array(js, dtype=np.int32).tobytes()
-                        made.extend((dim, i, chunk, 1, row, key, packed, vector) for chunk in range(chunks[dim, i]))
+                        cells.setdefault(own[i], []).append(i * width + j)
+                    for group, held in cells.items():
+                        packed = np.array(held, dtype=np.int32).tobytes()
+                        made.extend((dim, group, chunk, 1, row, key, packed, vector) for chunk in range(chunks[dim, group]))
                 if made:
                     kinds = (*[pa.int32()] * 4, pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
@@ -274,13 +291,14 @@ class _Share:
 
     def __init__(self, place: tuple[int, ...]):
         self.place, self.rows, self.ids, self.cells, self.vectors = place, [], [], [], []
+        self.known = np.zeros(0, dtype=np.int64)
         self.place_of: dict[int, int] = {}
         self.ready = False
 
     def settle(self) -> None:
         self.place_of = {row: n for n, row in enumerate(self.rows)}
         self.ids = np.array(self.ids, dtype=np.int64)
-        self.cells = np.array(self.cells, dtype=np.int64)
+        self.known, self.cells = np.unique(np.array(self.cells, dtype=np.int64), return_inverse=True)
         self.vectors = np.array(self.vectors).reshape(len(self.ids), -1)
         self.ready = True
 
@@ -290,9 +308,9 @@ class _Share:
             self.settle()
         if not len(self.ids):
             return []
-        visits = np.zeros((len(keys), int(self.cells.max()) + 2), dtype=bool)
+        visits = np.zeros((len(keys), len(self.known)), dtype=bool)
         for n, own in enumerate(cells):
-            visits[n, own[own < visits.shape[1]]] = True
+            visits[n] = np.isin(self.known, own, assume_unique=True)
         scores = vectors @ self.vectors.T
         scores[~visits[:, self.cells]] = -np.inf
         out = []
@@ -319,7 +337,7 @@ def _rank(top: int):
         share: _Share | None = None
         for batch in batches:
             for piece in slices(batch):
-                place = [piece.column(n).to_numpy() for n in ("dim", "i", "chunk", "kind")]
+                place = [piece.column(n).to_numpy() for n in ("dim", "group", "chunk", "kind")]
                 rows, keys, cells, vectors = (piece.column(n).to_pylist() for n in ("row", "vec_id", "cells", "vector"))
                 turns = np.flatnonzero(np.any([np.diff(p) != 0 for p in place], axis=0)) + 1
                 for a, b in zip([0, *turns.tolist()], [*turns.tolist(), len(keys)]):
