@@ -22,8 +22,9 @@ from sluicegate.llm.words import UNKNOWN, blocks, numbers, texts, words
 from sluicegate.scratch import written
 
 WINDOW = 10
-# Windows of one piece of a long item, and bytes of the items' words in one broadcast set.
-PIECE, BLOCK = 4096, 16 << 20
+# Windows of one piece of a long item, and bytes of the items' words in one broadcast set, which is some twenty times as
+# large in a worker.
+PIECE, BLOCK = 4096, 4 << 20
 # Leading bits of a hash that are looked up before the hash itself.
 LEADING = 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)

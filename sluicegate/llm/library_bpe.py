@@ -7,7 +7,7 @@ from array import array
 
 from tokenizers import Tokenizer
 
-from sluicegate.llm.pretokens import cut, word_and_tail
+from sluicegate.llm.pretokens import cut, lines, word_and_tail
 from sluicegate.llm.rows import ChunkCache, memo
 
 # Spark deals the work to processes; threads of the library would only compete with them.
@@ -23,11 +23,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+_BLANK = _LETTERS[32]
 
 
 def _latin_word(text: str) -> bool:
     """Letters only, all of them from blocks that every version of Unicode tells letters in."""
-    return text.isalpha() and (text.isascii() or max(text) < "ɐ")
+    return text.isalpha() and max(text) < "ɐ"
 
 
 class LibraryEncoder:
@@ -50,21 +51,26 @@ class LibraryEncoder:
         self.first = ChunkCache(self._chunk)
         # Chunks that had a blank before them, without it.
         self.others = ChunkCache(self._spaced_chunk) if spaced else self.first
+        self.line_end = self._ids("\n") if spaced else b""
 
     def _ids(self, chunk: str) -> bytes:
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return self._tokens(word.encode().decode("latin-1").translate(_LETTERS))
+
+    def _tokens(self, letters: str) -> bytes:
         return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if not self.spaced and chunk.isascii() and chunk.isalpha() and chunk.islower():
-            return self._word(chunk)
+            return self._tokens(chunk)
         word, tail = word_and_tail(chunk)
         return self.first[word] + self.first[tail] if tail else self._ids(chunk)
 
     def _spaced_chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self._tokens(_BLANK + chunk)
         if _latin_word(chunk):
             return self._word(" " + chunk)
         word, tail = word_and_tail(chunk)
@@ -82,14 +88,20 @@ class LibraryEncoder:
             finally:
                 self.tokenizer.encode_special_tokens = True
         if self.spaced:
-            first, *others = cut(text)
-            return self.first[first] + b"".join(map(self.others.__getitem__, others))
+            return self.line_end.join(map(self._line, lines(text)))
+        # White space of any kind becomes a blank there, and no token.
+        return b"".join(map(self.first.__getitem__, self._lowered(text).replace("\n", " ").split(" ")))
+
+    def _lowered(self, text: str) -> str:
         try:
             text.encode("latin-1")
-            text = text.lower()
         except UnicodeEncodeError:
-            pass
-        return b"".join(map(self.first.__getitem__, text.split(" ")))
+            return text
+        return text.lower()
+
+    def _line(self, text: str) -> bytes:
+        first, *others = cut(text)
+        return self.first[first] + b"".join(map(self.others.__getitem__, others))
 
 
 def library_encoder(path: str, spaced: bool, special_tokens: bool = False) -> LibraryEncoder:

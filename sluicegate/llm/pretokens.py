@@ -12,6 +12,15 @@ _ODD = re.compile(r" (?:\s|(?<=\s ))")
 _TAIL = "".join(sorted("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
 
 
+# A line end between two characters that are no white space is a token of its own, or none.
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
+
+
+def lines(text: str) -> list[str]:
+    """The text cut at single line ends; what follows one has no blank before it."""
+    return _LINE_END.split(text) if "\n" in text else [text]
+
+
 def cut(text: str) -> list[str]:
     """The text cut at single blanks; every piece but the first has lost the blank before it."""
     return _CUT.split(text) if _ODD.search(text) else text.split(" ")

@@ -183,8 +183,10 @@ def item_terms(items: DataFrame) -> DataFrame:
 def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """The ``top`` documents of each item with the highest scores above 0: item_id, rank, doc_id, score.
 
-    Scores are the integer sums of the README's formula over the item's terms, repeats included. Equal scores go by
-    ascending doc_id, documents without an id come last. Every row of ``docs`` is a document, also where ids or texts
+    A term's weight is floor(1000 ln((2 N + 2) / (2 df + 1))), with N documents that have terms and df that have this
+    one. A document of n terms gets, for each of the item's terms, repeats included, the weight times
+    (10^9 tf) div (1000 tf + 12 m), where m = 75 + (25 n N) div L and L is the number of all terms. All but the weights is
+    whole-number arithmetic. Equal scores go by ascending doc_id, documents without an id come last. Every row of ``docs`` is a document, also where ids or texts
     repeat; null and empty texts have no terms, count for nothing and are never found. Items without terms and items
     that no document shares a term with give no row; rows that share an item_id are one item.
     """

@@ -9,7 +9,7 @@ from sluicegate.llm.library_bpe import LibraryEncoder
 
 MARKS = list("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'") + ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext"]
 LETTERS = [chr(c) for c in range(65, 0x250) if chr(c).isalpha()] + list("ẞǅΣςαẛﬁK漢あ١²½é\u0301\u0307")
-GAPS = [" ", " ", " ", "  ", "\n", "\t ", "\u00a0", "\u3000", "\x1c", "\x85", ""]
+GAPS = [" ", " ", " ", "  ", "\n", "\n", "\r\n", "\n\n", " \n", "\n ", "\t ", "\u00a0", "\u3000", "\x1c", "\x85", ""]
 BOTH = pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 
 
