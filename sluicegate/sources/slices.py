@@ -6,6 +6,8 @@ from collections.abc import Mapping
 from functools import reduce
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,6 +16,9 @@ from sluicegate.functions.casts import parse_token
 from sluicegate.sinks import files, versions
 
 
+# How often a slice is looked up again that is replaced meanwhile.
+ATTEMPTS = 5
+
 # Fixed value: the scope field that is a number.
 YEAR = "ano"
 
@@ -34,13 +39,28 @@ def read_scope(
     """
     root = f"{root.rstrip('/')}/{contract.dataset}/{contract.version}"
     scope = contract.partitioning.scope_path(values, depth)
-    read = (_read(spark, source, contract, as_text) for source in versions.sources(spark, root, scope))
-    frames = [frame for frame in read if frame is not None]
+    frames: list[DataFrame] = []
+    for _ in range(ATTEMPTS):
+        found = versions.sources(spark, root, scope)
+        frames = _frames(spark, found, contract, as_text)
+        # Where pointers moved on while files were listed, the list may be of files that are gone.
+        if found == versions.sources(spark, root, scope):
+            break
     if not frames:
         raise FileNotFoundError(f"nothing is published for {scope} in {root}")
     return reduce(DataFrame.unionByName, frames)
 
 
+def _frames(spark: SparkSession, found: list[versions.Source], contract: Contract, as_text: bool) -> list[DataFrame]:
+    try:
+        read = [_read(spark, source, contract, as_text) for source in found]
+    except (AnalysisException, Py4JJavaError):
+        if not any(source.base.endswith("/versions") for source in found):
+            raise
+        return []
+    return [frame for frame in read if frame is not None]
+
+
 def _read(spark: SparkSession, source: versions.Source, contract: Contract, as_text: bool) -> DataFrame | None:
     """The rows of some directories; none where there are no files. The columns are those of one file."""
     first = [files.first_data_file(spark, path) for path in source.paths]

@@ -163,3 +163,28 @@ def test_a_pointer_is_replaced_in_one_step(spark, tmp_path):
     files.put_text(spark, "two é", path)
     assert files.read_text(spark, path) == "two é" and files.read_text(spark, f"{path}x") is None
     assert [p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith(".")] == ["p.json"]
+
+
+def test_a_reader_that_is_overtaken_looks_again(spark, load, read, object_store, monkeypatch):
+    """A load replaces the scope between a reader's look at the pointer and its list of the files."""
+    load(OLD)
+    original, overtaken = files.first_data_file, []
+
+    def run(*args):
+        if len(overtaken) < 2:
+            overtaken.append(args)
+            with monkeypatch.context() as patched:
+                patched.setattr(files, "first_data_file", original)
+                load(NEW if len(overtaken) == 2 else OLD[:1])
+        return original(*args)
+
+    monkeypatch.setattr(files, "first_data_file", run)
+    assert read(2024) == shown(NEW) and len(overtaken) == 2
+
+
+def test_a_broken_store_is_told(spark, tmp_path, load, read, object_store):
+    load(OLD)
+    for path in (tmp_path / "store/d/v1/versions").rglob("*.parquet"):
+        path.unlink()
+    with pytest.raises(FileNotFoundError):
+        read(2024)
