@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluicegate.llm.pretokens import cut, word_and_tail
+from sluicegate.llm.pretokens import cut, lines, word_and_tail
 from sluicegate.llm.rows import ChunkCache, map_rows, memo
 
 # Pairs of tokens whose standing side by side is remembered, per worker.
@@ -187,6 +187,9 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        return self.words["\n"].join(map(self._line, lines(text)))
+
+    def _line(self, text: str) -> bytes:
         first, *others = cut(text)
         return self.chunks[first] + b"".join(map(self.spaced.__getitem__, others))
 

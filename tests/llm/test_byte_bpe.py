@@ -74,3 +74,16 @@ def test_pairs_agree_with_merging():
     for _ in range(20_000):
         left, right = chance.choice(tokens if _ % 2 else short), chance.choice(tokens if _ % 3 else short)
         assert ranks.beside[left, right] == (ranks.merged(ranks.token[left] + ranks.token[right]) == [left, right])
+
+
+def test_chance_texts_of_letters_marks_and_white_space(library):
+    chance = random.Random(23)
+    mine = byte_bpe.Encoder(PATH, public_tokenizers.PATTERN)
+    letters = [chr(c) for c in range(65, 0x250) if chr(c).isalpha()] + list("ẞǅΣα漢あ١²½́")
+    gaps = [" ", " ", "  ", "\n", "\n", "\r\n", "\n\n", " \n", "\n ", "\t", " ", "\x1c", "\x85", "　", ""]
+    parts = [letters, letters, list("!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"), gaps, gaps, ["don't", "I'LL", "the", "İ", "12", "<|endoftext|>"]]
+    for _ in range(40_000):
+        text = "".join(chance.choice(chance.choice(parts)) for _ in range(chance.randint(1, 14)))
+        ids = mine.encode(text)
+        assert [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)] == library.encode_ordinary(text), repr(text)
+        assert mine.decode(ids) == text.encode()
