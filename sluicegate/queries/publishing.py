@@ -217,11 +217,11 @@ def stream_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, root, QUARANTINED).select("event_id", "event_type", "value")
 
 
-FILES = 64
+FILES = 256
 
 
 def by_file(spark: SparkSession, sf_dir: str, place: str, files_per_batch: int) -> DataFrame:
-    """The events as 64 files, gated file by file."""
+    """The events as many files, gated file by file."""
     events, folder = table(spark, sf_dir, "events"), scratch(spark)
     part = F.col("event_id") % FILES
     events.withColumn("part", part).repartition(FILES, "part").write.partitionBy("part").parquet(folder)
@@ -235,7 +235,7 @@ def by_file(spark: SparkSession, sf_dir: str, place: str, files_per_batch: int)
 )
 def stream_accepted_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files without an error are accepted, whichever files share their batch."""
-    return by_file(spark, sf_dir, ACCEPTED, 25)
+    return by_file(spark, sf_dir, ACCEPTED, 100)
 
 
 @query(
@@ -243,7 +243,7 @@ def stream_accepted_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     where event_id % {FILES} in (select event_id % {FILES} from events where value > 250)"""
 )
 def stream_quarantined_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return by_file(spark, sf_dir, QUARANTINED, 25)
+    return by_file(spark, sf_dir, QUARANTINED, 100)
 
 
 @query(f"select o_orderkey, o_totalprice, 'alpha' as tc, {MONTH} as mes, {MONTH} as o_month from orders")

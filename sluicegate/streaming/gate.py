@@ -88,7 +88,11 @@ def _stage(checked: CheckedFrame, place: Column, staged: str) -> dict[str, int]:
 
 
 def read_batches(spark: SparkSession, root: str, place: str = ACCEPTED) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/{place}").parquet(f"{root}/{place}")
+    """The rows of one place over all batches; none, with the columns of the other place, where it got none so far."""
+    if files.has_data(spark, f"{root}/{place}"):
+        return spark.read.option("basePath", f"{root}/{place}").parquet(f"{root}/{place}")
+    other = QUARANTINED if place == ACCEPTED else ACCEPTED
+    return spark.read.option("basePath", f"{root}/{other}").parquet(f"{root}/{other}").where(F.lit(False))
 
 
 def running_totals(spark: SparkSession, root: str) -> DataFrame:

@@ -86,5 +86,15 @@ def test_what_is_accepted_does_not_depend_on_the_batches(spark, tmp_path, files_
 
 @pytest.mark.parametrize("place", [ACCEPTED, QUARANTINED])
 def test_the_query_gives_the_same_rows_for_any_batches(spark, place):
-    few, many = (by_file(spark, "/root/testdata/sf0.001", place, n) for n in (1, 1000))
+    few, many = (by_file(spark, "/root/testdata/sf0.001", place, n) for n in (60, 1000))
     assert few.count() == many.count() > 0 and few.exceptAll(many).count() == 0
+
+
+def test_a_place_without_rows_reads_as_none(spark, tmp_path, drain):
+    _arrive(spark, tmp_path, [(1, "a")])
+    drain()
+    out = str(tmp_path / "out")
+    assert read_batches(spark, out, QUARANTINED).collect() == [] and read_batches(spark, out).count() == 1
+    _arrive(spark, tmp_path, [(None, "b")])
+    drain()
+    assert read_batches(spark, out, QUARANTINED).count() == 1
