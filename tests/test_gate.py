@@ -153,3 +153,14 @@ def test_a_partition_column_in_another_case_is_the_same_to_the_session(spark, tm
     assert result.status == report.PUBLISHED
     held = slices.read_slice(spark, str(tmp_path / "s"), contract, tc="ab", ano=2024)
     assert sorted((r.k, r.code) for r in held.collect()) == [(1, "x"), (2, "y")]
+
+
+def test_a_load_without_adaptive_execution(spark, tmp_path, load, source):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        result = load(source([(n, "12x" if n % 5 == 0 else str(n), "2024-01-01", 7, "hot" if n % 4 else f"c{n % 3}") for n in range(400)]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert (result.status, result.rows_total, result.cast_losses) == (report.PUBLISHED, 400, {"amount": 80})
+    held = slices.read_slice(spark, str(tmp_path / "store"), CONTRACT, tc="ab", ano=2024)
+    assert held.count() == 400 and held.where("code = 'hot'").count() == 300 and "__first__" not in held.columns
