@@ -14,6 +14,10 @@ from sluicegate.llm.rows import ChunkCache, memo
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+# Chunks behind a blank that are remembered: some 250 MB a worker. Fewer cost more time than they save.
+SPACED = 1 << 20
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte: itself where it is printable in Latin-1,
     otherwise the next free one from 256 on."""
@@ -50,7 +54,7 @@ class LibraryEncoder:
         self.model = self.tokenizer.model
         self.first = ChunkCache(self._chunk)
         # Chunks that had a blank before them, without it.
-        self.others = ChunkCache(self._spaced_chunk) if spaced else self.first
+        self.others = ChunkCache(self._spaced_chunk, SPACED) if spaced else self.first
         self.line_end = self._ids("\n") if spaced else b""
 
     def _ids(self, chunk: str) -> bytes:
